@@ -154,6 +154,24 @@ join hr_dim_department dd on dd.department_id = e.department_id""",
     # facts loaded before the last period's reviews came in
     "hr_fact_loaded": """
 select * from hr_fact_reviews where review_date < date '2001-01-01'""",
+    # versions with every kind of fault the integrity check looks for
+    "hr_dim_broken": """
+select surrogate_key, employee_id, start_date,
+ case when is_current = 1 then end_date when job_level = 1 then date '2000-06-01'
+      when job_level = 2 then date '1999-01-01' when job_level = 3 then date '1997-01-01'
+      else end_date end as end_date,
+ case when is_current = 0 and job_level = 4 then 1 else is_current end as is_current
+from hr_dim_employee""",
+    "hr_assignments_held": """
+select employee_id, project_id, max(role_in_project) as role_in_project, min(assigned_date) as assigned_date,
+ max(released_date) as released_date, max(hours_allocated) as hours_allocated
+from hr_assignments where assigned_date < date '1998-01-01' group by employee_id, project_id""",
+    "hr_assignments_new": """
+select * from hr_assignments where assigned_date >= date '1998-01-01'""",
+    "hr_hires": """
+select * from hr_employees_full where years_at_company < 4""",
+    "hr_staff": """
+select * from hr_employees_full where years_at_company >= 4""",
     "hr_feed": """
 select cast(employee_id as varchar(20)) as "EmployeeID", first_name as "FirstName", last_name as "LastName",
  email as "Email", phone || '-extension-4711' as "Phone", gender as "Gender",
@@ -187,7 +205,7 @@ def with_views(sql: str, extra: dict[str, str] | None = None) -> str:
     steps = [(n, VIEWS[n]) for n in needs(" ".join([*extra.values(), sql]))] + list(extra.items())
     if not steps:
         return sql
-    return "with " + ",\n".join(f"{n} as ({s})" for n, s in steps) + "\n" + sql
+    return "with recursive " + ",\n".join(f"{n} as ({s})" for n, s in steps) + "\n" + sql
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

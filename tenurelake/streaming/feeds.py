@@ -7,7 +7,6 @@ what the batch operators give; rows later than the watermark are dropped.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -15,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tenurelake.functions import scalars as S
-from tenurelake.operators import facts, quality, scd2
+from tenurelake.operators import facts, quality
+from tenurelake.operators.folds import NO_VERSION, emitted
 
 # Bounds one micro-batch, and with it the events of one employee that a task holds at a time.
 MAX_FILES_PER_TRIGGER = 64
@@ -42,13 +42,6 @@ def run(df: DataFrame, out: str, name: str) -> None:
     query.awaitTermination()
 
 
-def _batches(spark: SparkSession, folder: str, before: int, schema: T.StructType) -> DataFrame:
-    """What earlier micro-batches wrote. A batch that is run again does not see its own output."""
-    empty = spark.createDataFrame([], schema)
-    parts = [spark.read.parquet(f"{folder}/b{i:08d}") for i in range(before)]
-    return reduce(DataFrame.unionByName, parts, empty)
-
-
 def stream_reviews(
     reviews: DataFrame, emp: DataFrame, dept: DataFrame, dim_emp: DataFrame, dim_dept: DataFrame,
     out: str, delay: str = "30 days",
@@ -59,23 +52,28 @@ def stream_reviews(
     Review ids already loaded are skipped, also when they come back after the watermark.
     """
     spark = reviews.sparkSession
-    known = ["review_id"]
 
     def load(batch: DataFrame, number: int) -> None:
         checked = quality.validate_reviews(batch.drop("_event_time"))
         valid, broken = quality.split_valid(checked)
-        id_schema = batch.select(*known).schema
-        done = _batches(spark, f"{out}/ids", number, id_schema)
-        rows = facts.load_fact_reviews(valid, emp, dept, dim_emp, dim_dept, done, number=False)
-        rows.write.mode("overwrite").parquet(f"{out}/fact/b{number:08d}")
-        broken.write.mode("overwrite").parquet(f"{out}/quarantine/b{number:08d}")
-        spark.read.parquet(f"{out}/fact/b{number:08d}").select(*known).write.mode("overwrite").parquet(
-            f"{out}/ids/b{number:08d}"
+        if number:  # ids of earlier batches; a batch that is run again does not see its own
+            done = spark.read.schema("review_id int, batch bigint").parquet(f"{out}/ids").filter(
+                F.col("batch") < number
+            )
+        else:
+            done = None
+        here = f"batch={number}"
+        facts.load_fact_reviews(
+            valid, emp, dept, dim_emp, dim_dept, done, number=False
+        ).write.mode("overwrite").parquet(f"{out}/fact/{here}")
+        broken.write.mode("overwrite").parquet(f"{out}/quarantine/{here}")
+        spark.read.parquet(f"{out}/fact/{here}").select("review_id").write.mode("overwrite").parquet(
+            f"{out}/ids/{here}"
         )
 
     timed = event_time(reviews, "_event_time", F.col("review_date"), delay)
     query = (
-        timed.dropDuplicatesWithinWatermark(known)
+        timed.dropDuplicatesWithinWatermark(["review_id"])
         .writeStream.foreachBatch(load).trigger(availableNow=True)
         .option("checkpointLocation", f"{out}/_checkpoint").start()
     )
@@ -92,9 +90,9 @@ def stream_salary_versions(log: DataFrame) -> DataFrame:
 
     def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(batches)).sort_values(["change_ts", "event_id"])
-        last = state.get[0] if state.exists else scd2._STAYS
+        last = state.get[0] if state.exists else NO_VERSION
         e = pdf["_c"].to_numpy(dtype=np.int64)
-        picked = scd2._emitted(e, last)
+        picked = emitted(e, last)
         if picked:
             state.update((int(e[picked[-1]]),))
         yield pdf.iloc[picked]
