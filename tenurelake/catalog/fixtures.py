@@ -6,6 +6,7 @@ One text serves both engines, so a query and its oracle start from the same rows
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -208,14 +209,11 @@ def with_views(sql: str, extra: dict[str, str] | None = None) -> str:
     return "with recursive " + ",\n".join(f"{n} as ({s})" for n, s in steps) + "\n" + sql
 
 
+@lru_cache(maxsize=256)
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The named view as a DataFrame over ``sf_dir``."""
-    sql = f"select * from {name}"
-    chain = [(n, VIEWS[n]) for n in needs(sql)]
-    text = " ".join(s for _, s in chain)
-    tables = [
-        (t, f"select * from parquet.`{sf_dir}/{t}.parquet`")
-        for t in RAW if re.search(rf"\b{t}\b", text)
-    ]
-    ctes = ",\n".join(f"{n} as ({s})" for n, s in [*tables, *chain])
-    return spark.sql(f"with {ctes} {sql}".replace('"', "`"))
+    """The named view (or supplied table) as a DataFrame over ``sf_dir``; a plan, no data is kept."""
+    if name in RAW:
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    used = {t for t in [*RAW, *VIEWS] if re.search(rf"\b{t}\b", VIEWS[name])}
+    text = re.sub(rf"\b({'|'.join(used)})\b", r"{\1}", VIEWS[name]).replace('"', "`")
+    return spark.sql(text, **{t: view(spark, sf_dir, t) for t in used})

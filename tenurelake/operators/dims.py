@@ -50,7 +50,7 @@ def assign_surrogate(
     """Gives rows the keys ``start``+1, +2, … in ``order`` (a whole number). Dense, and numbered in
     parallel. ``bits`` is the width of ``order``."""
     after = start if isinstance(start, Column) else F.lit(start)
-    numbered = scale.dense_numbers(df, order, "_rn", ties=ties, bits=bits)
+    numbered = scale.dense_numbers(df, order, "_rn", ties, bits)
     return numbered.withColumn(key, F.col("_rn") + after).drop("_rn").select(key, *df.columns)
 
 

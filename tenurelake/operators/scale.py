@@ -30,103 +30,120 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str =
     return left.join(renamed, same, how).drop(*[f"_r_{c}" for c in on])
 
 
-def prefix_sum(
-    counts: DataFrame, part: list[str], key: str, n: str, out: str = "before", bits: int = 64
-) -> DataFrame:
-    """Adds ``out``: the sum of ``n`` over all smaller values of the whole-number column ``key``.
+def small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """``df`` marked for broadcast if a count stopped at ``max_rows`` shows it fits; else as it is,
+    and the join shuffles."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
 
-    ``counts`` has one row per (part, key). Keys are grouped by their upper bits, level by level,
-    until at most 2^20 groups are left to order; each window below that sees at most 65,536 rows.
+def prefix_sum(counts: DataFrame, key: str, n: str, out: str = "before", bits: int = 64) -> DataFrame:
+    """Adds ``out``: the sum of ``n`` over all smaller values of the unique whole-number column ``key``.
+
+    Keys are grouped by their upper bits, level by level, until at most 2^20 groups are left to put
+    in order; each window below that sees at most 65,536 rows.
     """
-    running = F.sum(n).over(W.partitionBy(*part).orderBy(key)) - F.col(n)
     if bits <= TOP_BITS:
-        return counts.withColumn(out, running)
+        return counts.withColumn(out, F.sum(n).over(W.orderBy(key)) - F.col(n))
     block, held, offset, inside = (f"_{name}{bits}" for name in ("block", "held", "offset", "inside"))
     blocked = counts.withColumn(block, F.shiftright(F.col(key).cast("bigint"), BLOCK_BITS))
-    blocks = blocked.groupBy(*part, block).agg(F.sum(n).alias(held))
-    offsets = prefix_sum(blocks, part, block, held, offset, bits - BLOCK_BITS).drop(held)
-    local = F.sum(n).over(W.partitionBy(*part, block).orderBy(key)) - F.col(n)
+    blocks = blocked.groupBy(block).agg(F.sum(n).alias(held))
+    offsets = prefix_sum(blocks, block, held, offset, bits - BLOCK_BITS).drop(held)
+    local = F.sum(n).over(W.partitionBy(block).orderBy(key)) - F.col(n)
     return (
-        null_safe_join(blocked.withColumn(inside, local), offsets, [*part, block])
-        .withColumn(out, F.col(inside) + F.col(offset))
-        .drop(inside, offset, block)
+        blocked.withColumn(inside, local).join(offsets, block)
+        .withColumn(out, F.col(inside) + F.col(offset)).select(*counts.columns, out)
     )
 
 
+def _blocks(df: DataFrame, id_col: str, part: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``df`` with its ``_block`` (the upper bits of the id), and the row count ``_n`` per block."""
+    blocked = df.withColumn("_block", F.shiftright(F.col(id_col).cast("bigint"), BLOCK_BITS))
+    return blocked, blocked.groupBy(*part, "_block").agg(F.count(F.lit(1)).alias("_n"))
+
+
 def dense_numbers(
-    df: DataFrame, id_col: str, out: str = "rn", part: list[str] | None = None,
-    ties: list[str] | None = None, bits: int = 64,
+    df: DataFrame, id_col: str, out: str = "rn", ties: list[str] | None = None, bits: int = 64
 ) -> DataFrame:
-    """Adds ``out``: 1..n in ``id_col`` order within ``part``, without one task seeing a whole part.
+    """Adds ``out``: 1..n in ``id_col`` order, without one task seeing all rows.
 
-    ``id_col`` is a whole number and (nearly) unique, so one block of 2^16 ids is a bounded group;
-    ``ties`` orders equal ids.
+    ``id_col`` is a whole number, never NULL and (nearly) unique, so one block of 2^16 ids is a
+    bounded group; ``ties`` orders equal ids.
     """
-    part = part or []
-    blocked = df.withColumn("_block", F.shiftright(F.col(id_col).cast("bigint"), BLOCK_BITS))
-    blocks = blocked.groupBy(*part, "_block").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = prefix_sum(blocks, part, "_block", "_n", "_before", max(bits - BLOCK_BITS, 1)).drop("_n")
-    order = [id_col, *(ties or [])]
-    local = F.row_number().over(W.partitionBy(*part, "_block").orderBy(*order))
+    blocked, blocks = _blocks(df, id_col, [])
+    offsets = prefix_sum(blocks, "_block", "_n", "_before", max(bits - BLOCK_BITS, 1)).drop("_n")
+    local = F.row_number().over(W.partitionBy("_block").orderBy(id_col, *(ties or [])))
     return (
-        null_safe_join(blocked.withColumn("_local", local), offsets, [*part, "_block"])
-        .withColumn(out, F.col("_local") + F.col("_before"))
-        .drop("_local", "_before", "_block")
+        blocked.withColumn("_local", local).join(offsets, "_block")
+        .withColumn(out, F.col("_local") + F.col("_before")).select(*df.columns, out)
     )
 
 
 def distributed_ntile(
     df: DataFrame, score: str, id_col: str, n: int = 4, out: str = "quartile",
-    ties: list[str] | None = None, id_bits: int = 32, score_bits: int = 16,
+    ties: list[str] | None = None,
 ) -> DataFrame:
-    """``ntile(n)`` over (score descending, id) for a whole-number score and a whole-number id.
+    """``ntile(n)`` over (score descending, id) for a whole-number score and a 32-bit id.
 
-    ``score_bits`` and ``id_bits`` say how wide the two are; they steer the cutting only.
-
-    Rows of one score are numbered block by block, so any number of rows may share a score.
+    Rows of one score are numbered block by block, so any number of rows may share a score. Only
+    the block counts, at most 65,536 per score, are put in order by one task; ``score`` must be a
+    scale of few values.
     """
-    numbered = dense_numbers(df, id_col, "_rn", [score], ties, id_bits)
-    counts = df.groupBy(score).agg(F.count(F.lit(1)).alias("_n"))
-    # descending order: rows before this score are those with a larger one
-    ahead = (
-        prefix_sum(counts.withColumn("_neg", -F.col(score)), [], "_neg", "_n", "_ahead", score_bits)
-        .drop("_neg", "_n")
+    blocked, blocks = _blocks(df, id_col, [score])
+    along = W.orderBy(F.col(score).desc(), "_block")
+    offsets = blocks.select(
+        score, "_block", (F.sum("_n").over(along) - F.col("_n")).alias("_offset"),
+        F.sum("_n").over(W.partitionBy()).alias("_total"),
     )
-    total = df.agg(F.count(F.lit(1))).scalar()
+    local = F.row_number().over(W.partitionBy(score, "_block").orderBy(id_col, *(ties or [])))
+    place = F.col("_local") + F.col("_offset") - 1
     size, extra = F.call_function("div", F.col("_total"), F.lit(n)), F.col("_total") % n
     wide = extra * (size + 1)  # rows in the tiles that hold one row more
-    tile = F.when(
-        F.col("_p") < wide, F.call_function("div", F.col("_p"), size + 1)
-    ).otherwise(extra + F.call_function("div", F.col("_p") - wide, F.greatest(size, F.lit(1))))
+    tile = F.when(F.col("_p") < wide, F.call_function("div", F.col("_p"), size + 1)).otherwise(
+        extra + F.call_function("div", F.col("_p") - wide, F.greatest(size, F.lit(1)))
+    )
     return (
-        null_safe_join(numbered, ahead, [score])
-        .withColumn("_p", F.col("_ahead") + F.col("_rn") - 1)
-        .withColumn("_total", total)
-        .withColumn(out, (tile + 1).cast("int"))
-        .drop("_p", "_total", "_ahead", "_rn")
+        blocked.withColumn("_local", local).join(offsets, [score, "_block"])
+        .withColumn("_p", place).withColumn(out, (tile + 1).cast("int"))
+        .select(*df.columns, out)
     )
 
 
-def value_ranks(df: DataFrame, part: list[str], value: str, bits: int = 36) -> DataFrame:
-    """One row per (part, value): its count ``n``, the rows ``before`` it and the part's ``total``.
+def value_ranks(df: DataFrame, part: list[str], value: str) -> DataFrame:
+    """One row per (part, value): its count ``n``, the rows ``before`` it, and of the whole part the
+    row count ``total``, the sum ``value_sum`` and the non-NULL count ``value_n``.
 
     Equal values are merged before any ordering, so a value shared by a third of all rows is one row.
+    ``value`` is a whole number of at most 36 bits, as DECIMAL(10,2) cents are: a part has at most
+    2^18 blocks, each of at most 2^18 different values, whatever its size.
     """
-    counts = df.groupBy(*part, value).agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.groupBy(*part).agg(
-        F.sum("n").alias("total"),
-        F.sum(F.col(value) * F.col("n")).alias("value_sum"),
-        F.sum(F.when(F.col(value).isNotNull(), F.col("n"))).alias("value_n"),
+    counts = (
+        df.groupBy(*part, value).agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("_block", F.shiftright(F.col(value), 18))
+    )
+    known = F.when(F.col(value).isNotNull(), F.col("n"))
+    blocks = counts.groupBy(*part, "_block").agg(
+        F.sum("n").alias("_m"), F.sum(F.col(value) * F.col("n")).alias("_s"), F.sum(known).alias("_k")
+    )
+    whole, along = W.partitionBy(*part), W.partitionBy(*part).orderBy("_block")
+    offsets = blocks.select(
+        *part, "_block", (F.sum("_m").over(along) - F.col("_m")).alias("_offset"),
+        F.sum("_m").over(whole).alias("total"), F.sum("_s").over(whole).alias("value_sum"),
+        F.sum("_k").over(whole).alias("value_n"),
+    )
+    inside = F.sum("n").over(W.partitionBy(*part, "_block").orderBy(value)) - F.col("n")
+    return (
+        null_safe_join(counts.withColumn("_inside", inside), offsets, [*part, "_block"])
+        .withColumn("before", F.col("_inside") + F.col("_offset"))
+        .drop("_inside", "_offset", "_block")
     )
-    return null_safe_join(prefix_sum(counts, part, value, "n", "before", bits), totals, part)
 
 
 def percentiles(
-    df: DataFrame, part: list[str], value: str, points: dict[str, float], bits: int = 36
+    df: DataFrame, part: list[str], value: str, points: dict[str, float]
 ) -> DataFrame:
     """Exact linearly interpolated percentiles per part, in units of ``value``."""
     known = df.filter(F.col(value).isNotNull())
-    ranks = value_ranks(known, part, value, bits)
+    ranks = value_ranks(known, part, value)
     aggs = []
     for name, q in points.items():
         at = (F.col("total") - 1) * F.lit(q)

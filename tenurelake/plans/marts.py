@@ -1,8 +1,9 @@
 """People-analytics marts over the star schema.
 
-Each mart first reduces the fact to one row per dimension key (partial sums and counts, combined
-on the map side) and only then joins dimensions: the large table is shuffled in reduced form, and
-a key that holds a third of all reviews is one row by the time it meets a join.
+Marts over employees first reduce the fact to one row per dimension key (partial sums and counts,
+combined on the map side) and only then join the employee dimension: the large table is shuffled in
+reduced form, and a key that holds a third of all reviews is one row by the time it meets a join.
+Departments are joined by broadcast where a bounded count has shown that they fit.
 """
 
 from __future__ import annotations
@@ -48,11 +49,10 @@ def yoy_performance(fact: DataFrame, dim_dept: DataFrame, full: bool = True) ->
     shorter form, without work-life balance and change.
     """
     ratings = ["performance_rating", "job_satisfaction"] + (["work_life_balance"] if full else [])
+    names = scale.small(dim_dept.select("dept_key", "department_name"))
     yearly = (
-        fact.groupBy("review_year", "dept_key", "employee_id").agg(*_sums(ratings))
-        .join(dim_dept.select("dept_key", "department_name"), "dept_key")
-        .groupBy("review_year", "department_name")
-        .agg(*_merged(ratings), F.count_distinct("employee_id").alias("employee_count"))
+        fact.join(names, "dept_key").groupBy("review_year", "department_name")
+        .agg(*_sums(ratings), F.count_distinct("employee_id").alias("employee_count"))
     )
     along = W.partitionBy("department_name").orderBy("review_year")  # a row per year: small
     yearly = yearly.withColumn("_rating", _steps("performance_rating"))
@@ -215,7 +215,7 @@ def department_metrics(fact: DataFrame, dim_emp: DataFrame, dim_dept: DataFrame)
     per_employee = (
         per_version
         .join(current(dim_emp).select("surrogate_key", "employee_id", "monthly_income"), "surrogate_key")
-        .join(dim_dept.select("dept_key", "department_name"), "dept_key")
+        .join(scale.small(dim_dept.select("dept_key", "department_name")), "dept_key")
     )
     paid = F.when(F.col("monthly_income").isNotNull(), F.col("reviews"))
     return per_employee.groupBy("department_name").agg(
