@@ -9,26 +9,22 @@ from tenurelake.catalog.fixtures import view, with_views
 from tenurelake.operators import dims, quality
 
 _ENTITIES = {
-    "departments": ("hr_departments", quality.validate_departments, ["department_id"]),
-    "employees": ("hr_employees_full", quality.validate_employees, ["employee_id"]),
-    "projects": ("hr_projects", quality.validate_projects, ["project_id"]),
-    "reviews": ("hr_reviews", quality.validate_reviews, ["review_id"]),
-    "assignments": ("hr_assignments", quality.validate_assignments,
+    "departments": ("hr_departments", quality.department_rules, ["department_id"]),
+    "employees": ("hr_employees_full", quality.employee_rules, ["employee_id"]),
+    "projects": ("hr_projects", quality.project_rules, ["project_id"]),
+    "reviews": ("hr_reviews", quality.review_rules, ["review_id"]),
+    "assignments": ("hr_assignments", quality.assignment_rules,
                     ["employee_id", "project_id", "assigned_date", "l_orderkey", "l_linenumber"]),
 }
 
 
-def _validated(s, d, entity):
-    name, check, _ = _ENTITIES[entity]
-    return check(view(s, d, name))
-
-
 def _errors(s, d, entity):
-    return plain(_validated(s, d, entity).select(*_ENTITIES[entity][2], "errors"))
+    name, rules, keys = _ENTITIES[entity]
+    return plain(quality.validate(view(s, d, name), rules()).select(*keys, "errors"))
 
 
 def _report(s, d):
-    return quality.quality_report({e: _validated(s, d, e) for e in _ENTITIES})
+    return quality.quality_report({e: (view(s, d, n), rules()) for e, (n, rules, _) in _ENTITIES.items()})
 
 
 def _constraints(s, d):

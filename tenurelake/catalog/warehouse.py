@@ -120,7 +120,7 @@ def _onboard_rejected(s, d):
 
 
 def _valid_reviews(s, d):
-    return ingest.append_valid(view(s, d, "hr_reviews"), quality.review_rules())[0]
+    return quality.split_valid(view(s, d, "hr_reviews"), quality.review_rules())[0]
 
 
 def _conform(s, d):

@@ -119,11 +119,6 @@ def update_project_status(
     return after, changes.filter(~allowed)
 
 
-def append_valid(df: DataFrame, rules: quality.Rules) -> tuple[DataFrame, DataFrame]:
-    """(rows to append, rows in quarantine with their errors)."""
-    return quality.split_valid(quality.validate(df, rules))
-
-
 def onboard(
     feed: DataFrame, emp: DataFrame, dim: DataFrame, dept: DataFrame, as_of: dt.date, order: str
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -131,7 +126,7 @@ def onboard(
 
     Employee ids continue after the largest one, in feed order (``order``, a whole number).
     """
-    valid, invalid = append_valid(feed, quality.employee_rules())
+    valid, invalid = quality.split_valid(feed, quality.employee_rules())
     accepted, duplicates = quality.reject_duplicates(valid, emp, "email", [order])
     hired = dims.assign_surrogate(
         accepted.withColumnRenamed(order, "_feed_order"), "_feed_order", "_new_id",

@@ -84,7 +84,8 @@ def assignment_rules() -> Rules:
 def validate(df: DataFrame, rules: Rules) -> DataFrame:
     """``df`` plus ``errors``, the texts of the rules each row breaks (empty if none)."""
     texts = [F.when(~_ok(holds), F.lit(text)) for text, holds in rules]
-    return df.withColumn("errors", F.array_compact(F.array(*texts)))
+    unbroken = F.array(F.lit(None).cast("string"))
+    return df.withColumn("errors", F.array_except(F.array(*texts), unbroken))
 
 
 def validate_departments(df: DataFrame) -> DataFrame:
@@ -107,20 +108,23 @@ def validate_assignments(df: DataFrame) -> DataFrame:
     return validate(df, assignment_rules())
 
 
-def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rows in quarantine with their errors)."""
-    clean = F.size("errors") == 0
-    return validated.filter(clean).drop("errors"), validated.filter(~clean)
+def split_valid(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, rows in quarantine with their ``errors``)."""
+    clean = reduce(lambda a, b: a & b, [_ok(holds) for _, holds in rules])
+    return df.filter(clean), validate(df.filter(~clean), rules)
 
 
-def quality_report(validated: dict[str, DataFrame]) -> DataFrame:
-    """Rows per entity and broken rule."""
-    parts = [
-        df.select(F.lit(entity).alias("entity"), F.explode("errors").alias("rule"))
-        .groupBy("entity", "rule").agg(F.count(F.lit(1)).alias("rows"))
-        for entity, df in validated.items()
-    ]
-    return reduce(DataFrame.unionByName, parts).orderBy("entity", "rule")
+def quality_report(entities: dict[str, tuple[DataFrame, Rules]]) -> DataFrame:
+    """Rows per entity and broken rule; one aggregate over each entity."""
+    parts = []
+    for entity, (df, rules) in entities.items():
+        counts = df.agg(*[F.count_if(~_ok(holds)).alias(f"r{i}") for i, (_, holds) in enumerate(rules)])
+        listed = F.explode(F.array(*[
+            F.struct(F.lit(text).alias("rule"), F.col(f"r{i}").alias("rows"))
+            for i, (text, _) in enumerate(rules)
+        ])).alias("_r")
+        parts.append(counts.select(F.lit(entity).alias("entity"), listed).select("entity", "_r.*"))
+    return reduce(DataFrame.unionByName, parts).filter(F.col("rows") > 0).orderBy("entity", "rule")
 
 
 # -- constraint audits: what the database would have refused ------------------------------------

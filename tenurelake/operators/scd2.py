@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from tenurelake.functions import scalars as S
 from tenurelake.operators import dims, scale
 from tenurelake.operators.folds import NO_VERSION, emitted, fold_sorted, segment_effect
+from tenurelake.session import checkpointed
 
 THRESHOLD = Decimal("0.05")
 VERSION_COLUMNS = ["surrogate_key", "start_date", "end_date", "is_current"]
@@ -81,6 +82,13 @@ def _open(
     return keyed.select(*[F.col(f.name).cast(f.dataType) for f in dim.schema])
 
 
+def _due(snapshot: DataFrame, dim: DataFrame, threshold: Decimal) -> DataFrame:
+    """The snapshot's new and changed employees. Written once, so that closing and opening versions
+    act on one decision and neither repeats the comparison."""
+    judged = scd2_classify(snapshot, dim, threshold)
+    return checkpointed(judged.filter(F.col("status") != "UNCHANGED"))
+
+
 def scd2_merge(
     snapshot: DataFrame, dim: DataFrame, as_of: dt.date, threshold: Decimal = THRESHOLD
 ) -> tuple[DataFrame, DataFrame]:
@@ -90,22 +98,23 @@ def scd2_merge(
     opened; employees missing from the snapshot are left alone. Older closed versions take no part,
     so a nightly merge reads and writes current rows only.
     """
-    judged = scd2_classify(snapshot, dim, threshold)
+    due = _due(snapshot, dim, threshold)
     live = dim.filter(F.col("is_current") == 1)
-    ended = _close(live, judged.filter(F.col("status") == "CHANGED"), as_of)
-    opened = _open(judged.filter(F.col("status") != "UNCHANGED"), dim, as_of, [], RATING_COLUMNS)
-    kept = ended.filter(F.col("is_current") == 1)
-    return kept.unionByName(opened), ended.filter(F.col("is_current") == 0)
+    changed = due.filter(F.col("status") == "CHANGED").select("employee_id")
+    kept = live.join(changed, "employee_id", "left_anti").select(*dim.columns)
+    ended = live.join(changed, "employee_id", "left_semi").withColumns(
+        {"end_date": F.lit(as_of), "is_current": F.lit(0)}
+    ).select(*dim.columns)
+    return kept.unionByName(_open(due, dim, as_of, [], RATING_COLUMNS)), ended
 
 
 def scd2_apply_snapshot(
     snapshot: DataFrame, dim: DataFrame, as_of: dt.date, threshold: Decimal = THRESHOLD
 ) -> DataFrame:
     """The whole dimension after ``scd2_merge``. Running it again changes nothing."""
-    judged = scd2_classify(snapshot, dim, threshold)
-    closed = _close(dim, judged.filter(F.col("status") == "CHANGED"), as_of)
-    opened = _open(judged.filter(F.col("status") != "UNCHANGED"), dim, as_of, [], RATING_COLUMNS)
-    return closed.unionByName(opened)
+    due = _due(snapshot, dim, threshold)
+    closed = _close(dim, due.filter(F.col("status") == "CHANGED"), as_of)
+    return closed.unionByName(_open(due, dim, as_of, [], RATING_COLUMNS))
 
 
 def first_versions(rows: DataFrame, dim: DataFrame, as_of: dt.date) -> DataFrame:

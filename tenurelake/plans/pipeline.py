@@ -45,14 +45,16 @@ def load_projects(oltp: Warehouse, olap: Warehouse):
 
 
 def merge_employees(oltp: Warehouse, olap: Warehouse, as_of: dt.date):
-    """Replaces the current versions and archives the closed ones; older history is not rewritten."""
+    """Replaces the current versions and archives the closed ones; what is archived is not rewritten."""
     snapshot = scd2.snapshot_of(oltp.read("employees"), oltp.read("departments"))
     dim = olap.read("dim_employee")
     current, closed = scd2.scd2_merge(snapshot, dim, as_of)
     current, live = observed(current, "current", rows=F.count(F.lit(1)))
     closed, ended = observed(closed, "closed", rows=F.count(F.lit(1)))
+    # history that was loaded next to current rows moves to the archive with them
+    past = olap.read_live("dim_employee").filter(~F.col("is_current").eqNullSafe(F.lit(1)))
     before = dim.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("is_current") == 1).alias("live")).first()
-    olap.replace(current, "dim_employee", archive=closed)
+    olap.replace(current, "dim_employee", archive=closed.unionByName(past))
     updated = ended.get["rows"]
     inserted = live.get["rows"] - (before["live"] - updated)
     return inserted, updated, before["n"] + inserted

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tenurelake.functions import scalars as S
@@ -28,9 +28,10 @@ def read_stream(spark: SparkSession, folder: str, schema: T.StructType, files: s
     )
 
 
-def event_time(df: DataFrame, name: str, source: Column, delay: str) -> DataFrame:
-    """``df`` with a watermarked timestamp; date and zone-less columns are cast, in the session's zone."""
-    return df.withColumn(name, source.cast("timestamp")).withWatermark(name, delay)
+def event_time(df: DataFrame, name: str, day: str, delay: str) -> DataFrame:
+    """``df`` with a watermarked timestamp: the UTC start of the date ``day``, in any session zone."""
+    at = F.timestamp_seconds(F.unix_date(day) * 86400)
+    return df.withColumn(name, at).withWatermark(name, delay)
 
 
 def run(df: DataFrame, out: str, name: str) -> None:
@@ -54,8 +55,7 @@ def stream_reviews(
     spark = reviews.sparkSession
 
     def load(batch: DataFrame, number: int) -> None:
-        checked = quality.validate_reviews(batch.drop("_event_time"))
-        valid, broken = quality.split_valid(checked)
+        valid, broken = quality.split_valid(batch.drop("_event_time"), quality.review_rules())
         if number:  # ids of earlier batches; a batch that is run again does not see its own
             done = spark.read.schema("review_id int, batch bigint").parquet(f"{out}/ids").filter(
                 F.col("batch") < number
@@ -71,7 +71,7 @@ def stream_reviews(
             f"{out}/ids/{here}"
         )
 
-    timed = event_time(reviews, "_event_time", F.col("review_date"), delay)
+    timed = event_time(reviews, "_event_time", "review_date", delay)
     query = (
         timed.dropDuplicatesWithinWatermark(["review_id"])
         .writeStream.foreachBatch(load).trigger(availableNow=True)
@@ -111,14 +111,15 @@ def stream_rating_trend(
         dept.select("department_id", "department_name"), "department_id"
     ).drop("department_id")
     timed = event_time(
-        reviews.select("employee_id", "review_date", "performance_rating"), "_at", F.col("review_date"), delay
+        reviews.select("employee_id", "review_date", "performance_rating"), "_at", "review_date", delay
     )
+    first_day = F.date_from_unix_date(F.call_function("div", F.unix_seconds("w.start"), F.lit(86400)).cast("int"))
     return (
         timed.join(names, "employee_id")
         .groupBy(F.window("_at", width).alias("w"), "department_name")
         .agg(F.sum("performance_rating").alias("_s"), F.count("performance_rating").alias("_n"))
         .select(
-            F.to_date("w.start").alias("window_start"), "department_name",
+            first_day.alias("window_start"), "department_name",
             S.exact_avg(F.col("_s"), F.col("_n")).alias("avg_rating"), F.col("_n").alias("reviews"),
         )
     )

@@ -66,3 +66,19 @@ def test_failing_step(spark, root, monkeypatch):
         pipeline.run_pipeline(spark, root, DAY2, calendar=CALENDAR)
     rows = pipeline.run_pipeline(spark, root, DAY2, on_error="skip", calendar=CALENDAR).collect()
     assert [r["step"] for r in rows if r["error"]] == ["dim_project"] and len(rows) == 5
+
+
+def test_history_loaded_beforehand_is_kept(spark, sf_dir, tmp_path):
+    """History goes into the dimension first, with names unknown; the nightly merge builds on it."""
+    oltp, olap = Warehouse(spark, f"{tmp_path}/oltp"), Warehouse(spark, f"{tmp_path}/olap")
+    oltp.append(schemas.conform(view(spark, sf_dir, "hr_departments"), "departments"), "departments")
+    oltp.append(schemas.conform(view(spark, sf_dir, "hr_employees_full"), "employees"), "employees")
+    history = schemas.conform(view(spark, sf_dir, "hr_dim_employee"), "dim_employee")
+    olap.append(history, "dim_employee")
+    held = history.count()
+    inserted, updated, total = pipeline.merge_employees(oltp, olap, DAY1)
+    assert inserted == updated > 0 and total == held + inserted == olap.read("dim_employee").count()
+    after = olap.read("dim_employee")
+    assert after.filter("is_current = 0").count() == history.filter("is_current = 0").count() + updated
+    assert after.select("surrogate_key").distinct().count() == total
+    assert pipeline.merge_employees(oltp, olap, DAY1) == (0, 0, total)

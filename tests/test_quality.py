@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tenurelake.functions import scalars as S
-from tenurelake.operators import dims, ingest, quality
+from tenurelake.operators import dims, quality
 
 EMP = ("first_name string, last_name string, email string, hire_date date, department_id int, job_role string,"
        " monthly_income decimal(10,2), age int, job_level int, gender string, attrition string, marital_status string,"
@@ -45,7 +45,7 @@ def test_optional_columns_may_be_null(spark):
     columns = "project_name string, status string, start_date date, end_date date, budget decimal(15,2)"
     df = spark.createDataFrame([("p", "Active", DAY, None, None), ("", "Done", DAY, dt.date(2023, 1, 1), None)], columns)
     assert sorted(len(r["errors"]) for r in quality.validate_projects(df).collect()) == [0, 3]
-    valid, broken = ingest.append_valid(df, quality.project_rules())
+    valid, broken = quality.split_valid(df, quality.project_rules())
     assert (valid.count(), broken.count()) == (1, 1) and "errors" not in valid.columns
 
 
