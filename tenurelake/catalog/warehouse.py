@@ -113,7 +113,8 @@ def _onboard(s, d, part):
 
 
 def _onboard_rejected(s, d):
-    invalid, duplicate = _onboard(s, d, 2), _onboard(s, d, 3)
+    valid, invalid = quality.split_valid(view(s, d, "hr_hires"), quality.employee_rules())
+    _, duplicate = quality.reject_duplicates(valid, view(s, d, "hr_staff"), "email", ["employee_id"])
     return invalid.select("employee_id", F.lit("invalid").alias("reason")).unionByName(
         duplicate.select("employee_id", F.lit("duplicate e-mail").alias("reason"))
     )

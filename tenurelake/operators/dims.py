@@ -44,13 +44,12 @@ def max_key(df: DataFrame, key: str) -> Column:
 
 
 def assign_surrogate(
-    df: DataFrame, order: str, key: str, start: Column | int = 0, ties: list[str] | None = None,
-    bits: int = 32,
+    df: DataFrame, order: str, key: str, start: Column | int = 0, ties: list[str] | None = None
 ) -> DataFrame:
     """Gives rows the keys ``start``+1, +2, … in ``order`` (a whole number). Dense, and numbered in
-    parallel. ``bits`` is the width of ``order``."""
+    parallel."""
     after = start if isinstance(start, Column) else F.lit(start)
-    numbered = scale.dense_numbers(df, order, "_rn", ties, bits)
+    numbered = scale.dense_numbers(df, order, "_rn", ties)
     return numbered.withColumn(key, F.col("_rn") + after).drop("_rn").select(key, *df.columns)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from tenurelake import schemas
 from tenurelake.functions import scalars as S
 from tenurelake.operators import dims, quality, scale, scd2
+from tenurelake.session import checkpointed
 
 # How a raw employee feed is conformed.
 DEFAULT_DEPARTMENT = 1
@@ -128,10 +129,11 @@ def onboard(
     """
     valid, invalid = quality.split_valid(feed, quality.employee_rules())
     accepted, duplicates = quality.reject_duplicates(valid, emp, "email", [order])
-    hired = dims.assign_surrogate(
+    # written once: the employees and their versions must carry the same new ids
+    hired = checkpointed(dims.assign_surrogate(
         accepted.withColumnRenamed(order, "_feed_order"), "_feed_order", "_new_id",
         dims.max_key(emp, "employee_id"),
-    ).withColumn("employee_id", F.col("_new_id").cast("int")).drop("_new_id", "_feed_order")
+    ).withColumn("employee_id", F.col("_new_id").cast("int")).drop("_new_id", "_feed_order"))
     named = hired.join(dept.select("department_id", "department_name"), "department_id", "left")
     named = named.withColumn("department_name", F.coalesce("department_name", F.lit("")))
     return hired, scd2.first_versions(named, dim, as_of), invalid, duplicates

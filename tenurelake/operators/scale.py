@@ -62,15 +62,16 @@ def _blocks(df: DataFrame, id_col: str, part: list[str]) -> tuple[DataFrame, Dat
 
 
 def dense_numbers(
-    df: DataFrame, id_col: str, out: str = "rn", ties: list[str] | None = None, bits: int = 64
+    df: DataFrame, id_col: str, out: str = "rn", ties: list[str] | None = None
 ) -> DataFrame:
     """Adds ``out``: 1..n in ``id_col`` order, without one task seeing all rows.
 
     ``id_col`` is a whole number, never NULL and (nearly) unique, so one block of 2^16 ids is a
-    bounded group; ``ties`` orders equal ids.
+    bounded group; ``ties`` orders equal ids. Blocks of a 64-bit id are put in order level by level.
     """
+    bits = 64 if dict(df.dtypes)[id_col] == "bigint" else 32
     blocked, blocks = _blocks(df, id_col, [])
-    offsets = prefix_sum(blocks, "_block", "_n", "_before", max(bits - BLOCK_BITS, 1)).drop("_n")
+    offsets = prefix_sum(blocks, "_block", "_n", "_before", bits - BLOCK_BITS).drop("_n")
     local = F.row_number().over(W.partitionBy("_block").orderBy(id_col, *(ties or [])))
     return (
         blocked.withColumn("_local", local).join(offsets, "_block")

@@ -294,9 +294,10 @@ def apply_transfers(
     department; hike and ratings of that version stay NULL.
     """
     valid, rejected = check_transfers(transfers, emp, dept)
-    last = valid.groupBy("employee_id").agg(
+    # written once: employees, closed and opened versions follow one decision
+    last = checkpointed(valid.groupBy("employee_id").agg(
         F.max(F.struct("change_ts", "event_id", "department_id")).alias("_last")
-    ).select("employee_id", F.col("_last.department_id").alias("_to"))
+    ).select("employee_id", F.col("_last.department_id").alias("_to")))
     moved = emp.join(last, "employee_id")
     emp_after = emp.join(last, "employee_id", "left").withColumn(
         "department_id", F.coalesce(F.col("_to"), F.col("department_id"))

@@ -36,17 +36,17 @@ PROJECTS = (
     "status string, budget decimal(15,2), description string, created_at timestamp"
 )
 ASSIGNMENTS = (
-    "assignment_id int, employee_id int, project_id int, role_in_project string, assigned_date date, "
+    "assignment_id bigint, employee_id int, project_id int, role_in_project string, assigned_date date, "
     "released_date date, hours_allocated int"
 )
 REVIEWS = (
-    "review_id int, employee_id int, reviewer_id int, review_date date, review_year int, "
+    "review_id bigint, employee_id int, reviewer_id int, review_date date, review_year int, "
     "review_quarter int, performance_rating int, job_satisfaction int, environment_satisfaction int, "
     "relationship_satisfaction int, work_life_balance int, job_involvement int, comments string, "
     "created_at timestamp"
 )
 SALARY_HISTORY = (
-    f"history_id int, employee_id int, old_salary {MONEY}, new_salary {MONEY}, change_date date, "
+    f"history_id bigint, employee_id int, old_salary {MONEY}, new_salary {MONEY}, change_date date, "
     "change_reason string, changed_by int"
 )
 DIM_DATE = (
@@ -69,7 +69,7 @@ DIM_EMPLOYEE = (
 )
 FACT_REVIEWS = (
     "fact_id bigint, surrogate_key bigint, dept_key bigint, project_key bigint, date_key int, "
-    "employee_id int, review_id int, performance_rating int, job_satisfaction int, "
+    "employee_id int, review_id bigint, performance_rating int, job_satisfaction int, "
     "environment_satisfaction int, relationship_satisfaction int, work_life_balance int, "
     f"job_involvement int, monthly_income_at_review {MONEY}, percent_salary_hike int, "
     "years_at_company int, training_times_last_year int, review_year int, review_quarter int, "

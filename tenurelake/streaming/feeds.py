@@ -55,13 +55,13 @@ def stream_reviews(
     spark = reviews.sparkSession
 
     def load(batch: DataFrame, number: int) -> None:
-        valid, broken = quality.split_valid(batch.drop("_event_time"), quality.review_rules())
+        batch = batch.drop("_event_time").persist()  # read twice below, computed once
+        valid, broken = quality.split_valid(batch, quality.review_rules())
+        done = None
         if number:  # ids of earlier batches; a batch that is run again does not see its own
-            done = spark.read.schema("review_id int, batch bigint").parquet(f"{out}/ids").filter(
-                F.col("batch") < number
-            )
-        else:
-            done = None
+            id_type = batch.schema["review_id"].dataType.simpleString()
+            ids = spark.read.schema(f"review_id {id_type}, batch bigint").parquet(f"{out}/ids")
+            done = ids.filter(F.col("batch") < number)
         here = f"batch={number}"
         facts.load_fact_reviews(
             valid, emp, dept, dim_emp, dim_dept, done, number=False
@@ -70,6 +70,7 @@ def stream_reviews(
         spark.read.parquet(f"{out}/fact/{here}").select("review_id").write.mode("overwrite").parquet(
             f"{out}/ids/{here}"
         )
+        batch.unpersist()
 
     timed = event_time(reviews, "_event_time", "review_date", delay)
     query = (
