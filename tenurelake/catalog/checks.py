@@ -56,6 +56,14 @@ def _foreign(s, d):
     })
 
 
+def _foreign_star(s, d):
+    v = partial(view, s, d)
+    return quality.fk_audit({
+        "fact_performance_reviews": v("hr_fact_reviews"), "dim_employee": v("hr_dim_employee_loaded"),
+        "dim_department": v("hr_dim_department").filter("location <> 'ASIA'"),
+    })
+
+
 def _calendar(s, d):
     days = dims.dim_date_covering(view(s, d, "hr_projects"), "start_date")
     return quality.calendar_audit(view(s, d, "hr_reviews"), "review_date", days)
@@ -76,6 +84,7 @@ QUERIES = {f"validate_{e}": partial(_errors, entity=e) for e in _ENTITIES} | {
     "constraint_audit": _constraints,
     "unique_audit": _unique,
     "fk_audit": _foreign,
+    "fk_audit_star": _foreign_star,
     "calendar_audit": _calendar,
     "scd2_integrity": lambda s, d: quality.scd2_integrity(view(s, d, "hr_dim_broken")),
     "volume_audit": _volume,
@@ -188,6 +197,11 @@ ORACLES = {f"validate_{e}": _validate_sql(e) for e in _ENTITIES} | {
         _orphans_sql("performance_reviews", "hr_reviews", "employee_id", "employees", "hr_staff", "employee_id"),
         _orphans_sql("performance_reviews", "hr_reviews", "reviewer_id", "employees", "hr_staff", "employee_id"),
     ])),
+    "fk_audit_star": with_views("""select 'fact_performance_reviews' as child, 'surrogate_key' as column_name,
+ 'dim_employee' as parent, count(*) as orphans from hr_fact_reviews
+where surrogate_key not in (select surrogate_key from hr_dim_employee_loaded)
+union all select 'fact_performance_reviews', 'dept_key', 'dim_department', count(*) from hr_fact_reviews
+where dept_key not in (select dept_key from hr_dim_department where location <> 'ASIA')"""),
     "calendar_audit": with_views("""select cast(strftime(review_date, '%Y%m%d') as int) as date_key, count(*) as rows from hr_reviews
 where review_year < (select min(year(start_date)) from hr_projects)
  or review_year > (select max(year(start_date)) from hr_projects) group by review_date"""),

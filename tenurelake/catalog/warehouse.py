@@ -140,9 +140,14 @@ def _closing(s, d):
 
 def _delete_employees(s, d, table):
     v = partial(view, s, d)
-    return ingest.delete_employees(
-        v("hr_leavers"), v("hr_employees"), v("hr_assignments"), v("hr_reviews"), v("hr_salary_log")
-    )[table]
+    tables = {"employees": v("hr_employees"), "project_assignments": v("hr_assignments"),
+              "performance_reviews": v("hr_reviews")}
+    return ingest.apply_delete(tables, "employees", v("hr_leavers"))[table]
+
+
+def _close_departments(s, d):
+    tables = {"departments": view(s, d, "hr_departments"), "projects": view(s, d, "hr_projects")}
+    return ingest.apply_delete(tables, "departments", _closing(s, d))["projects"]
 
 
 def _restrict(s, d):
@@ -191,9 +196,8 @@ QUERIES = {
     "cascade_delete_children": lambda s, d: _delete_employees(s, d, "performance_reviews"),
     "cascade_delete_assignments": lambda s, d: _delete_employees(s, d, "project_assignments").groupBy(
         "employee_id").agg(F.count(F.lit(1)).alias("assignments")),
-    "nullify_refs": lambda s, d: ingest.nullify_refs(
-        view(s, d, "hr_projects"), "department_id", _closing(s, d), "department_id"
-    ).select("project_id", "department_id"),
+    "delete_employees": lambda s, d: _delete_employees(s, d, "employees").select("employee_id"),
+    "nullify_refs": lambda s, d: _close_departments(s, d).select("project_id", "department_id"),
     "restrict_check": _restrict,
 }
 
@@ -388,6 +392,8 @@ from hr_feed f left join hr_departments d on f."Department" = d.department_name"
 from hr_reviews where employee_id not in (select employee_id from hr_leavers)"""),
     "cascade_delete_assignments": with_views("""select employee_id, count(*) as assignments from hr_assignments
 where employee_id not in (select employee_id from hr_leavers) group by employee_id"""),
+    "delete_employees": with_views("""select employee_id from hr_employees
+where employee_id not in (select employee_id from hr_leavers)"""),
     "nullify_refs": with_views("""select project_id, case when department_id in
  (select department_id from hr_departments where location = 'EUROPE') then null else department_id end as department_id
 from hr_projects"""),

@@ -170,19 +170,26 @@ def nullify_refs(child: DataFrame, column: str, deleted: DataFrame, key: str) ->
     )
 
 
-def delete_employees(
-    deleted: DataFrame, emp: DataFrame, assignments: DataFrame, reviews: DataFrame,
-    salaries: DataFrame | None = None,
+def blocking_rows(tables: dict[str, DataFrame], parent: str, deleted: DataFrame) -> DataFrame:
+    """``restrict_check`` over the children whose foreign keys forbid deleting from ``parent``."""
+    held = {c: (tables[c], column) for c, column, owner, _, action in quality.FOREIGN
+            if owner == parent and action == "restrict" and c in tables}
+    key = next(k for _, _, owner, k, _ in quality.FOREIGN if owner == parent)
+    return restrict_check(deleted, key, held)
+
+
+def apply_delete(
+    tables: dict[str, DataFrame], parent: str, deleted: DataFrame
 ) -> dict[str, DataFrame]:
-    """All tables after deleting employees: their rows go, reviews they wrote lose their reviewer."""
-    out = {
-        "employees": cascade_delete(emp, "employee_id", deleted, "employee_id"),
-        "project_assignments": cascade_delete(assignments, "employee_id", deleted, "employee_id"),
-        "performance_reviews": nullify_refs(
-            cascade_delete(reviews, "employee_id", deleted, "employee_id"),
-            "reviewer_id", deleted, "employee_id",
-        ),
-    }
-    if salaries is not None:
-        out["salary_history"] = cascade_delete(salaries, "employee_id", deleted, "employee_id")
-    return out
+    """All given tables after deleting rows of ``parent``: each child loses the rows, or the
+    references, that its foreign key says. Run ``blocking_rows`` first."""
+    after = dict(tables)
+    for child, column, owner, key, action in quality.FOREIGN:
+        if owner != parent or child not in after or column not in after[child].columns:
+            continue
+        if action == "cascade":
+            after[child] = cascade_delete(after[child], column, deleted, key)
+        elif action == "nullify":
+            after[child] = nullify_refs(after[child], column, deleted, key)
+        after[parent] = cascade_delete(tables[parent], key, deleted, key)
+    return after

@@ -160,6 +160,11 @@ FOREIGN: list[tuple[str, str, str, str, str]] = [
     ("performance_reviews", "employee_id", "employees", "employee_id", "cascade"),
     ("performance_reviews", "reviewer_id", "employees", "employee_id", "nullify"),
     ("salary_history", "employee_id", "employees", "employee_id", "cascade"),
+    ("dim_project", "dept_key", "dim_department", "dept_key", "nullify"),
+    ("fact_performance_reviews", "surrogate_key", "dim_employee", "surrogate_key", "restrict"),
+    ("fact_performance_reviews", "dept_key", "dim_department", "dept_key", "nullify"),
+    ("fact_performance_reviews", "project_key", "dim_project", "project_key", "nullify"),
+    ("fact_performance_reviews", "date_key", "dim_date", "date_key", "nullify"),
 ]
 
 
@@ -205,7 +210,7 @@ def fk_audit(tables: dict[str, DataFrame]) -> DataFrame:
     """Orphans per foreign key: child values are reduced to distinct ones before they meet the parent."""
     parts = []
     for child, column, parent, key, _ in FOREIGN:
-        if child not in tables or parent not in tables:
+        if child not in tables or parent not in tables or column not in tables[child].columns:
             continue
         values = tables[child].filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_v")).agg(
             F.count(F.lit(1)).alias("n")

@@ -125,3 +125,28 @@ def test_archive_appears_with_its_version(spark, tmp_path):
     assert house.read("dim_employee").count() == 3
     house.replace(rows.filter("surrogate_key > 1"), "dim_employee", archive=rows.filter("surrogate_key <= 1"))
     assert house.read("dim_employee").count() == 3 and house.read_live("dim_employee").count() == 1
+
+
+def test_delete_follows_each_foreign_key(spark):
+    tables_before = {
+        "employees": spark.createDataFrame([(1,), (2,)], "employee_id int"),
+        "performance_reviews": spark.createDataFrame(
+            [(1, 1, 2), (2, 2, 1), (3, 2, None)], "review_id int, employee_id int, reviewer_id int"),
+        "project_assignments": spark.createDataFrame([(1, 5), (2, 5)], "employee_id int, project_id int"),
+        "departments": spark.createDataFrame([(9,)], "department_id int"),
+    }
+    gone = spark.createDataFrame([(1,)], "employee_id int")
+    after = ingest.apply_delete(tables_before, "employees", gone)
+    assert [r["employee_id"] for r in after["employees"].collect()] == [2]
+    assert sorted(tuple(r) for r in after["performance_reviews"].collect()) == [(2, 2, None), (3, 2, None)]
+    assert [tuple(r) for r in after["project_assignments"].collect()] == [(2, 5)]
+    assert after["departments"] is tables_before["departments"]
+
+    fact = spark.createDataFrame([(7, None), (7, 3), (8, 3)], "surrogate_key bigint, dept_key bigint")
+    star = {"fact_performance_reviews": fact, "dim_employee": spark.createDataFrame([(7,), (8,)], "surrogate_key bigint"),
+            "dim_department": spark.createDataFrame([(3,)], "dept_key bigint")}
+    blocked = ingest.blocking_rows(star, "dim_employee", spark.createDataFrame([(7,)], "surrogate_key bigint"))
+    assert [tuple(r) for r in blocked.collect()] == [("fact_performance_reviews", 2)]
+    left = ingest.apply_delete(star, "dim_department", star["dim_department"])
+    assert {r["dept_key"] for r in left["fact_performance_reviews"].collect()} == {None}
+    assert left["dim_department"].count() == 0
