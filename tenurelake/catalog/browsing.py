@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from tenurelake.catalog.common import YEAR, avg2, plain
 from tenurelake.catalog.fixtures import view, with_views
 from tenurelake.plans import browse as B

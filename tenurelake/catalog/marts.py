@@ -8,7 +8,6 @@ from tenurelake.catalog.common import AS_OF, YEAR, avg2, half_up, plain
 from tenurelake.catalog.fixtures import view, with_views
 from tenurelake.operators import scd2
 from tenurelake.plans import marts as M
-from tenurelake.session import checkpointed
 
 
 def _star(spark, sf_dir):

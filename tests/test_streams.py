@@ -4,7 +4,6 @@ import datetime as dt
 from decimal import Decimal as D
 
 import pytest
-from pyspark.sql import functions as F
 
 from tenurelake.operators import facts, scd2
 from tenurelake.streaming import feeds
