@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tenurelake.llm import chat, url_rules
-from tenurelake.llm.common import table
+from tenurelake.llm import chat, language, quality_model, quality_rules, simhash, toxicity, url_rules
+from tenurelake.llm.common import remainder_is, table
 
 # The rules of the URL query as (host, path, verdict).
 URL_RULES = [
@@ -19,6 +19,20 @@ URL_RULES = [
 URL_WORDS = ["casino", "porn", "viagra", "torrent", "warez"]
 
 
+def op1_simhash(spark, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs)
+    return found.select("doc_id", simhash.hex_text("fp").alias("fingerprint"), "component_id")
+
+
+def op2_language(spark, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = remainder_is("doc_id", 4, 2)
+    model = language.train(docs.filter(~held_out))
+    read = docs.select("doc_id", held_out.alias("held_out"), language.identify(docs, model).alias("p"))
+    return read.select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
 def op3_chat_format(spark, sf_dir: str) -> DataFrame:
     extra = spark.sql(
         "select * from values (-1L, 0L, 'user', '</s>[INST] ok [/INST]'),"
@@ -40,6 +54,22 @@ def op3_chat_format(spark, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
+
+
+def _scored(docs: DataFrame, score, holdout: tuple[int, int], threshold: float) -> DataFrame:
+    scored = docs.select("doc_id", remainder_is("doc_id", *holdout).alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def op8_quality_model(spark, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model.train(docs, table(spark, sf_dir, "labels"))
+    return _scored(docs, quality_model.quality_score(docs, model), quality_model.HOLDOUT, 0.5)
+
+
 def op9_url_rules(spark, sf_dir: str) -> DataFrame:
     rules = [url_rules.path_rule(*r) for r in URL_RULES] + [url_rules.word_rule(w) for w in URL_WORDS]
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -48,6 +78,12 @@ def op9_url_rules(spark, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", named.alias("rule"), "verdict")
 
 
+def op10_toxicity(spark, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return _scored(docs, toxicity.toxicity_score(docs, model), toxicity.HOLDOUT, model.threshold)
+
+
 _ESC = lambda c: (
     f"regexp_replace(regexp_replace(replace({c}, '&', '&amp;'), '<(\\||/?s>)', '&lt;\\1', 'g'),"
     " '\\[(/?INST\\])', '&#91;\\1', 'g')"
@@ -86,8 +122,13 @@ from parted left join best using (k)
 """
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op2_language": op2_language,
     "op3_chat_format": op3_chat_format,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_quality_model": op8_quality_model,
     "op9_url_rules": op9_url_rules,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES = {
     "op3_chat_format": _CHAT_SQL,
