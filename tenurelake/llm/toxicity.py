@@ -159,7 +159,7 @@ def train(
     rows = texts.mapInPandas(encode, "h long, y int, x array<int>, swaps array<array<int>>").toPandas().sort_values("h")
     own = [list(x) for x in rows["x"]]
     pairs = [(i, list(s)) for i, swaps in enumerate(rows["swaps"]) for s in swaps if list(s) != own[i]]
-    bias, weights = fit(own, rows["y"].to_numpy(dtype=float), pairs, len(vocabulary), prior, penalty)
+    bias, weights = fit(own, rows["y"].to_numpy(dtype=float), pairs, len(vocabulary), penalty)
     return ToxicityModel(bias, {f: float(w) for f, w in zip(vocabulary, weights) if w})
 
 
@@ -180,18 +180,19 @@ class _Sparse:
 
 
 def fit(
-    rows: list[list[int]], y: np.ndarray, pairs: list[tuple[int, list[int]]], width: int, prior: float, penalty: float,
+    rows: list[list[int]], y: np.ndarray, pairs: list[tuple[int, list[int]]], width: int, penalty: float,
 ) -> tuple[float, np.ndarray]:
-    """Minimises mean log loss + penalty * mean squared score change of ``pairs`` (row, swapped
-    features) + ridge by Adam with fixed steps, so equal input gives an equal model."""
+    """Minimises log loss, each label with half of the weight, + penalty * mean squared score change
+    of ``pairs`` (row, swapped features) + ridge by Adam with fixed steps, so equal input gives an
+    equal model."""
+    share = np.where(y == 1, 0.5 / max(1.0, y.sum()), 0.5 / max(1.0, (1 - y).sum()))
     x = _Sparse(rows, width)
     base, swapped = np.array([i for i, _ in pairs], dtype=np.int64), _Sparse([s for _, s in pairs], width)
-    w, bias = np.zeros(width + 1), prior
-    w[-1] = bias
+    w = np.zeros(width + 1)
     m, v = np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, STEPS + 1):
         margin = x.times(w[:-1]) + w[-1]
-        wrong = (1 / (1 + np.exp(-np.clip(margin, -40, 40))) - y) / len(y)
+        wrong = (1 / (1 + np.exp(-np.clip(margin, -40, 40))) - y) * share
         grad = np.append(x.back(wrong) + RIDGE * w[:-1], wrong.sum())
         if len(base):
             change = 2 * penalty / len(base) * (margin[base] - w[-1] - swapped.times(w[:-1]))
