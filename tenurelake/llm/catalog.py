@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tenurelake.llm import chat, language, quality_model, quality_rules, simhash, toxicity, url_rules
+from tenurelake.llm import (
+    chat, language, mixing, packing, quality_model, quality_rules, simhash, topk, toxicity, url_rules,
+)
 from tenurelake.llm.common import remainder_is, table
 
 # The rules of the URL query as (host, path, verdict).
@@ -54,6 +56,20 @@ def op3_chat_format(spark, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_packing(spark, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op5_mixing(spark, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    placed, at = mixing.place(docs)
+    return placed.select("doc_id", "source", f"{at}.*")
+
+
+def op6_top_k(spark, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
@@ -84,6 +100,21 @@ def op10_toxicity(spark, sf_dir: str) -> DataFrame:
     return _scored(docs, toxicity.toxicity_score(docs, model), toxicity.HOLDOUT, model.threshold)
 
 
+_TOP_SQL = """
+with whole as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
+  from embeddings where vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+), scored as (
+  select q.vec_id as query_id, c.vec_id,
+    cast(list_sum(list_transform(generate_series(1, len(q.v)), lambda i: q.v[i] * c.v[i])) as bigint) as score
+  from whole q join whole c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 100 = 0
+)
+select query_id, cast(rank as int) as rank, vec_id, score from (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored
+) where rank <= 10
+"""
+
 _ESC = lambda c: (
     f"regexp_replace(regexp_replace(replace({c}, '&', '&amp;'), '<(\\||/?s>)', '&lt;\\1', 'g'),"
     " '\\[(/?INST\\])', '&#91;\\1', 'g')"
@@ -125,6 +156,9 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_language": op2_language,
     "op3_chat_format": op3_chat_format,
+    "op4_packing": op4_packing,
+    "op5_mixing": op5_mixing,
+    "op6_top_k": op6_top_k,
     "op7_quality_rules": op7_quality_rules,
     "op8_quality_model": op8_quality_model,
     "op9_url_rules": op9_url_rules,
@@ -132,5 +166,6 @@ QUERIES = {
 }
 ORACLES = {
     "op3_chat_format": _CHAT_SQL,
+    "op6_top_k": _TOP_SQL,
     "op9_url_rules": _URL_SQL,
 }
