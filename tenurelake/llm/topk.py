@@ -73,7 +73,8 @@ class Tree:
 
     def reach(self, node: list[int], queries: np.ndarray) -> np.ndarray:
         """The most that any point in the nodes' boxes can score, queries x nodes."""
-        return np.maximum(queries, 0) @ self.hi[node].T + np.minimum(queries, 0) @ self.lo[node].T
+        most = np.maximum(queries, 0) @ self.hi[node].T + np.minimum(queries, 0) @ self.lo[node].T
+        return most.astype(float)
 
 
 def search(points: np.ndarray, firsts: np.ndarray, queries: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -172,7 +173,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_
 
     def round_(queries: DataFrame) -> DataFrame:
         left = dealt.withColumn("block", each(blocks)).groupBy(*group)
-        return left.cogroup(queries.groupBy(*group)).applyInPandas(_one_shard(k), found_type)
+        right = queries.select(*[F.col(c).alias(c) for c in queries.columns]).groupBy(*group)  # columns of its own
+        return left.cogroup(right).applyInPandas(_one_shard(k), found_type)
 
     # Round one: the shard a query's own vector is dealt to.
     known = F.lit(float("-inf"))
