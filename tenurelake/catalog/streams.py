@@ -16,11 +16,17 @@ from tenurelake.session import shared_dir
 from tenurelake.streaming import feeds
 
 
+FILES, FILES_PER_BATCH = 12, 5
+
+
 def stream_view(spark, sf_dir, name, table):
-    """A fixture view over ``table`` read as a stream."""
-    schema = spark.read.parquet(f"{sf_dir}/{table}.parquet").schema
+    """A fixture view over ``table`` read as a stream of several micro-batches: the table is rewritten
+    as files whose rows, and so their times, are shuffled."""
+    rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    folder = _out(spark, f"{table}-files")
+    rows.repartition(FILES, F.xxhash64(*rows.columns)).write.parquet(folder)
     source = f"stream_{table}_{uuid.uuid4().hex}"
-    feeds.read_stream(spark, sf_dir, schema, f"{table}.parquet").createOrReplaceTempView(source)
+    feeds.read_stream(spark, folder, rows.schema, max_files=FILES_PER_BATCH).createOrReplaceTempView(source)
     return spark.sql(re.sub(rf"\b{table}\b", source, VIEWS[name]))
 
 
@@ -39,19 +45,18 @@ def _reviews(s, d, part):
 
 def _salaries(s, d):
     out = _out(s, "salaries")
-    feeds.run(feeds.stream_salary_versions(stream_view(s, d, "hr_salary_drift", "events")), out, "versions")
-    opened = s.read.parquet(f"{out}/versions").withColumn("start_date", F.to_date("change_ts"))
+    feeds.stream_salary_versions(stream_view(s, d, "hr_salary_drift", "events"), out)
+    opened = feeds.salary_versions(s, out).withColumn("start_date", F.to_date("change_ts"))
     chained = scd2.scd2_from_versions(opened, "employee_id", ["change_ts", "event_id"], "start_date")
     return plain(chained.drop("change_ts"))
 
 
 def _trend(s, d):
     out = _out(s, "trend")
-    stream = feeds.stream_rating_trend(
-        stream_view(s, d, "hr_reviews", "orders"), view(s, d, "hr_employees_raw"), view(s, d, "hr_departments")
+    feeds.stream_rating_trend(
+        stream_view(s, d, "hr_reviews", "orders"), view(s, d, "hr_employees_raw"), view(s, d, "hr_departments"), out
     )
-    feeds.run(stream, out, "trend")
-    return s.read.parquet(f"{out}/trend")
+    return feeds.rating_trend(s, out)
 
 
 QUERIES = {
@@ -75,8 +80,7 @@ def _oracles():
             f"select r.review_id, r.review_year from hr_reviews r where not ({_VALID})"),
         "stream_salary_scd2": batch["scd2_change_log_last_version"],
         "stream_rating_trend": with_views(f"""select window_start, department_name,
- {avg2('sum(performance_rating)', 'count(*)')} as avg_rating, count(*) as reviews from t
-where window_start + 28 <= (select max(review_date) - 1 from hr_reviews) group by window_start, department_name""", {
+ {avg2('sum(performance_rating)', 'count(*)')} as avg_rating, count(*) as reviews from t group by window_start, department_name""", {
             "t": """select date '1970-01-01' + cast(((r.review_date - date '1970-01-01') // 28) * 28 as int) as window_start,
  d.department_name, r.performance_rating from hr_reviews r join hr_employees_raw e on r.employee_id = e.employee_id
 join hr_departments d on e.department_id = d.department_id"""}),

@@ -1,126 +1,135 @@
 """The same loads fed by Structured Streaming.
 
-Each stream runs with ``availableNow``: it takes what is there and ends. On the same input it gives
-what the batch operators give; rows later than the watermark are dropped.
+Each stream runs with ``availableNow``: it takes what is there and ends. What it leaves does not
+depend on how files fall into micro-batches or in which order they come: no row is ever too late.
+Every micro-batch overwrites folders of its own number, so one repeated after a failure leaves one copy.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tenurelake.functions import scalars as S
-from tenurelake.operators import facts, quality
-from tenurelake.operators.folds import NO_VERSION, emitted
+from tenurelake.operators import facts, quality, scale, scd2
 
-# Bounds one micro-batch, and with it the events of one employee that a task holds at a time.
-MAX_FILES_PER_TRIGGER = 64
+ID_BLOCK_BITS = 20  # ids seen are laid out in folders of 2^20 ids, so a batch reads those it needs
+LOG_BUCKETS = 64  # and the salary log in this many folders of employees
 
 
-def read_stream(spark: SparkSession, folder: str, schema: T.StructType, files: str = "*.parquet") -> DataFrame:
-    return (
-        spark.readStream.schema(schema).option("pathGlobFilter", files)
-        .option("maxFilesPerTrigger", MAX_FILES_PER_TRIGGER).parquet(folder)
-    )
-
-
-def event_time(df: DataFrame, name: str, day: str, delay: str) -> DataFrame:
-    """``df`` with a watermarked timestamp: the UTC start of the date ``day``, in any session zone."""
-    at = F.timestamp_seconds(F.unix_date(day) * 86400)
-    return df.withColumn(name, at).withWatermark(name, delay)
+def read_stream(
+    spark: SparkSession, folder: str, schema: T.StructType, files: str = "*.parquet",
+    max_files: int | None = None, max_bytes: str | None = None,
+) -> DataFrame:
+    """Files of ``folder`` as a stream; the two limits bound one micro-batch."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", files)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    return reader.parquet(folder)
 
 
-def run(df: DataFrame, out: str, name: str) -> None:
-    """Appends a streaming result to parquet files under ``out``, exactly once, and waits for the end."""
+def _run(df: DataFrame, out: str, load: Callable[[DataFrame, int], None]) -> None:
     query = (
-        df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
-        .option("checkpointLocation", f"{out}/_checkpoint_{name}").start(f"{out}/{name}")
+        df.writeStream.foreachBatch(load).trigger(availableNow=True)
+        .option("checkpointLocation", f"{out}/_checkpoint").start()
     )
     query.awaitTermination()
 
 
+def _earlier(spark: SparkSession, folder: str, schema: str, number: int) -> DataFrame:
+    """Rows that batches before ``number`` left under ``folder``; a repeated batch does not see its own."""
+    if not number:
+        return spark.createDataFrame([], f"{schema}, batch bigint")
+    return spark.read.schema(f"{schema}, batch bigint").parquet(folder).filter(F.col("batch") < number)
+
+
 def stream_reviews(
-    reviews: DataFrame, emp: DataFrame, dept: DataFrame, dim_emp: DataFrame, dim_dept: DataFrame,
-    out: str, delay: str = "30 days",
+    reviews: DataFrame, emp: DataFrame, dept: DataFrame, dim_emp: DataFrame, dim_dept: DataFrame, out: str,
 ) -> None:
-    """Reviews → validated, deduplicated facts under ``out``/fact; broken rows under ``out``/quarantine.
+    """Reviews → validated facts under ``out``/fact; broken rows under ``out``/quarantine.
 
-    Each micro-batch overwrites its own folder, so a batch repeated after a failure leaves one copy.
-    Review ids already loaded are skipped, also when they come back after the watermark.
+    A review counts once: of equal ids in one batch the least row, and none whose id came before.
+    Ids are kept in folders by their upper bits, of which a batch reads only its own.
     """
     spark = reviews.sparkSession
+    id_type = reviews.schema["review_id"].dataType.simpleString()
+    schema = f"review_id {id_type}, block bigint"
 
     def load(batch: DataFrame, number: int) -> None:
-        batch = batch.drop("_event_time").persist()  # read twice below, computed once
-        valid, broken = quality.split_valid(batch, quality.review_rules())
-        done = None
-        if number:  # ids of earlier batches; a batch that is run again does not see its own
-            id_type = batch.schema["review_id"].dataType.simpleString()
-            ids = spark.read.schema(f"review_id {id_type}, batch bigint").parquet(f"{out}/ids")
-            done = ids.filter(F.col("batch") < number)
         here = f"batch={number}"
+        block = F.shiftright(F.col("review_id").cast("bigint"), ID_BLOCK_BITS)
+        firsts = scale.first_per_key(batch, ["review_id"], [c for c in batch.columns if c != "review_id"])
+        known = _earlier(spark, f"{out}/ids", schema, number).select("review_id", "block")
+        fresh = firsts.withColumn("block", block).join(known, ["block", "review_id"], "left_anti").persist()
+        valid, broken = quality.split_valid(fresh.drop("block"), quality.review_rules())
         facts.load_fact_reviews(
-            valid, emp, dept, dim_emp, dim_dept, done, number=False
+            valid, emp, dept, dim_emp, dim_dept, number=False
         ).write.mode("overwrite").parquet(f"{out}/fact/{here}")
         broken.write.mode("overwrite").parquet(f"{out}/quarantine/{here}")
-        spark.read.parquet(f"{out}/fact/{here}").select("review_id").write.mode("overwrite").parquet(
-            f"{out}/ids/{here}"
-        )
-        batch.unpersist()
+        fresh.select("review_id", "block").write.mode("overwrite").partitionBy("block").parquet(f"{out}/ids/{here}")
+        fresh.unpersist()
 
-    timed = event_time(reviews, "_event_time", "review_date", delay)
-    query = (
-        timed.dropDuplicatesWithinWatermark(["review_id"])
-        .writeStream.foreachBatch(load).trigger(availableNow=True)
-        .option("checkpointLocation", f"{out}/_checkpoint").start()
-    )
-    query.awaitTermination()
+    _run(reviews, out, load)
 
 
-def stream_salary_versions(log: DataFrame) -> DataFrame:
-    """Salary changes → the changes that open a version, against the last version opened.
+def stream_salary_versions(log: DataFrame, out: str, hot_rows: int = scale.HOT_ROWS) -> None:
+    """Salary changes → the changes that open a version, as the batch operator finds them in the
+    whole log (see ``salary_versions``).
 
-    The state per employee is one number. Changes are applied in time order inside a micro-batch and
-    in arrival order across micro-batches, as an application writing them one by one would.
+    The log is kept. A batch folds all events of the employees it touches anew, in time order, so a
+    late change moves the versions after it; oversized employees are split as in the batch operator.
     """
-    events = log.select("employee_id", "change_ts", "event_id", S.cents(F.col("new_salary")).alias("_c"))
-
-    def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(batches)).sort_values(["change_ts", "event_id"])
-        last = state.get[0] if state.exists else NO_VERSION
-        e = pdf["_c"].to_numpy(dtype=np.int64)
-        picked = emitted(e, last)
-        if picked:
-            state.update((int(e[picked[-1]]),))
-            yield pdf.iloc[picked]
-
-    kept = events.groupBy("employee_id").applyInPandasWithState(
-        fold, events.schema, "last bigint", "append", GroupStateTimeout.NoTimeout
-    )
-    return kept.withColumn("monthly_income", (F.col("_c") / 100).cast("decimal(10,2)")).drop("_c")
+    spark = log.sparkSession
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in log.schema)
+
+    def load(batch: DataFrame, number: int) -> None:
+        here = f"batch={number}"
+        bucket = F.pmod(F.hash("employee_id"), F.lit(LOG_BUCKETS))
+        batch.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/log/{here}")
+        held = spark.read.schema(f"{schema}, bucket int, batch bigint").parquet(f"{out}/log").filter(F.col("batch") <= number)
+        touched = batch.select("employee_id").distinct().withColumn("bucket", bucket)
+        again = held.join(touched, ["bucket", "employee_id"], "left_semi").select(*log.columns)
+        opened = scd2.versions_from_log(again, "last_version", hot_rows)
+        opened.write.mode("overwrite").parquet(f"{out}/versions/{here}")
+
+    _run(log, out, load)
+
+
+def salary_versions(spark: SparkSession, out: str) -> DataFrame:
+    """The versions of every employee as the last batch that touched the employee left them."""
+    held = spark.read.parquet(f"{out}/versions")
+    last = held.groupBy("employee_id").agg(F.max("batch").alias("batch"))
+    return held.join(last, ["employee_id", "batch"], "left_semi").drop("batch")
 
 
 def stream_rating_trend(
-    reviews: DataFrame, emp: DataFrame, dept: DataFrame, width: str = "28 days", delay: str = "1 day"
-) -> DataFrame:
-    """Average rating per department and tumbling window, emitted once the watermark has passed it."""
+    reviews: DataFrame, emp: DataFrame, dept: DataFrame, out: str, width_days: int = 28
+) -> None:
+    """Sums and counts of ratings per department and tumbling window, added up by ``rating_trend``."""
     names = emp.select("employee_id", "department_id").join(
         dept.select("department_id", "department_name"), "department_id"
     ).drop("department_id")
-    timed = event_time(
-        reviews.select("employee_id", "review_date", "performance_rating"), "_at", "review_date", delay
+    day = F.unix_date("review_date")
+    start = F.date_from_unix_date((F.floor(day / width_days) * width_days).cast("int"))
+
+    def load(batch: DataFrame, number: int) -> None:
+        batch.select("employee_id", "performance_rating", start.alias("window_start")).join(names, "employee_id").groupBy(
+            "window_start", "department_name"
+        ).agg(
+            F.sum("performance_rating").alias("s"), F.count("performance_rating").alias("n")
+        ).write.mode("overwrite").parquet(f"{out}/sums/batch={number}")
+
+    _run(reviews, out, load)
+
+
+def rating_trend(spark: SparkSession, out: str) -> DataFrame:
+    """Average rating per department and window, open windows included; late rows are in their window."""
+    total = spark.read.parquet(f"{out}/sums").groupBy("window_start", "department_name").agg(
+        F.sum("s").alias("s"), F.sum("n").alias("n")
     )
-    first_day = F.date_from_unix_date(F.call_function("div", F.unix_seconds("w.start"), F.lit(86400)).cast("int"))
-    return (
-        timed.join(names, "employee_id")
-        .groupBy(F.window("_at", width).alias("w"), "department_name")
-        .agg(F.sum("performance_rating").alias("_s"), F.count("performance_rating").alias("_n"))
-        .select(
-            first_day.alias("window_start"), "department_name",
-            S.exact_avg(F.col("_s"), F.col("_n")).alias("avg_rating"), F.col("_n").alias("reviews"),
-        )
+    return total.select(
+        "window_start", "department_name", S.exact_avg(F.col("s"), F.col("n")).alias("avg_rating"), F.col("n").alias("reviews")
     )

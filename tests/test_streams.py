@@ -9,11 +9,6 @@ from tenurelake.operators import facts, scd2
 from tenurelake.streaming import feeds
 
 
-@pytest.fixture
-def one_file_per_batch(monkeypatch):
-    monkeypatch.setattr(feeds, "MAX_FILES_PER_TRIGGER", 1)
-
-
 def write_in_order(batches, folder, schema, spark):
     """Files become micro-batches in the order of their modification time."""
     import os
@@ -48,22 +43,22 @@ def company(spark):
     return emp, dept, dim, spark.createDataFrame([(7, 10)], "dept_key bigint, department_id int")
 
 
-def test_reviews_across_batches(spark, tmp_path, company, one_file_per_batch):
+def test_reviews_across_batches(spark, tmp_path, company):
     folder = write_in_order([
         [review(1, 0), review(1, 0), review(2, 1, rating=9)],
-        [review(3, 100), review(1, 100)],  # 1 again: still inside the watermark, or known as loaded
-        [review(5, 101)],  # Spark drops late rows by the watermark of the batch before the last
-        [review(4, 10)],  # 4 is later than it allows
+        [review(3, 100), review(1, 100), review(2, 1, rating=9)],  # 1 and 2 again
+        [review(5, 101)],
+        [review(4, 10)],  # long after later ones
         [review(3, 102), review(6, 103)],
     ], tmp_path, REVIEW, spark)
-    schema = spark.createDataFrame([], REVIEW).schema
-    feeds.stream_reviews(feeds.read_stream(spark, folder, schema), *company, f"{tmp_path}/out", delay="30 days")
+    read = lambda: feeds.read_stream(spark, folder, spark.createDataFrame([], REVIEW).schema, max_files=1)
+    feeds.stream_reviews(read(), *company, f"{tmp_path}/out")
     loaded = spark.read.parquet(f"{tmp_path}/out/fact")
-    assert sorted(r["review_id"] for r in loaded.collect()) == [1, 3, 5, 6]
+    assert sorted(r["review_id"] for r in loaded.collect()) == [1, 3, 4, 5, 6]
     assert [r["review_id"] for r in spark.read.parquet(f"{tmp_path}/out/quarantine").collect()] == [2]
     # a second run has nothing left to do
-    feeds.stream_reviews(feeds.read_stream(spark, folder, schema), *company, f"{tmp_path}/out", delay="30 days")
-    assert spark.read.parquet(f"{tmp_path}/out/fact").count() == 4
+    feeds.stream_reviews(read(), *company, f"{tmp_path}/out")
+    assert spark.read.parquet(f"{tmp_path}/out/fact").count() == 5
 
 
 LOG = "event_id int, employee_id int, change_ts timestamp, new_salary decimal(10,2)"
@@ -73,31 +68,33 @@ def change(i, emp, salary):
     return (i, emp, dt.datetime(2020, 1, 1) + dt.timedelta(hours=i), D(str(salary)))
 
 
-def test_salary_versions_equal_batch(spark, tmp_path, one_file_per_batch):
+@pytest.mark.parametrize("hot_rows", [4, 1000])
+@pytest.mark.parametrize("files", [1, 3, 7])
+def test_salary_versions_equal_batch_in_any_order(spark, tmp_path, files, hot_rows):
     events = [change(i, i % 3, 1000 + (i * 37) % 97) for i in range(60)]
-    folder = write_in_order([events[:20], events[20:25], events[25:]], tmp_path, LOG, spark)
-    stream = feeds.read_stream(spark, folder, spark.createDataFrame([], LOG).schema)
-    feeds.run(feeds.stream_salary_versions(stream), f"{tmp_path}/out", "versions")
-    got = spark.read.parquet(f"{tmp_path}/out/versions")
+    shuffled = sorted(events, key=lambda e: e[0] * 7919 % 61)
+    folder = write_in_order([shuffled[k::files] for k in range(files)], tmp_path, LOG, spark)
+    stream = feeds.read_stream(spark, folder, spark.createDataFrame([], LOG).schema, max_files=1)
+    feeds.stream_salary_versions(stream, f"{tmp_path}/out", hot_rows)
+    got = feeds.salary_versions(spark, f"{tmp_path}/out")
     want = scd2.versions_from_log(spark.createDataFrame(events, LOG))
     assert sorted(got.select(*want.columns).collect()) == sorted(want.collect())
     assert 3 < want.count() < 60
 
 
-def test_late_changes_are_applied_on_arrival(spark, tmp_path, one_file_per_batch):
-    folder = write_in_order([[change(1, 1, 100), change(9, 1, 200)], [change(5, 1, 104)]], tmp_path, LOG, spark)
-    stream = feeds.read_stream(spark, folder, spark.createDataFrame([], LOG).schema)
-    feeds.run(feeds.stream_salary_versions(stream), f"{tmp_path}/out", "versions")
-    got = spark.read.parquet(f"{tmp_path}/out/versions")
-    assert sorted(r["event_id"] for r in got.collect()) == [1, 5, 9]  # 104 differs from 200
+def test_a_late_change_moves_the_versions_after_it(spark, tmp_path):
+    folder = write_in_order([[change(1, 1, 100), change(9, 1, 104)], [change(5, 1, 200)]], tmp_path, LOG, spark)
+    stream = feeds.read_stream(spark, folder, spark.createDataFrame([], LOG).schema, max_files=1)
+    feeds.stream_salary_versions(stream, f"{tmp_path}/out")
+    assert sorted(r["event_id"] for r in feeds.salary_versions(spark, f"{tmp_path}/out").collect()) == [1, 5, 9]
 
 
-def test_trend_drops_late_rows_and_holds_open_windows(spark, tmp_path, company, one_file_per_batch):
+def test_trend_holds_late_rows_and_open_windows(spark, tmp_path, company):
     folder = write_in_order([
         [review(1, 0, 4), review(2, 1, 1, emp=2), review(3, 40)], [review(5, 90)], [review(4, 2), review(6, 91)],
     ], tmp_path, REVIEW, spark)
-    stream = feeds.read_stream(spark, folder, spark.createDataFrame([], REVIEW).schema)
-    feeds.run(feeds.stream_rating_trend(stream, company[0], company[1]), f"{tmp_path}/out", "trend")
-    rows = spark.read.parquet(f"{tmp_path}/out/trend").orderBy("window_start").collect()
-    assert sum(r["reviews"] for r in rows) == 3  # 4 came late; the window of 5 and 6 is still open
-    assert sum(r["avg_rating"] * r["reviews"] for r in rows) == pytest.approx(4 + 1 + 3)
+    stream = feeds.read_stream(spark, folder, spark.createDataFrame([], REVIEW).schema, max_files=1)
+    feeds.stream_rating_trend(stream, company[0], company[1], f"{tmp_path}/out")
+    rows = feeds.rating_trend(spark, f"{tmp_path}/out").orderBy("window_start").collect()
+    assert sum(r["reviews"] for r in rows) == 6
+    assert sum(r["avg_rating"] * r["reviews"] for r in rows) == pytest.approx(4 + 1 + 3 + 3 + 3 + 3, abs=0.02)
