@@ -46,8 +46,8 @@ def load_fact_reviews(
 
     Reviews bind to the employee's current version, not to the one valid at the review date
     (see ``asof_version_join``); the project key stays NULL. The employee side is assembled first
-    and is employee-sized, so the reviews are shuffled once per join key and no more. An increment
-    is written once before it is numbered, so the comparison with all loaded facts is not repeated.
+    and is employee-sized, so the reviews are shuffled once per join key and no more. The rows are
+    written once before they are numbered, so the joins are not repeated.
     """
     fresh = reviews if fact is None else dims.new_rows(reviews, fact, "review_id")
     rows = fresh.join(bind_employees(emp, dept, dim_emp, dim_dept), "employee_id").select(
@@ -58,8 +58,6 @@ def load_fact_reviews(
     )
     if not number:
         return rows
-    after = 0
-    if fact is not None:
-        rows = checkpointed(rows)
-        after = dims.max_key(fact, "fact_id") if "fact_id" in fact.columns else 0
+    rows = checkpointed(rows)
+    after = dims.max_key(fact, "fact_id") if fact is not None and "fact_id" in fact.columns else 0
     return dims.assign_surrogate(rows, "review_id", "fact_id", after, ["surrogate_key", "dept_key"])

@@ -87,8 +87,10 @@ def distributed_ntile(
 
     Rows of one score are numbered block by block, so any number of rows may share a score. Only
     the block counts, at most 65,536 per score, are put in order by one task; ``score`` must be a
-    scale of few values.
+    scale of few values. A wider id would put too many blocks of a score in one task and is refused.
     """
+    if dict(df.dtypes)[id_col] not in ("tinyint", "smallint", "int"):
+        raise TypeError(f"{id_col} is no whole number of at most 32 bits")
     blocked, blocks = _blocks(df, id_col, [score])
     along = W.orderBy(F.col(score).desc(), "_block")
     offsets = blocks.select(
@@ -115,12 +117,11 @@ def value_ranks(df: DataFrame, part: list[str], value: str) -> DataFrame:
 
     Equal values are merged before any ordering, so a value shared by a third of all rows is one row.
     ``value`` is a whole number of at most 36 bits, as DECIMAL(10,2) cents are: a part has at most
-    2^18 blocks, each of at most 2^18 different values, whatever its size.
+    2^18 blocks, each of at most 2^18 different values, whatever its size. A larger value fails the query.
     """
-    counts = (
-        df.groupBy(*part, value).agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_block", F.shiftright(F.col(value), 18))
-    )
+    fits = F.col(value).isNull() | F.col(value).between(-(2**36), 2**36 - 1)
+    block = F.when(fits, F.shiftright(F.col(value), 18)).otherwise(F.raise_error(F.lit("value beyond 36 bits")))
+    counts = df.groupBy(*part, value).agg(F.count(F.lit(1)).alias("n")).withColumn("_block", block)
     known = F.when(F.col(value).isNotNull(), F.col("n"))
     blocks = counts.groupBy(*part, "_block").agg(
         F.sum("n").alias("_m"), F.sum(F.col(value) * F.col("n")).alias("_s"), F.sum(known).alias("_k")
@@ -166,12 +167,13 @@ def top_n_per_group(
 
     Ranks are taken over distinct order values, where dense rank equals row number; Spark keeps
     ``limit`` of them per part and task before the shuffle. Tied rows are then joined back, so
-    however many rows tie, no task holds them all.
+    however many rows tie, no task holds them all. ``df`` is written once for the two.
     """
+    df = checkpointed(df)
     keys = df.select(*part, *order).distinct()
     window = W.partitionBy(*part).orderBy(*[F.col(c).desc() for c in order])
     best = keys.withColumn(out, F.row_number().over(window)).filter(F.col(out) <= limit)
-    return null_safe_join(df, best, [*part, *order])
+    return null_safe_join(df, small(best), [*part, *order])
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str], last: bool = False) -> DataFrame:
@@ -183,23 +185,21 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str], last: bool =
     return picked.select(*keys, "_row.*").select(*df.columns)
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows, or None. There are at most rows / hot_rows of them,
-    which bounds both the collect and the broadcast of the result."""
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> tuple[DataFrame, int]:
+    """Keys with more than ``hot_rows`` rows, and how many rows they have together."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-    found = counted.select(*keys).collect()
-    if not found:
-        return None
-    return F.broadcast(df.sparkSession.createDataFrame(found, df.select(*keys).schema))
+    # columns of its own, as it is joined back to the rows it comes from
+    found = checkpointed(counted.select(*[F.col(c).alias(c) for c in keys], "_n"))
+    return found.select(*keys), found.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
 
 
-def ordered_segments(df: DataFrame, keys: list[str], order: list[str], rows: int) -> DataFrame:
-    """``df`` cut into runs of about ``rows`` rows in (keys, order) order, numbered ``_seg``.
+def ordered_segments(df: DataFrame, keys: list[str], order: list[str], rows: int, held: int) -> DataFrame:
+    """The ``held`` rows of ``df`` cut into runs of about ``rows`` in (keys, order) order, numbered ``_seg``.
 
     Range bounds come from a sample and could differ if a lost task were run again, so the numbered
     rows are checkpointed before anything depends on them.
     """
-    pieces = max(2, math.ceil(df.count() / max(rows, 1)))
+    pieces = max(2, math.ceil(held / max(rows, 1)))
     cut = df.repartitionByRange(pieces, *keys, *order)
     return checkpointed(cut.withColumn("_seg", F.spark_partition_id()))
 
@@ -209,11 +209,12 @@ def split_by_heat(
     cold: Callable[[DataFrame], DataFrame], hot: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """``cold`` on ordinary keys, ``hot`` on the segments of the oversized ones, together."""
-    big = hot_keys(df, keys, hot_rows)
-    if big is None:
+    big, held = hot_keys(df, keys, hot_rows)
+    if not held:
         return cold(df)
+    big = small(big)
     calm = null_safe_join(df, big, keys, "left_anti")
-    heavy = ordered_segments(null_safe_join(df, big, keys, "left_semi"), keys, order, hot_rows)
+    heavy = ordered_segments(null_safe_join(df, big, keys, "left_semi"), keys, order, hot_rows, held)
     return cold(calm).unionByName(hot(heavy))
 
 

@@ -48,13 +48,20 @@ def scd2_classify(snapshot: DataFrame, dim: DataFrame, threshold: Decimal = THRE
 
 
 def _close(dim: DataFrame, ids: DataFrame, as_of: dt.date) -> DataFrame:
-    """``dim`` with the current versions of ``ids`` ended at ``as_of``."""
-    marked = dim.join(ids.select("employee_id").withColumn("_hit", F.lit(1)), "employee_id", "left")
-    ends = F.col("_hit").isNotNull() & (F.col("is_current") == 1)
-    return marked.withColumns({
-        "end_date": F.when(ends, F.lit(as_of)).otherwise(F.col("end_date")),
-        "is_current": F.when(ends, 0).otherwise(F.col("is_current")),
-    }).select(*dim.columns)
+    """``dim`` with the current versions of ``ids`` ended at ``as_of``. Closed versions skip the join."""
+    kept, ended = _split_current(dim, ids, as_of)
+    past = dim.filter(~F.coalesce(F.col("is_current") == 1, F.lit(False)))
+    return kept.unionByName(ended).unionByName(past)
+
+
+def _split_current(dim: DataFrame, ids: DataFrame, as_of: dt.date) -> tuple[DataFrame, DataFrame]:
+    """(current versions of all others, current versions of ``ids`` ended at ``as_of``)."""
+    live, hit = dim.filter(F.col("is_current") == 1), ids.select("employee_id").distinct()
+    ended = live.join(hit, "employee_id", "left_semi").withColumns(
+        {"end_date": F.lit(as_of), "is_current": F.lit(0)}
+    )
+    kept = live.join(hit, "employee_id", "left_anti")
+    return kept.select(*dim.columns), ended.select(*[F.col(f.name).cast(f.dataType) for f in dim.schema])
 
 
 def _open(
@@ -99,12 +106,7 @@ def scd2_merge(
     so a nightly merge reads and writes current rows only.
     """
     due = _due(snapshot, dim, threshold)
-    live = dim.filter(F.col("is_current") == 1)
-    changed = due.filter(F.col("status") == "CHANGED").select("employee_id")
-    kept = live.join(changed, "employee_id", "left_anti").select(*dim.columns)
-    ended = live.join(changed, "employee_id", "left_semi").withColumns(
-        {"end_date": F.lit(as_of), "is_current": F.lit(0)}
-    ).select(*dim.columns)
+    kept, ended = _split_current(dim, due.filter(F.col("status") == "CHANGED"), as_of)
     return kept.unionByName(_open(due, dim, as_of, [], RATING_COLUMNS)), ended
 
 
@@ -221,10 +223,8 @@ def _fold_hot(part: DataFrame) -> DataFrame:
     states = summed.groupBy("employee_id").applyInPandas(
         chain, f"employee_id {key_type}, _seg int, _state bigint"
     )
-    kept = slim.join(states, at).groupBy(*at).applyInPandas(
-        replay, slim.drop("_seg").schema
-    )
-    return kept
+    # events without an employee are one sequence here as in the fold of ordinary employees
+    return scale.null_safe_join(slim, states, at).groupBy(*at).applyInPandas(replay, slim.drop("_seg").schema)
 
 
 def versions_from_log(
@@ -258,13 +258,47 @@ def scd2_from_change_log(
     log: DataFrame, mode: str = "last_version", hot_rows: int = scale.HOT_ROWS
 ) -> DataFrame:
     """Salary versions with their validity, from a change log."""
-    opened = versions_from_log(log, mode, hot_rows)
+    # written once: chaining counts its keys before it chains, and the fold must not run for both
+    opened = checkpointed(versions_from_log(log, mode, hot_rows))
     return scd2_from_versions(
         opened.withColumn("start_date", F.to_date("change_ts")),
         "employee_id", ["change_ts", "event_id"], "start_date", hot_rows,
     )
 
 
+def apply_salary_changes(
+    emp: DataFrame, dim: DataFrame, dept: DataFrame, log: DataFrame, as_of: dt.date,
+    hot_rows: int = scale.HOT_ROWS,
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(employees, current versions, versions closed, salary history, rejected) after a day's changes.
+
+    Every change is logged and the last one becomes the salary on record. An employee with a change
+    of more than 5 % against the salary just before it has the current version closed at ``as_of``
+    and a new one opened, with the last salary that opened one; hike and ratings stay NULL. Several such
+    changes of one day would leave empty versions of that day; only the last is kept.
+    """
+    rejected = unknown_employees(log, emp)
+    told = salary_history(log, emp, hot_rows).join(log.select("event_id", "change_ts"), "event_id")
+    last = checkpointed(told.groupBy("employee_id").agg(
+        F.max(F.when(F.col("opens_version"), F.struct("change_ts", "event_id", "new_salary"))).alias("_v"),
+        F.max(F.struct("change_ts", "event_id", "new_salary")).alias("_last"),
+    ))
+    after = emp.join(last, "employee_id", "left").withColumn(
+        "monthly_income", F.coalesce(F.col("_last.new_salary"), F.col("monthly_income"))
+    )
+    if "updated_at" in emp.columns:
+        touched = F.when(F.col("_last").isNotNull(), F.lit(as_of).cast("timestamp"))
+        after = after.withColumn("updated_at", F.coalesce(touched, F.col("updated_at")))
+    due = last.filter(F.col("_v").isNotNull()).select("employee_id", F.col("_v.new_salary").alias("_to"))
+    kept, ended = _split_current(dim, due, as_of)
+    paid = emp.join(due, "employee_id").withColumn("monthly_income", F.col("_to")).drop("_to", "department_name")
+    named = paid.join(dept.select("department_id", "department_name"), "department_id", "left").withColumn(
+        "department_name", F.coalesce("department_name", F.lit(""))
+    )
+    opened = _open(named, dim, as_of, ["percent_salary_hike", *RATING_COLUMNS], [])
+    return after.select(*emp.columns), kept.unionByName(opened), ended, told.drop("change_ts"), rejected
+
+
 # -- other changes ----------------------------------------------------------------------------
 
 
@@ -301,7 +335,11 @@ def apply_transfers(
     moved = emp.join(last, "employee_id")
     emp_after = emp.join(last, "employee_id", "left").withColumn(
         "department_id", F.coalesce(F.col("_to"), F.col("department_id"))
-    ).select(*emp.columns)
+    )
+    if "updated_at" in emp.columns:
+        touched = F.when(F.col("_to").isNotNull(), F.lit(as_of).cast("timestamp"))
+        emp_after = emp_after.withColumn("updated_at", F.coalesce(touched, F.col("updated_at")))
+    emp_after = emp_after.select(*emp.columns)
     named = moved.withColumn("department_id", F.col("_to")).drop("_to", "department_name").join(
         dept.select("department_id", "department_name"), "department_id"
     )

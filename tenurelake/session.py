@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,12 +39,13 @@ def local_session(cpus: int | str = 8, partitions: int | None = None) -> SparkSe
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's ``spark.checkpoint.dir``.
 
-    Where it is unset a local session gets a temporary folder; a cluster session is refused,
-    because files on one machine would be lost with it.
+    Where it is unset, a folder set by ``setCheckpointDir`` is used. A session of one process that
+    has neither gets a temporary folder; any other is refused, because files on one machine would be
+    lost with it.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\[\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="tenurelake-")
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -53,5 +55,7 @@ def shared_dir(spark: SparkSession) -> str:
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder, so later steps survive the loss of executors."""
     spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    folder = shared_dir(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()

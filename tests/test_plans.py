@@ -8,6 +8,7 @@ from bench import HEADLINE
 from tenurelake import schemas
 from tenurelake.catalog import QUERIES
 from tenurelake.catalog.fixtures import view
+from tenurelake.operators import scale
 from tenurelake.plans import browse, marts
 from tenurelake.sources.tables import Warehouse
 
@@ -29,7 +30,13 @@ def scans(plan: str, column: str) -> list[str]:
     return [line for line in plan.splitlines() if "FileScan" in line and column in line]
 
 
-def test_year_prunes_partitions_and_columns(house):
+@pytest.fixture
+def lazy(monkeypatch):
+    """Leaves out the writing of intermediate results, so that one plan shows everything."""
+    monkeypatch.setattr(scale, "checkpointed", lambda df: df)
+
+
+def test_year_prunes_partitions_and_columns(house, lazy):
     top = marts.top_performers(house.read("fact_performance_reviews"), house.read("dim_employee"), 2000)
     facts = scans(plan_of(top), "performance_rating")
     assert facts and all(re.search(r"PartitionFilters: \[isnotnull\(review_year", s) for s in facts)
@@ -46,6 +53,16 @@ def test_filters_reach_the_files(house):
     assert all("EqualTo(employee_id,7)" in s for s in one)
 
 
+def test_top_n_reads_the_facts_once(house):
+    calls, write = [], scale.checkpointed
+    try:
+        scale.checkpointed = lambda df: calls.append(plan_of(df)) or write(df)
+        top = marts.top_performers(house.read("fact_performance_reviews"), house.read("dim_employee"), None)
+    finally:
+        scale.checkpointed = write
+    assert len(calls) == 1 and len(scans(calls[0], "performance_rating")) == 1 and not scans(plan_of(top), "performance_rating")
+
+
 def test_top_n_is_cut_before_the_shuffle(house):
     plan = plan_of(marts.top_performers(house.read("fact_performance_reviews"), house.read("dim_employee"), None))
     assert plan.count("WindowGroupLimit") >= 2  # partial and final
@@ -60,7 +77,7 @@ def test_no_products_and_no_unhinted_broadcasts(spark, sf_dir):
         for query in HEADLINE:
             plan = plan_of(QUERIES[query](spark, sf_dir))
             assert "CartesianProduct" not in plan and "NestedLoop" not in plan, query
-            if query not in ("yoy_performance", "department_kpis_total"):
+            if query not in ("yoy_performance", "department_kpis_total", "top_performers_year", "top_performers_all"):
                 assert "BroadcastExchange" not in plan, query
     finally:
         for name in names:

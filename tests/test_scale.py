@@ -105,7 +105,7 @@ def test_same_timestamps_are_cut_too(spark):
     assert {(r["id"], r["next"]) for r in got.collect()} == {
         (i, i + 1 if i < 999 else None) for i in range(1000)
     }
-    cut = scale.ordered_segments(df, ["k"], ["ts", "id"], 100)
+    cut = scale.ordered_segments(df, ["k"], ["ts", "id"], 100, 1000)
     sizes = [r["count"] for r in cut.groupBy("_seg").count().collect()]
     assert len(sizes) >= 8 and max(sizes) < 400
 
