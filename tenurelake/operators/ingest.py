@@ -26,6 +26,14 @@ def lookup_default(
     return df.join(dim.select(on, value), on, "left").withColumn(value, F.coalesce(value, F.lit(default)))
 
 
+def load_employee_feed(
+    feed: DataFrame, emp: DataFrame, dept: DataFrame, key: list[str] | None = None, order: str = "employee_id"
+) -> DataFrame:
+    """The rows a feed adds to ``emp``: conformed, with the table's defaults, first per unique key."""
+    rows = apply_defaults(conform_employee_feed(feed, dept), "employees")
+    return insert_ignore(rows, emp, key or ["email"], [order])
+
+
 def conform_employee_feed(feed: DataFrame, dept: DataFrame) -> DataFrame:
     """A text feed as typed employee rows.
 
@@ -62,22 +70,34 @@ def apply_defaults(df: DataFrame, table: str) -> DataFrame:
 
 
 def insert_ignore(new: DataFrame, target: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """Rows to append: the first per unique key, unless the target already holds the key."""
-    firsts = scale.first_per_key(new, key, order)
-    return firsts.join(target.select(*key), key, "left_anti").select(*new.columns)
+    """Rows to append: the first per unique key, unless the target already holds the key.
+
+    Text keys are compared without case, as the database's unique keys do. NULL keys never collide.
+    """
+    types = dict(new.dtypes)
+    match = {f"_k{i}": F.lower(c) if types[c] == "string" else F.col(c) for i, c in enumerate(key)}
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
+    firsts = scale.first_per_key(new.filter(known).withColumns(match), list(match), order)
+    held = target.select(*[m.alias(k) for k, m in match.items()])
+    fresh = firsts.join(held, list(match), "left_anti").select(*new.columns)
+    return fresh.unionByName(new.filter(~known))
 
 
 def upsert(
-    new: DataFrame, target: DataFrame, keys: list[str], update: list[str], order: list[str]
+    new: DataFrame, target: DataFrame, keys: list[str], update: list[str], order: list[str],
+    insert: list[str] | None = None,
 ) -> DataFrame:
     """The target after inserting ``new`` in ``order``, where a repeated key only updates ``update``.
 
-    A key's other columns keep the values of its first insert; ``update`` takes the last ones.
+    A key's other columns keep the values of its first insert; ``update`` takes the last ones. Of a
+    new key the columns ``insert`` and ``update`` are filled (all, if not given); the rest is NULL.
     """
+    new = new if insert is None else new.select(*{c: 0 for c in [*keys, *insert, *update, *order] if c in new.columns})
+    filled = [c for c in target.columns if c in new.columns and (insert is None or c in insert)]
     other = [c for c in target.columns if c not in keys and c not in update]
     place = [c for c in order if c not in keys]
     batch = new.groupBy(*keys).agg(
-        F.min(F.struct(*place, *[c for c in other if c in new.columns and c not in place])).alias("_first"),
+        F.min(F.struct(*place, *[c for c in other if c in filled and c not in place])).alias("_first"),
         F.max(F.struct(*place, *[c for c in update if c not in place])).alias("_last"),
     )
     held = target.withColumn("_held", F.lit(1))
@@ -85,7 +105,7 @@ def upsert(
     types = {f.name: f.dataType for f in target.schema}
     out = [F.col(k) for k in keys]
     for c in other:
-        first = F.col(f"_first.{c}") if c in new.columns else F.lit(None)
+        first = F.col(f"_first.{c}") if c in filled else F.lit(None)
         out.append(F.when(F.col("_held").isNotNull(), F.col(c)).otherwise(first).cast(types[c]).alias(c))
     for c in update:
         last = F.when(F.col("_last").isNotNull(), F.col(f"_last.{c}")).otherwise(F.col(c))
@@ -182,14 +202,21 @@ def apply_delete(
     tables: dict[str, DataFrame], parent: str, deleted: DataFrame
 ) -> dict[str, DataFrame]:
     """All given tables after deleting rows of ``parent``: each child loses the rows, or the
-    references, that its foreign key says. Run ``blocking_rows`` first."""
-    after = dict(tables)
-    for child, column, owner, key, action in quality.FOREIGN:
-        if owner != parent or child not in after or column not in after[child].columns:
-            continue
+    references, that its foreign key says. Parents that a restricting child still refers to stay,
+    with all that refers to them (``blocking_rows`` counts those children)."""
+    after, refers = dict(tables), [
+        f for f in quality.FOREIGN if f[2] == parent and f[0] in tables and f[1] in tables[f[0]].columns
+    ]
+    key = next(k for _, _, owner, k, _ in quality.FOREIGN if owner == parent)
+    deleted = deleted.select(key).distinct()
+    for child, column, _, _, action in refers:
+        if action == "restrict":
+            held = tables[child].select(F.col(column).alias(key)).distinct()
+            deleted = deleted.join(held, key, "left_anti")
+    for child, column, _, _, action in refers:
         if action == "cascade":
             after[child] = cascade_delete(after[child], column, deleted, key)
         elif action == "nullify":
             after[child] = nullify_refs(after[child], column, deleted, key)
-        after[parent] = cascade_delete(tables[parent], key, deleted, key)
+    after[parent] = cascade_delete(tables[parent], key, deleted, key)
     return after

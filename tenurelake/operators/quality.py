@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tenurelake import schemas
 from tenurelake.functions import scalars as S
-from tenurelake.operators import scale
+from tenurelake.operators import dims, scale
+from tenurelake.session import checkpointed
 
 Rules = list[tuple[str, Column]]
 
@@ -114,6 +115,18 @@ def split_valid(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
     return df.filter(clean), validate(df.filter(~clean), rules)
 
 
+def append_valid(
+    batch: DataFrame, target: DataFrame, rules: Rules, id_col: str, order: str
+) -> tuple[DataFrame, DataFrame]:
+    """(rows to append to ``target``, with ids after its largest one in the order of
+    the whole number ``order``, their place in the feed; rows in quarantine)."""
+    valid, broken = split_valid(batch, rules)
+    kind, first = target.schema[id_col].dataType, dims.max_key(target, id_col)
+    placed = checkpointed(valid.withColumn("_place", F.col(order)).drop(id_col))
+    numbered = scale.dense_numbers(placed, "_place", "_n").withColumn(id_col, (F.col("_n") + first).cast(kind))
+    return numbered.select(*valid.columns), broken
+
+
 def quality_report(entities: dict[str, tuple[DataFrame, Rules]]) -> DataFrame:
     """Rows per entity and broken rule; one aggregate over each entity."""
     parts = []
@@ -277,7 +290,8 @@ def reject_duplicates(
     match = F.lower(key) if text else F.col(key)
     marked = batch.withColumn("_key", match)
     taken = target.filter(F.col(key).isNotNull()).select(match.alias("_key"))
-    accepted = (
+    # written once: what is rejected is told by what was accepted
+    accepted = checkpointed(
         scale.first_per_key(marked, ["_key"], order).join(taken, "_key", "left_anti")
         .select(*batch.columns)
     )

@@ -63,7 +63,7 @@ def merge_employees(oltp: Warehouse, olap: Warehouse, as_of: dt.date):
 def load_facts(oltp: Warehouse, olap: Warehouse):
     rows = facts.load_fact_reviews(
         oltp.read("performance_reviews"), oltp.read("employees"), oltp.read("departments"),
-        olap.read("dim_employee"), olap.read("dim_department"), olap.read("fact_performance_reviews"),
+        olap.read_live("dim_employee"), olap.read("dim_department"), olap.read("fact_performance_reviews"),
     )
     return _append(olap, rows, "fact_performance_reviews")
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -53,10 +52,12 @@ class Warehouse:
     def exists(self, name: str) -> bool:
         return bool(self._numbered(f"{self.root}/{name}", True))
 
-    def _load(self, name: str, path: str) -> DataFrame:
-        df = self.spark.read.parquet(path)
-        # partition columns come back last and with a guessed type
-        return schemas.conform(df, name) if name in schemas.TABLES else df
+    def _load(self, name: str, *paths: str) -> DataFrame:
+        if name not in schemas.TABLES:
+            return self.spark.read.parquet(*paths)
+        # the declared schema: no file is opened to find it, and folders without rows are read too
+        df = self.spark.read.schema(schemas.struct_of(name)).parquet(*paths)
+        return schemas.conform(df, name)  # partition columns come back last
 
     def read_live(self, name: str) -> DataFrame:
         """The rows of the newest version, without the archive."""
@@ -68,11 +69,17 @@ class Warehouse:
     def read(self, name: str) -> DataFrame:
         """The whole table, or an empty one of its declared schema if it was never written."""
         versions = self._numbered(f"{self.root}/{name}", True)
-        parts = [self.read_live(name)]
-        for v in self._numbered(f"{self.root}/{name}/archive", True):
-            if versions and v <= versions[-1]:
-                parts.append(self._load(name, self._archive(name, v)))
-        return reduce(DataFrame.unionByName, parts)
+        live = self.read_live(name)
+        since = self._retired(name)
+        held = [v for v in self._numbered(f"{self.root}/{name}/archive", True) if versions and since <= v <= versions[-1]]
+        # one scan for all archive folders, however many nights there were
+        return live.unionByName(self._load(name, *[self._archive(name, v) for v in held])) if held else live
+
+    def _retired(self, name: str) -> int:
+        """The newest complete version that replaced the whole table, archive included."""
+        versions = self._numbered(f"{self.root}/{name}", True)
+        whole = self._numbered(f"{self.root}/{name}/whole", True)
+        return max([v for v in whole if v in versions], default=0)
 
     def _write(self, df: DataFrame, name: str, path: str, mode: str) -> None:
         parts, order = PARTITIONS.get(name, []), CLUSTERED.get(name, [])
@@ -89,9 +96,19 @@ class Warehouse:
         versions = self._numbered(f"{self.root}/{name}", True)
         self._write(df, name, self._path(name, versions[-1] if versions else 1), "append")
 
+    def replace_whole(self, df: DataFrame, name: str) -> None:
+        """Writes ``df``, the whole table with its closed rows, as the next version; archives written
+        before are no longer part of the table. ``df`` may read the current table."""
+        taken = self._numbered(f"{self.root}/{name}", False)
+        version = (taken[-1] if taken else 0) + 1
+        # takes effect only once the version itself is complete
+        mark = f"{self.root}/{name}/whole/v{version:08d}"
+        self.spark.range(1).write.mode("overwrite").parquet(mark)
+        self._write(df, name, self._path(name, version), "errorifexists")
+
     def replace(self, df: DataFrame, name: str, archive: DataFrame | None = None) -> None:
         """Writes ``df`` as the next version, and ``archive`` as rows that version leaves behind.
-        Both may read the current version."""
+        Both may read the current version. Use ``replace_whole`` for a frame that holds the archive."""
         taken = self._numbered(f"{self.root}/{name}", False)
         version = (taken[-1] if taken else 0) + 1
         if archive is not None:  # overwrites what a failed run may have left under this number
@@ -103,17 +120,25 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-def read_feed_csv(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
-    """A feed as text columns. Lines that do not fit the columns are kept in ``_corrupt_record``."""
-    ddl = ", ".join(f"`{c}` string" for c in [*columns, "_corrupt_record"])
-    return (
-        spark.read.schema(ddl).option("header", True).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record").option("enforceSchema", False).csv(path)
-    )
+def read_feed_csv(spark: SparkSession, path: str, columns: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(the wanted columns of a feed as texts, the lines that do not fit its header).
+
+    Columns are found by the header's names, in any order and among others; one that the feed lacks
+    is NULL. Quotes inside quoted values are doubled. A malformed line is whole in ``_corrupt_record``.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("mode", "PERMISSIVE")
+    names = reader.csv(path).columns
+    ddl = ", ".join(f"`{c}` string" for c in [*names, "_corrupt_record"])
+    lines = reader.schema(ddl).option("columnNameOfCorruptRecord", "_corrupt_record").csv(path)
+    wanted = [F.col(f"`{c}`") if c in names else F.lit(None).cast("string").alias(c) for c in columns]
+    fits = F.col("_corrupt_record").isNull()
+    # Spark refuses to parse a file for that column alone, so the filter names another one as well
+    broken = ~fits & (F.length(F.concat_ws("", F.col(f"`{names[0]}`"), "_corrupt_record")) >= 0)
+    return lines.filter(fits).select(*wanted), lines.filter(broken)
 
 
 def write_feed_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("errorifexists").option("header", True).csv(path)
+    df.write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
 
 
 def seed_departments(spark: SparkSession) -> DataFrame:

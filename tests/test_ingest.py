@@ -29,7 +29,8 @@ def test_feed_round_trip(spark, tmp_path):
         line(EmployeeID="3", Phone="12345678901234567890", HireDate=None, MonthlyIncome="-4", Age="old"),
     ], ", ".join(f"{c} string" for c in header))
     tables.write_feed_csv(feed, f"{tmp_path}/csv")
-    back = tables.read_feed_csv(spark, f"{tmp_path}/csv", schemas.EMPLOYEE_FEED)
+    back, malformed = tables.read_feed_csv(spark, f"{tmp_path}/csv", schemas.EMPLOYEE_FEED)
+    assert malformed.count() == 0
     dept = tables.seed_departments(spark).withColumn("department_id", F.col("department_id") + 4)
     got = {r["employee_id"]: r for r in ingest.conform_employee_feed(back, dept).collect()}
     assert (got[1]["department_id"], got[1]["hire_date"], got[1]["monthly_income"]) == (5, dt.date(2024, 2, 29), D("5000.00"))
@@ -39,8 +40,9 @@ def test_feed_round_trip(spark, tmp_path):
 
 def test_malformed_line_is_kept_aside(spark, tmp_path):
     (tmp_path / "f.csv").write_text("A,B\n1,2\n1,2,3,4\n")
-    df = tables.read_feed_csv(spark, str(tmp_path / "f.csv"), {"A": "a", "B": "b"}).cache()
-    assert sorted((r["_corrupt_record"] is None) for r in df.collect()) == [False, True]
+    rows, malformed = tables.read_feed_csv(spark, str(tmp_path / "f.csv"), {"B": "b", "A": "a", "C": "c"})
+    assert [tuple(r) for r in rows.collect()] == [("2", "1", None)]
+    assert [r["_corrupt_record"] for r in malformed.collect()] == ["1,2,3,4"]
 
 
 def test_upsert_keeps_first_and_takes_last(spark):
@@ -150,3 +152,52 @@ def test_delete_follows_each_foreign_key(spark):
     left = ingest.apply_delete(star, "dim_department", star["dim_department"])
     assert {r["dept_key"] for r in left["fact_performance_reviews"].collect()} == {None}
     assert left["dim_department"].count() == 0
+
+
+def test_a_delete_leaves_restricted_parents_and_needs_no_children(spark):
+    emp = spark.createDataFrame([(1, 5), (2, 6)], "employee_id int, department_id int")
+    dept = spark.createDataFrame([(5,), (6,), (7,)], "department_id int")
+    proj = spark.createDataFrame([(1, 5), (2, 7)], "project_id int, department_id int")
+    gone = spark.createDataFrame([(5,), (7,)], "department_id int")
+    after = ingest.apply_delete({"departments": dept, "employees": emp, "projects": proj}, "departments", gone)
+    assert sorted(r[0] for r in after["departments"].collect()) == [5, 6]
+    assert sorted(tuple(r) for r in after["projects"].collect()) == [(1, 5), (2, None)]
+    alone = ingest.apply_delete({"employees": emp}, "employees", emp.filter("employee_id = 1"))
+    assert [r[0] for r in alone["employees"].collect()] == [2]
+
+
+def test_insert_ignore_compares_text_without_case(spark):
+    new = spark.createDataFrame([(1, "A@x.y"), (2, "a@x.y"), (3, "b@x.y"), (4, None), (5, None)], "id int, email string")
+    held = spark.createDataFrame([("B@X.y",)], "email string")
+    assert sorted(r["id"] for r in ingest.insert_ignore(new, held, ["email"], ["id"]).collect()) == [1, 4, 5]
+    held = spark.createDataFrame([("a@X.y",)], "email string")
+    assert sorted(r["id"] for r in ingest.insert_ignore(new, held, ["email"], ["id"]).collect()) == [3, 4, 5]
+
+
+def test_upsert_fills_named_columns_of_new_keys_only(spark):
+    columns = "k int, role string, day int, released int"
+    new = spark.createDataFrame([(3, "A", 1, 8)], columns)
+    target = spark.createDataFrame([(1, "Lead", 5, 9)], columns)
+    got = ingest.upsert(new, target, ["k"], ["role"], ["day"], insert=["day"])
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "Lead", 5, 9), (3, "A", 1, None)]
+
+
+def test_a_whole_replacement_retires_the_archive_and_scans_stay_few(spark, tmp_path):
+    house = tables.Warehouse(spark, str(tmp_path))
+    frame = lambda keys, live: schemas.conform(spark.createDataFrame(
+        [(k, k, live) for k in keys], "surrogate_key bigint, employee_id int, is_current int"), "dim_employee")
+    for night in range(10):
+        house.replace(frame([100 + night], 1), "dim_employee", archive=frame([night], 0))
+    df = house.read("dim_employee")
+    assert df.count() == 11
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    house.replace_whole(house.read("dim_employee"), "dim_employee")
+    assert house.read("dim_employee").count() == 11
+    house.replace(frame([200], 1), "dim_employee", archive=frame([50], 0))
+    assert sorted(r["surrogate_key"] for r in house.read("dim_employee").collect()) == [50, 200]
+
+
+def test_an_empty_partitioned_table_can_be_read(spark, tmp_path):
+    house = tables.Warehouse(spark, str(tmp_path))
+    house.append(spark.createDataFrame([], schemas.struct_of("performance_reviews")), "performance_reviews")
+    assert house.read("performance_reviews").count() == 0
