@@ -11,7 +11,7 @@ from tenurelake import schemas
 from tenurelake.catalog.common import AS_OF, plain
 from tenurelake.catalog.fixtures import view, with_views
 from tenurelake.catalog.warehouse import ORACLES as _LOADS
-from tenurelake.operators import ingest
+from tenurelake.operators import ingest, scd2
 from tenurelake.plans import pipeline
 from tenurelake.session import shared_dir
 from tenurelake.sources import tables
@@ -24,12 +24,15 @@ def _folder(spark, name):
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def _pipeline(s, d, runs):
-    """The report of the last of ``runs`` nightly runs over freshly stored tables."""
+def _pipeline(s, d, runs, reviews="true"):
+    """The report of the last of ``runs`` nightly runs over freshly stored tables; ``reviews`` selects
+    the reviews that there are."""
     root = _folder(s, "warehouse")
     oltp = tables.Warehouse(s, f"{root}/oltp")
     for table, source in _SOURCES.items():
         rows = view(s, d, source)
+        if table == "performance_reviews":
+            rows = rows.filter(reviews)
         if table in schemas.DEFAULTS:
             rows = ingest.apply_defaults(rows, table)
         oltp.append(schemas.conform(rows, table), table)
@@ -44,11 +47,49 @@ def _pipeline(s, d, runs):
 def _csv(s, d):
     folder = _folder(s, "feed")
     tables.write_feed_csv(view(s, d, "hr_feed"), folder)
-    feed = tables.read_feed_csv(s, folder, dict.fromkeys(view(s, d, "hr_feed").columns))
+    feed, _ = tables.read_feed_csv(s, folder, dict.fromkeys(view(s, d, "hr_feed").columns))
     return plain(ingest.conform_employee_feed(feed, view(s, d, "hr_departments")))
 
 
+def _snapshot_load(s, d):
+    """A feed with more columns than wanted, in another order, with quotes and commas in its values."""
+    folder, feed = _folder(s, "feed"), view(s, d, "hr_feed")
+    wide = feed.select(
+        F.lit('left, "for good"').alias("Notes"), *reversed(feed.columns),
+        *[F.lit(str(k)).alias(f"Extra{k}") for k in range(24)],
+    )
+    tables.write_feed_csv(wide, folder)
+    rows, _ = tables.read_feed_csv(s, folder, schemas.EMPLOYEE_FEED)
+    loaded = ingest.load_employee_feed(rows, view(s, d, "hr_staff"), view(s, d, "hr_departments"))
+    return plain(loaded.select("employee_id", "email", "hire_date", "monthly_income", "is_active", "department_id"))
+
+
+def _history_load(s, d):
+    folder, dim = _folder(s, "history"), view(s, d, "hr_dim_employee")
+    feed = dim.select(F.lit("a, b").alias("Source"), *[
+        F.col(c).cast("string").alias(name) for name, c in reversed(schemas.HISTORY_FEED.items()) if c in dim.columns
+    ])
+    tables.write_feed_csv(feed, folder)
+    rows, _ = tables.read_feed_csv(s, folder, schemas.HISTORY_FEED)
+    return plain(scd2.conform_history(rows).select(
+        "employee_id", "department_name", "job_role", "job_level", "monthly_income", "start_date", "end_date", "is_current"
+    ))
+
+
+def _backfill_stored(s, d):
+    """A stored dimension with an archive, repaired as a whole, stored and read back."""
+    house = tables.Warehouse(s, _folder(s, "warehouse"))
+    dim = schemas.conform(view(s, d, "hr_dim_employee"), "dim_employee")
+    house.replace(dim.filter("is_current = 1"), "dim_employee", archive=dim.filter("is_current = 0"))
+    house.replace_whole(scd2.backfill_nulls(house.read("dim_employee"), view(s, d, "hr_employees_raw")), "dim_employee")
+    return plain(house.read("dim_employee").select(*view(s, d, "hr_dim_employee").columns))
+
+
 QUERIES = {
+    "pipeline_empty_reviews": partial(_pipeline, runs=2, reviews="false"),
+    "feed_snapshot_load": _snapshot_load,
+    "feed_history_load": _history_load,
+    "backfill_stored": _backfill_stored,
     "pipeline_report": partial(_pipeline, runs=1),
     "pipeline_rerun_report": partial(_pipeline, runs=2),
     "feed_csv_round_trip": _csv,
@@ -67,6 +108,18 @@ union all select 'fact_performance_reviews', count(*) from hr_reviews r join hr_
 
 
 ORACLES = {
+    "pipeline_empty_reviews": _report_sql("0::bigint").replace("from hr_reviews r join", "from (from hr_reviews limit 0) r join"),
+    "feed_snapshot_load": with_views("""select employee_id, email, hire_date, monthly_income, true as is_active, department_id
+from (select *, row_number() over (partition by lower(email) order by employee_id) as rn from c)
+where rn = 1 and lower(email) not in (select lower(email) from hr_staff)""", {
+        "c": """select cast("EmployeeID" as int) as employee_id, "Email" as email,
+ coalesce(try_cast("HireDate" as date), date '2020-01-01') as hire_date,
+ cast(least(greatest(cast("MonthlyIncome" as decimal(10,2)), 1000), 19999) as double) as monthly_income,
+ coalesce(d.department_id, 1) as department_id
+from hr_feed f left join hr_departments d on f."Department" = d.department_name"""}),
+    "feed_history_load": with_views("""select employee_id, department_name, job_role, job_level,
+ cast(monthly_income as double) as monthly_income, start_date, end_date, is_current from hr_dim_employee"""),
+    "backfill_stored": _LOADS["backfill_nulls"],
     "pipeline_report": _report_sql("n"),
     "pipeline_rerun_report": _report_sql("0::bigint"),
     "feed_csv_round_trip": _LOADS["conform_feed"],

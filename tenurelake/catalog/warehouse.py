@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tenurelake.catalog.common import AS_OF, plain
 from tenurelake.catalog.fixtures import view, with_views
 from tenurelake.catalog.marts import merge_steps
-from tenurelake.operators import dims, facts, ingest, quality, scd2
+from tenurelake.operators import dims, facts, ingest, quality, scale, scd2
 from tenurelake.session import checkpointed
 
 
@@ -44,11 +44,15 @@ def _facts_incremental(s, d):
     return _facts(s, d, held)
 
 
-def _facts_asof(s, d):
+# Rows of a key from which on the hot queries cut it into segments.
+HOT = 20
+
+
+def _facts_asof(s, d, hot_rows=scale.HOT_ROWS):
     reviews = view(s, d, "hr_reviews").select("review_id", "employee_id", "review_date", "performance_rating")
     return plain(scd2.asof_version_join(
         reviews, view(s, d, "hr_dim_employee"), "review_date", ["review_id"],
-        ["surrogate_key", "department_name", "monthly_income"],
+        ["surrogate_key", "department_name", "monthly_income"], hot_rows,
     ))
 
 
@@ -66,9 +70,9 @@ def _classify(s, d):
     return judged.select("employee_id", "status")
 
 
-def _versions(s, d):
+def _versions(s, d, hot_rows=scale.HOT_ROWS):
     log = view(s, d, "hr_salary_log").withColumn("start_date", F.to_date("change_ts"))
-    chained = scd2.scd2_from_versions(log, "employee_id", ["change_ts", "event_id"], "start_date")
+    chained = scd2.scd2_from_versions(log, "employee_id", ["change_ts", "event_id"], "start_date", hot_rows)
     return plain(chained.select("event_id", "employee_id", "new_salary", "start_date", "end_date", "is_current"))
 
 
@@ -77,6 +81,22 @@ def _log(s, d, mode):
     return plain(versions.select("event_id", "employee_id", "monthly_income", "start_date", "end_date", "is_current"))
 
 
+def _log_hot(s, d):
+    """Oversized employees, some events without one."""
+    unknown = F.when(F.col("event_id") % 10 != 3, F.col("employee_id"))
+    log = view(s, d, "hr_salary_drift").withColumn("employee_id", unknown)
+    versions = scd2.scd2_from_change_log(log, "last_version", HOT)
+    return plain(versions.select("event_id", "employee_id", "monthly_income", "start_date", "end_date", "is_current"))
+
+
+def _salaries(s, d, part):
+    v = partial(view, s, d)
+    emp = v("hr_employees_full").withColumn("updated_at", F.lit(None).cast("timestamp"))
+    return scd2.apply_salary_changes(
+        emp, v("hr_dim_employee"), v("hr_departments"), v("hr_salary_log"), AS_OF, HOT
+    )[part]
+
+
 def _history(s, d):
     return plain(scd2.salary_history(view(s, d, "hr_salary_log"), view(s, d, "hr_employees")))
 
@@ -98,11 +118,21 @@ def _backfill(s, d):
 
 
 def _upsert(s, d):
+    valid, _ = quality.split_valid(view(s, d, "hr_assignments_new"), quality.assignment_rules())
     return ingest.upsert(
-        view(s, d, "hr_assignments_new"), view(s, d, "hr_assignments_held"), ["employee_id", "project_id"],
-        ["role_in_project", "hours_allocated"],
-        ["assigned_date", "l_orderkey", "l_linenumber", "hours_allocated", "role_in_project"],
-    ).drop("released_date")
+        valid, view(s, d, "hr_assignments_held"), ["employee_id", "project_id"], ["role_in_project", "hours_allocated"],
+        ["assigned_date", "l_orderkey", "l_linenumber", "hours_allocated", "role_in_project"], insert=["assigned_date"],
+    )
+
+
+def _mixed_case(s, d):
+    loud = F.when(F.col("employee_id") % 3 == 0, F.upper("email")).otherwise(F.col("email"))
+    return view(s, d, "hr_employees_full").withColumn("email", loud)
+
+
+def _append(s, d, table, rules, id_col, held):
+    rows = view(s, d, table)
+    return quality.append_valid(rows.filter(~F.expr(held)), rows.filter(held), rules, id_col, id_col)[0]
 
 
 def _onboard(s, d, part):
@@ -145,9 +175,11 @@ def _delete_employees(s, d, table):
     return ingest.apply_delete(tables, "employees", v("hr_leavers"))[table]
 
 
-def _close_departments(s, d):
-    tables = {"departments": view(s, d, "hr_departments"), "projects": view(s, d, "hr_projects")}
-    return ingest.apply_delete(tables, "departments", _closing(s, d))["projects"]
+def _close_departments(s, d, table):
+    """European departments go, but for those that employees still refer to."""
+    tables = {"departments": view(s, d, "hr_departments"), "projects": view(s, d, "hr_projects"),
+              "employees": view(s, d, "hr_employees").filter("department_id % 2 = 0")}
+    return ingest.apply_delete(tables, "departments", _closing(s, d))[table]
 
 
 def _restrict(s, d):
@@ -197,7 +229,26 @@ QUERIES = {
     "cascade_delete_assignments": lambda s, d: _delete_employees(s, d, "project_assignments").groupBy(
         "employee_id").agg(F.count(F.lit(1)).alias("assignments")),
     "delete_employees": lambda s, d: _delete_employees(s, d, "employees").select("employee_id"),
-    "nullify_refs": lambda s, d: _close_departments(s, d).select("project_id", "department_id"),
+    "nullify_refs": lambda s, d: _close_departments(s, d, "projects").select("project_id", "department_id"),
+    "delete_restricted": lambda s, d: _close_departments(s, d, "departments"),
+    "delete_without_children": lambda s, d: ingest.apply_delete(
+        {"employees": view(s, d, "hr_employees")}, "employees", view(s, d, "hr_leavers"))["employees"].select("employee_id"),
+    "insert_ignore_mixed_case": lambda s, d: ingest.insert_ignore(
+        _mixed_case(s, d), view(s, d, "hr_staff"), ["email"], ["employee_id"]).select("employee_id", "email"),
+    "append_reviews_numbered": lambda s, d: _append(
+        s, d, "hr_reviews", quality.review_rules(), "review_id", "review_year < 2000"),
+    "append_departments": lambda s, d: _append(
+        s, d, "hr_departments", quality.department_rules(), "department_id", "location <> 'ASIA'"),
+    "append_projects": lambda s, d: plain(_append(
+        s, d, "hr_projects", quality.project_rules(), "project_id", "project_id % 3 = 0").select(
+        "project_id", "project_name", "status", "budget")),
+    "fact_reviews_asof_hot": partial(_facts_asof, hot_rows=HOT),
+    "scd2_from_versions_hot": partial(_versions, hot_rows=HOT),
+    "scd2_change_log_hot": _log_hot,
+    "salary_apply_employees": lambda s, d: plain(_salaries(s, d, 0).select("employee_id", "monthly_income", F.col("updated_at").isNotNull().alias("touched"))),
+    "salary_apply_current": lambda s, d: plain(_salaries(s, d, 1)),
+    "salary_apply_closed": lambda s, d: plain(_salaries(s, d, 2)),
+    "salary_apply_history": lambda s, d: plain(_salaries(s, d, 3)),
     "restrict_check": _restrict,
 }
 
@@ -245,6 +296,27 @@ _CHAIN = """select event_id, employee_id, cast(c as double) / 100 as monthly_inc
  lead(cast(change_ts as date)) over w as end_date, case when lead(rn) over w is null then 1 else 0 end as is_current
 from o window w as (partition by employee_id order by rn)"""
 
+_SALARY = {
+    "h": """select l.*, coalesce(lag(l.new_salary) over (partition by l.employee_id order by l.change_ts, l.event_id),
+ e.monthly_income) as old from hr_salary_log l join hr_employees_full e on l.employee_id = e.employee_id""",
+    "x": """select employee_id, new_salary from (select *, row_number() over
+ (partition by employee_id order by change_ts desc, event_id desc) as rn from h) where rn = 1""",
+    "v": """select employee_id, new_salary from (select *, row_number() over
+ (partition by employee_id order by change_ts desc, event_id desc) as rn from h
+ where old > 0 and abs(old - new_salary) * 100 > old * 5) where rn = 1""",
+}
+_NULL_FOLD = {
+    "e": """select k as employee_id, event_id, change_ts, cast(new_salary * 100 as bigint) as c,
+ row_number() over (partition by k order by change_ts, event_id) as rn
+from (select *, case when event_id % 10 <> 3 then employee_id end as k from hr_salary_drift)""",
+    "f": """select employee_id, rn, c as held, true as opened from e where rn = 1
+union all
+select e.employee_id, e.rn, case when f.held > 0 and abs(e.c - f.held) * 20 > f.held then e.c else f.held end,
+ f.held > 0 and abs(e.c - f.held) * 20 > f.held
+from f join e on e.employee_id is not distinct from f.employee_id and e.rn = f.rn + 1""",
+    "o": "select e.* from e join f on e.employee_id is not distinct from f.employee_id and e.rn = f.rn where f.opened",
+}
+
 _TRANSFER = {
     "j": """select t.*, case when e.employee_id is null then 'unknown employee'
  when d.department_id is null then 'unknown department' end as reason
@@ -338,17 +410,49 @@ from hr_employees_full e left join k on e.employee_id = k.employee_id""", _TRANS
  d.start_date, d.end_date, d.is_current
 from hr_dim_employee d join hr_employees_raw e on d.employee_id = e.employee_id"""),
     "insert_ignore_employees": with_views("""select employee_id, email, hire_date, cast(monthly_income as double) as monthly_income
-from (select *, row_number() over (partition by email order by employee_id) as rn from hr_employees_full)
-where rn = 1 and email not in (select email from hr_staff)"""),
+from (select *, row_number() over (partition by lower(email) order by employee_id) as rn from hr_employees_full)
+where rn = 1 and lower(email) not in (select lower(email) from hr_staff)"""),
+    "insert_ignore_mixed_case": with_views("""select employee_id, loud as email from (select employee_id, loud, row_number() over
+ (partition by lower(loud) order by employee_id) as rn from (select employee_id,
+  case when employee_id % 3 = 0 then upper(email) else email end as loud from hr_employees_full))
+where rn = 1 and lower(loud) not in (select lower(email) from hr_staff)"""),
+    "append_reviews_numbered": with_views("""select * replace (cast((select max(review_id) from hr_reviews where review_year < 2000)
+ + row_number() over (order by review_id) as int) as review_id) from hr_reviews
+where review_year >= 2000 and review_quarter between 1 and 4
+ and performance_rating between 1 and 4 and job_satisfaction between 1 and 4 and environment_satisfaction between 1 and 4
+ and relationship_satisfaction between 1 and 4 and work_life_balance between 1 and 4 and job_involvement between 1 and 4"""),
+    "append_departments": with_views("""select * replace (cast((select max(department_id) from hr_departments where location <> 'ASIA')
+ + row_number() over (order by department_id) as int) as department_id) from hr_departments where location = 'ASIA'"""),
+    "append_projects": with_views("""select cast((select max(project_id) from hr_projects where project_id % 3 = 0)
+ + row_number() over (order by project_id) as int) as project_id, project_name, status, cast(budget as double) as budget
+from hr_projects where project_id % 3 <> 0 and project_name <> '' and budget >= 0 and (end_date is null or end_date >= start_date)
+ and status in ('Planning', 'Active', 'On Hold', 'Completed', 'Cancelled')"""),
+    "scd2_change_log_hot": with_views(_CHAIN, _NULL_FOLD),
+    "salary_apply_employees": with_views("""select e.employee_id, cast(coalesce(x.new_salary, e.monthly_income) as double) as monthly_income,
+ x.employee_id is not null as touched from hr_employees_full e left join x on e.employee_id = x.employee_id""", _SALARY),
+    "salary_apply_current": with_views(f"""select {_PLAIN_DIM} from hr_dim_employee
+where is_current = 1 and employee_id not in (select employee_id from v)
+union all
+select (select max(surrogate_key) from hr_dim_employee) + row_number() over (order by e.employee_id), e.employee_id,
+ e.first_name, e.last_name, d.department_name, e.job_role, e.job_level, cast(v.new_salary as double),
+ e.over_time, e.attrition, e.years_at_company, date '{AS_OF}', cast(null as date), 1
+from v join hr_employees_full e on v.employee_id = e.employee_id
+join hr_departments d on d.department_id = e.department_id""", _SALARY),
+    "salary_apply_closed": with_views(f"""select * replace (cast(monthly_income as double) as monthly_income,
+ date '{AS_OF}' as end_date, 0 as is_current) from hr_dim_employee
+where is_current = 1 and employee_id in (select employee_id from v)""", _SALARY),
+    "salary_apply_history": with_views("""select event_id, employee_id, cast(old as double) as old_salary,
+ cast(new_salary as double) as new_salary, cast(change_ts as date) as change_date, change_reason,
+ old > 0 and abs(old - new_salary) * 100 > old * 5 as opens_version from h""", _SALARY),
     "assignments_upsert": with_views("""select coalesce(h.employee_id, b.employee_id) as employee_id, coalesce(h.project_id, b.project_id) as project_id,
  coalesce(b.role_in_project, h.role_in_project) as role_in_project, coalesce(h.assigned_date, b.assigned_date) as assigned_date,
- coalesce(b.hours_allocated, h.hours_allocated) as hours_allocated
+ h.released_date, coalesce(b.hours_allocated, h.hours_allocated) as hours_allocated
 from hr_assignments_held h full join b on h.employee_id = b.employee_id and h.project_id = b.project_id""", {
         "n": """select *, row_number() over (partition by employee_id, project_id
    order by assigned_date, l_orderkey, l_linenumber, hours_allocated, role_in_project) as up,
  row_number() over (partition by employee_id, project_id
    order by assigned_date desc, l_orderkey desc, l_linenumber desc, hours_allocated desc, role_in_project desc) as down
-from hr_assignments_new""",
+from hr_assignments_new where hours_allocated >= 0 and (released_date is null or released_date >= assigned_date)""",
         "b": """select f.employee_id, f.project_id, f.assigned_date, l.role_in_project, l.hours_allocated
 from n f join n l on f.employee_id = l.employee_id and f.project_id = l.project_id and f.up = 1 and l.down = 1"""}),
     "deactivate": with_views("""select employee_id, is_active and employee_id not in (select employee_id from hr_leavers) as is_active,
@@ -394,11 +498,17 @@ from hr_reviews where employee_id not in (select employee_id from hr_leavers)"""
 where employee_id not in (select employee_id from hr_leavers) group by employee_id"""),
     "delete_employees": with_views("""select employee_id from hr_employees
 where employee_id not in (select employee_id from hr_leavers)"""),
-    "nullify_refs": with_views("""select project_id, case when department_id in
- (select department_id from hr_departments where location = 'EUROPE') then null else department_id end as department_id
-from hr_projects"""),
+    "nullify_refs": with_views("""select project_id, case when department_id in (select department_id from hr_departments
+ where location = 'EUROPE' and department_id not in (select department_id from hr_employees where department_id % 2 = 0))
+ then null else department_id end as department_id from hr_projects"""),
+    "delete_restricted": with_views("""select * from hr_departments where location <> 'EUROPE'
+ or department_id in (select department_id from hr_employees where department_id % 2 = 0)"""),
+    "delete_without_children": with_views("""select employee_id from hr_employees
+where employee_id not in (select employee_id from hr_leavers)"""),
     "restrict_check": with_views("""select 'employees' as child, count(*) as blocking_rows from hr_employees
  where department_id in (select department_id from hr_departments where location = 'EUROPE')
 union all select 'projects', count(*) from hr_projects
  where department_id in (select department_id from hr_departments where location = 'EUROPE')"""),
 }
+ORACLES["fact_reviews_asof_hot"] = ORACLES["fact_reviews_asof"]
+ORACLES["scd2_from_versions_hot"] = ORACLES["scd2_from_versions"]
