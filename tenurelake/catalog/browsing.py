@@ -15,7 +15,17 @@ def _assignments(s, d):
     return B.project_assignments(view(s, d, "hr_assignments"), *_emp_dept(s, d))
 
 
+ONE = 7  # the id that the look-ups of one row or one employee ask for
+
 QUERIES = {
+    "department_by_id": lambda s, d: B.department_by_id(view(s, d, "hr_departments"), ONE),
+    "employee_by_id": lambda s, d: plain(B.employee_detail(*_emp_dept(s, d), ONE)),
+    "project_by_id": lambda s, d: plain(B.project_by_id(view(s, d, "hr_projects"), ONE)),
+    "assignments_of_project": lambda s, d: B.project_assignments(view(s, d, "hr_assignments"), *_emp_dept(s, d), ONE),
+    "reviews_of_employee": lambda s, d: B.reviews_by_employee(
+        view(s, d, "hr_reviews"), view(s, d, "hr_employees_full"), ONE),
+    "rating_trend_of_employee": lambda s, d: B.rating_trend(view(s, d, "hr_reviews"), ONE),
+    "first_employees": lambda s, d: B.first_n(view(s, d, "hr_employees_raw"), "employee_id", 100).select("employee_id", "email"),
     "departments": lambda s, d: B.departments(view(s, d, "hr_departments")),
     "employee_directory": lambda s, d: plain(B.employee_directory(*_emp_dept(s, d))),
     "employee_directory_all": lambda s, d: plain(B.employee_directory(*_emp_dept(s, d), active_only=False)),
@@ -86,3 +96,19 @@ union all select 'job level', cast(job_level as varchar), count(*) from hr_emplo
     "sample_employees": with_views("""select employee_id, email from hr_employees_raw
 order by md5(cast(employee_id as varchar) || ':42'), employee_id limit 300"""),
 }
+
+
+def _of_one(name: str, where: str) -> str:
+    return f"select * from ({ORACLES[name]}) where {where}"
+
+
+ORACLES |= {
+    "department_by_id": with_views(f"select * from hr_departments where department_id = {ONE}"),
+    "employee_by_id": _of_one("employee_detail", f"employee_id = {ONE}"),
+    "project_by_id": with_views(f"""select * exclude (budget), cast(budget as double) as budget
+from hr_projects where project_id = {ONE}"""),
+    "assignments_of_project": _of_one("project_assignments", f"project_id = {ONE}"),
+    "reviews_of_employee": _of_one("reviews_by_employee", f"employee_id = {ONE}"),
+    "rating_trend_of_employee": _of_one("rating_trend", f"employee_id = {ONE}"),
+    "first_employees": with_views("select employee_id, email from hr_employees_raw order by employee_id limit 100"),
+}

@@ -209,9 +209,24 @@ def with_views(sql: str, extra: dict[str, str] | None = None) -> str:
     return "with recursive " + ",\n".join(f"{n} as ({s})" for n, s in steps) + "\n" + sql
 
 
+# Views that ``store`` has written, by data folder and name.
+STORED: dict[tuple[str, str], str] = {}
+
+
+def store(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Writes every view once under ``folder``; queries over ``sf_dir`` then read those tables, as
+    they would read a warehouse's, instead of working the views out each time."""
+    for name in VIEWS:
+        view(spark, sf_dir, name).write.parquet(f"{folder}/{name}")
+    STORED.update({(sf_dir, name): f"{folder}/{name}" for name in VIEWS})
+    view.cache_clear()
+
+
 @lru_cache(maxsize=256)
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The named view (or supplied table) as a DataFrame over ``sf_dir``; a plan, no data is kept."""
+    if (sf_dir, name) in STORED:
+        return spark.read.parquet(STORED[sf_dir, name])
     if name in RAW:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     used = {t for t in [*RAW, *VIEWS] if re.search(rf"\b{t}\b", VIEWS[name])}

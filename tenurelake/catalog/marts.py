@@ -61,6 +61,7 @@ QUERIES = {
     "department_kpis_total": lambda s, d: _kpis(s, d, True),
     "kpis_after_scd2": _kpis_after_scd2,
     "employee_history": lambda s, d: plain(M.employee_history(_dim(s, d), AS_OF)),
+    "history_of_employee": lambda s, d: plain(M.employee_history(_dim(s, d), AS_OF, 7)),
     "career_timeline": lambda s, d: M.career_timeline(_dim(s, d), AS_OF),
     "salary_distribution": lambda s, d: plain(M.salary_distribution(_dim(s, d))),
     "salary_box": lambda s, d: M.salary_box(_dim(s, d)),
@@ -180,7 +181,7 @@ ORACLES = {
         "select risk_category as category, count(*) as count from risk group by risk_category", _RISK),
     "high_risk_top20": with_views("""select employee_id, full_name, department_name, job_role, over_time, years_at_company,
  risk_score from risk where risk_category = 'High Risk' order by risk_score desc, employee_id limit 20""", _RISK),
-    "risk_scatter_500": with_views("""select employee_id, avg_job_satisfaction as avg_satisfaction, avg_wlb, risk_category,
+    "risk_scatter_500": with_views("""select employee_id, full_name, department_name, over_time, avg_job_satisfaction as avg_satisfaction, avg_wlb, risk_category,
  risk_score from risk order by risk_score desc, employee_id limit 500""", _RISK),
     "department_kpis": with_views(kpi_sql("m"), kpi_steps("hr_dim_employee")),
     "department_kpis_total": with_views(kpi_sql("t"), kpi_steps("hr_dim_employee")),
@@ -205,3 +206,4 @@ from hr_dim_employee where is_current = 1"""}),
         "r": "select department_name, cast(monthly_income * 100 as bigint) as c from hr_dim_employee where is_current = 1"}),
     "job_level_counts": with_views("select job_level, count(*) as count from hr_dim_employee group by job_level"),
 }
+ORACLES["history_of_employee"] = f"select * from ({ORACLES['employee_history']}) where employee_id = 7"

@@ -197,7 +197,7 @@ def risk_scatter(risk: DataFrame, n: int = 500) -> DataFrame:
     satisfaction = "avg_satisfaction" if "avg_satisfaction" in risk.columns else "avg_job_satisfaction"
     return (
         with_risk_category(risk).orderBy(F.col("risk_score").desc(), "employee_id").limit(n)
-        .select("employee_id", F.col(satisfaction).alias("avg_satisfaction"), "avg_wlb",
+        .select("employee_id", "full_name", "department_name", "over_time", F.col(satisfaction).alias("avg_satisfaction"), "avg_wlb",
                 "risk_category", "risk_score")
     )
 
