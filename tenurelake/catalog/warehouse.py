@@ -103,7 +103,7 @@ def _history(s, d):
 
 def _latest(s, d):
     after = scd2.latest_salaries(view(s, d, "hr_employees"), view(s, d, "hr_salary_log"))
-    return plain(after.select("employee_id", "monthly_income"))
+    return plain(after)
 
 
 def _transfers(s, d, part):
@@ -205,19 +205,19 @@ QUERIES = {
     "salary_history": _history,
     "latest_salaries": _latest,
     "transfers_apply": lambda s, d: plain(_transfers(s, d, 1)),
-    "transfers_employees": lambda s, d: _transfers(s, d, 0).select("employee_id", "department_id"),
+    "transfers_employees": lambda s, d: plain(_transfers(s, d, 0)),
     "transfers_rejected": lambda s, d: _transfers(s, d, 2).select("event_id", "employee_id", "reason"),
     "backfill_nulls": _backfill,
     "insert_ignore_employees": lambda s, d: plain(ingest.insert_ignore(
         view(s, d, "hr_employees_full"), view(s, d, "hr_staff"), ["email"], ["employee_id"]
     ).select("employee_id", "email", "hire_date", "monthly_income")),
     "assignments_upsert": _upsert,
-    "deactivate": lambda s, d: ingest.deactivate(
-        view(s, d, "hr_employees_full"), view(s, d, "hr_leavers")
-    ).select("employee_id", "is_active", "attrition"),
-    "project_status_update": lambda s, d: _status(s, d, 0).select("project_id", "status"),
-    "project_status_rejected": lambda s, d: _status(s, d, 1).groupBy("project_id").agg(
-        F.count(F.lit(1)).alias("rejected")),
+    "deactivate": lambda s, d: plain(ingest.deactivate(
+        view(s, d, "hr_employees_full").withColumn("updated_at", F.lit(None).cast("timestamp")),
+        view(s, d, "hr_leavers"), AS_OF,
+    ).withColumn("updated_at", F.to_date("updated_at"))),
+    "project_status_update": lambda s, d: plain(_status(s, d, 0)),
+    "project_status_rejected": lambda s, d: _status(s, d, 1).select("project_id", "l_orderkey", "l_linenumber", "status"),
     "onboard_batch": lambda s, d: plain(_onboard(s, d, 0).select(
         "employee_id", "email", "department_id", "monthly_income")),
     "onboard_versions": lambda s, d: plain(_onboard(s, d, 1)),
@@ -226,10 +226,9 @@ QUERIES = {
     "conform_feed": _conform,
     "apply_defaults": lambda s, d: plain(ingest.apply_defaults(view(s, d, "hr_employees"), "employees")),
     "cascade_delete_children": lambda s, d: _delete_employees(s, d, "performance_reviews"),
-    "cascade_delete_assignments": lambda s, d: _delete_employees(s, d, "project_assignments").groupBy(
-        "employee_id").agg(F.count(F.lit(1)).alias("assignments")),
-    "delete_employees": lambda s, d: _delete_employees(s, d, "employees").select("employee_id"),
-    "nullify_refs": lambda s, d: _close_departments(s, d, "projects").select("project_id", "department_id"),
+    "cascade_delete_assignments": lambda s, d: _delete_employees(s, d, "project_assignments"),
+    "delete_employees": lambda s, d: plain(_delete_employees(s, d, "employees")),
+    "nullify_refs": lambda s, d: plain(_close_departments(s, d, "projects")),
     "delete_restricted": lambda s, d: _close_departments(s, d, "departments"),
     "delete_without_children": lambda s, d: ingest.apply_delete(
         {"employees": view(s, d, "hr_employees")}, "employees", view(s, d, "hr_leavers"))["employees"].select("employee_id"),
@@ -380,7 +379,7 @@ from hr_salary_log window w as (partition by employee_id order by change_ts, eve
  old > 0 and abs(old - new_salary) * 100 > old * 5 as opens_version from h""", {
         "h": """select l.*, coalesce(lag(l.new_salary) over (partition by l.employee_id order by l.change_ts, l.event_id),
  e.monthly_income) as old from hr_salary_log l join hr_employees e on l.employee_id = e.employee_id"""}),
-    "latest_salaries": with_views("""select e.employee_id, cast(coalesce(l.new_salary, e.monthly_income) as double) as monthly_income
+    "latest_salaries": with_views("""select e.* replace (cast(coalesce(l.new_salary, e.monthly_income) as double) as monthly_income)
 from hr_employees e left join l on e.employee_id = l.employee_id""", {
         "l": """select employee_id, new_salary from (select *, row_number() over
  (partition by employee_id order by change_ts desc, event_id desc) as rn from hr_salary_log) where rn = 1"""}),
@@ -396,8 +395,8 @@ select (select max(surrogate_key) from hr_dim_employee) + row_number() over (ord
  e.over_time, e.attrition, e.years_at_company, date '{AS_OF}', cast(null as date), 1
 from k join hr_employees_full e on k.employee_id = e.employee_id
 join hr_departments dp on dp.department_id = k.department_id""", _TRANSFER),
-    "transfers_employees": with_views("""select e.employee_id, coalesce(k.department_id, e.department_id) as department_id
-from hr_employees_full e left join k on e.employee_id = k.employee_id""", _TRANSFER),
+    "transfers_employees": with_views("""select e.* replace (coalesce(k.department_id, e.department_id) as department_id,
+ cast(e.monthly_income as double) as monthly_income) from hr_employees_full e left join k on e.employee_id = k.employee_id""", _TRANSFER),
     "transfers_rejected": with_views(
         "select event_id, employee_id, reason from j where reason is not null", _TRANSFER),
     "backfill_nulls": with_views("""select d.surrogate_key, d.employee_id,
@@ -455,16 +454,17 @@ from hr_assignments_held h full join b on h.employee_id = b.employee_id and h.pr
 from hr_assignments_new where hours_allocated >= 0 and (released_date is null or released_date >= assigned_date)""",
         "b": """select f.employee_id, f.project_id, f.assigned_date, l.role_in_project, l.hours_allocated
 from n f join n l on f.employee_id = l.employee_id and f.project_id = l.project_id and f.up = 1 and l.down = 1"""}),
-    "deactivate": with_views("""select employee_id, is_active and employee_id not in (select employee_id from hr_leavers) as is_active,
- case when employee_id in (select employee_id from hr_leavers) then 'Yes' else attrition end as attrition
-from hr_employees_full"""),
-    "project_status_update": with_views("""select p.project_id, coalesce(l.status, p.status) as status
+    "deactivate": with_views(f"""select * exclude (gone) replace (is_active and not gone as is_active,
+ case when gone then 'Yes' else attrition end as attrition, cast(monthly_income as double) as monthly_income),
+ case when gone then date '{AS_OF}' end as updated_at
+from (select *, employee_id in (select employee_id from hr_leavers) as gone from hr_employees_full)"""),
+    "project_status_update": with_views("""select p.* replace (coalesce(l.status, p.status) as status, cast(p.budget as double) as budget)
 from hr_projects p left join l on p.project_id = l.project_id and l.rn = 1""", {
         "l": """select *, row_number() over (partition by project_id
  order by change_ts desc, l_orderkey desc, l_linenumber desc, status desc) as rn
 from hr_status_changes where status <> 'Archived'"""}),
     "project_status_rejected": with_views(
-        "select project_id, count(*) as rejected from hr_status_changes where status = 'Archived' group by project_id"),
+        "select project_id, l_orderkey, l_linenumber, status from hr_status_changes where status = 'Archived'"),
     "onboard_batch": with_views("""select cast(new_id as int) as employee_id, email, department_id,
  cast(monthly_income as double) as monthly_income from hired""", _ONBOARD),
     "onboard_versions": with_views(f"""select (select max(surrogate_key) from hr_dim_employee_loaded) + row_number() over (order by new_id) as surrogate_key,
@@ -494,13 +494,14 @@ from hr_feed f left join hr_departments d on f."Department" = d.department_name"
  review_date, review_year, review_quarter, performance_rating, job_satisfaction, environment_satisfaction,
  relationship_satisfaction, work_life_balance, job_involvement
 from hr_reviews where employee_id not in (select employee_id from hr_leavers)"""),
-    "cascade_delete_assignments": with_views("""select employee_id, count(*) as assignments from hr_assignments
-where employee_id not in (select employee_id from hr_leavers) group by employee_id"""),
-    "delete_employees": with_views("""select employee_id from hr_employees
+    "cascade_delete_assignments": with_views("""select * from hr_assignments
 where employee_id not in (select employee_id from hr_leavers)"""),
-    "nullify_refs": with_views("""select project_id, case when department_id in (select department_id from hr_departments
+    "delete_employees": with_views("""select * replace (cast(monthly_income as double) as monthly_income) from hr_employees
+where employee_id not in (select employee_id from hr_leavers)"""),
+    "nullify_refs": with_views("""select * replace (cast(budget as double) as budget,
+ case when department_id in (select department_id from hr_departments
  where location = 'EUROPE' and department_id not in (select department_id from hr_employees where department_id % 2 = 0))
- then null else department_id end as department_id from hr_projects"""),
+ then null else department_id end as department_id) from hr_projects"""),
     "delete_restricted": with_views("""select * from hr_departments where location <> 'EUROPE'
  or department_id in (select department_id from hr_employees where department_id % 2 = 0)"""),
     "delete_without_children": with_views("""select employee_id from hr_employees
