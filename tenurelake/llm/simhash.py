@@ -39,7 +39,7 @@ from tenurelake.session import checkpointed
 SHINGLE = 3
 RADIUS = 3
 BLOCKS = 4
-CROWD = 16
+CROWD = 512  # comparing is cheaper than the full balls for fewer
 SEED = 42
 _STEP = 1 << 15  # shingles whose bits are spread out at a time
 
@@ -140,8 +140,20 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[list[n
         yield held
 
 
+def _least_linked(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For 0..n-1 the least number that the pairs (a, b) connect it with."""
+    least = np.arange(n)
+    while (least[a] != least[b]).any():
+        low = np.minimum(least[a], least[b])
+        np.minimum.at(least, a, low)
+        np.minimum.at(least, b, low)
+        least = least[least]
+    return least
+
+
 def _compare(crowd: int):
-    """Links (u, v) between fingerprints of one variant; (u, u) marks a member of a crowd."""
+    """Compares the fingerprints on one variant and links each to the first it is connected with, so
+    there are fewer links than fingerprints; (u, u) marks a member of a crowd."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for kind, variant, fp in _runs(batches, ["variant", "kind"]):
@@ -149,18 +161,23 @@ def _compare(crowd: int):
             new[1:] = (variant[1:] != variant[:-1]) | (kind[1:] != kind[:-1])
             run = np.cumsum(new) - 1
             crowded = np.bincount(run)[run] > crowd
-            us, vs = [fp[crowded]], [fp[crowded]]
-            few = ~crowded
-            fp, run = fp[few], run[few]
+            crowd_fps, fp, run = fp[crowded], fp[~crowded], run[~crowded]
+            left, right, at = [], [], np.arange(len(fp))
             for d in range(1, crowd):
-                same = run[d:] == run[:-d]
-                if not same.any():
+                at = at[at + d < len(fp)]
+                at = at[run[at + d] == run[at]]
+                if not len(at):
                     break
-                a, b = fp[d:][same], fp[:-d][same]
-                near = _bits(a ^ b) <= RADIUS
-                us.append(a[near])
-                vs.append(b[near])
-            links = np.unique(np.stack([np.concatenate(us), np.concatenate(vs)]), axis=1)
+                near = at[_bits(fp[at] ^ fp[at + d]) <= RADIUS]
+                left.append(near)
+                right.append(near + d)
+            if left:
+                least = _least_linked(len(fp), np.concatenate(left), np.concatenate(right))
+                linked = np.flatnonzero(least != np.arange(len(fp)))
+                pairs = np.stack([fp[linked], fp[least[linked]]])
+            else:
+                pairs = np.zeros((2, 0), dtype=np.int64)
+            links = np.unique(np.concatenate([pairs, np.stack([crowd_fps] * 2)], axis=1), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(links[0]), pa.array(links[1])], ["u", "v"])
 
     return compare
