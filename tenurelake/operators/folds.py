@@ -93,16 +93,20 @@ def segment_effect(e: np.ndarray) -> list[tuple[int, int, int]]:
 
 
 def fold_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Versions opened by events that arrive sorted by employee and time; holds one batch at a time."""
-    key, state = None, NO_VERSION
+    """Versions opened by events that arrive sorted by employee and time; holds one batch at a time.
+    Events without an employee are one sequence, as they are one group to Spark."""
+    key, state, unset = None, NO_VERSION, True
     for batch in batches:
         ids, e = batch["employee_id"].to_numpy(), batch["_c"].to_numpy()
-        starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else []
+        none = batch["employee_id"].isna().to_numpy()
+        new = (ids[1:] != ids[:-1]) & ~(none[1:] & none[:-1])
+        starts = np.flatnonzero(np.concatenate([[True], new])) if len(ids) else []
         keep: list[int] = []
         for n, a in enumerate(starts):
             b = starts[n + 1] if n + 1 < len(starts) else len(ids)
-            if ids[a] != key:
-                key, state = ids[a], NO_VERSION
+            own = None if none[a] else ids[a]
+            if unset or own != key:
+                key, state, unset = own, NO_VERSION, False
             picked = [a + i for i in emitted(e[a:b], state)]
             if picked:
                 state = int(e[picked[-1]])

@@ -155,3 +155,20 @@ def test_history_feed(spark):
     row = scd2.conform_history(feed).first()
     assert (row["employee_id"], row["monthly_income"], row["start_date"], row["end_date"], row["is_current"]) == (
         5, D("4000.00"), D1, None, 1)
+
+
+@pytest.mark.parametrize("hot_rows", [3, 7, 1000])
+def test_events_without_an_employee_are_one_sequence_hot_or_cold(spark, hot_rows):
+    events = [(i, None if i % 3 else 1, dt.datetime(2020, 1, 1) + dt.timedelta(hours=i), D(100 + 2 * i)) for i in range(40)]
+    log = spark.createDataFrame(events, "event_id int, employee_id int, change_ts timestamp, new_salary decimal(10,2)")
+    want = []
+    for key in (None, 1):
+        held = None
+        for i, k, _, salary in events:
+            if k == key and (held is None or abs(salary - held) * 20 > held):
+                held = salary
+                want.append(i)
+    got = scd2.versions_from_log(log, "last_version", hot_rows)
+    assert sorted(r["event_id"] for r in got.collect()) == sorted(want)
+    chained = scd2.scd2_from_change_log(log, "last_version", hot_rows).collect()
+    assert sum(r["is_current"] for r in chained) == 2 and len(chained) == len(want)
