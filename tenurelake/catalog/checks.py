@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from functools import partial
 
+from pyspark.sql import functions as F
+
 from tenurelake.catalog.common import plain
 from tenurelake.catalog.fixtures import view, with_views
+from tenurelake.functions import scalars as S
 from tenurelake.operators import dims, quality
 
 _ENTITIES = {
@@ -35,6 +38,9 @@ def _constraints(s, d):
         .unionByName(quality.check_audit(reviews, "performance_reviews"))
         .unionByName(quality.not_null_audit(emp, "employees"))
         .unionByName(quality.not_null_audit(proj, "projects"))
+        .unionByName(quality.not_null_audit(v("hr_departments"), "departments"))
+        .unionByName(quality.not_null_audit(v("hr_assignments"), "project_assignments"))
+        .unionByName(quality.not_null_audit(reviews, "performance_reviews"))
     )
 
 
@@ -45,6 +51,8 @@ def _unique(s, d):
         .unionByName(quality.unique_audit(v("hr_employees_full"), "employees"))
         .unionByName(quality.unique_audit(v("hr_assignments"), "project_assignments"))
         .unionByName(quality.unique_audit(v("hr_dim_department"), "dim_department"))
+        .unionByName(quality.unique_audit(v("hr_projects"), "projects"))
+        .unionByName(quality.unique_audit(v("hr_reviews"), "performance_reviews"))
     )
 
 
@@ -53,14 +61,23 @@ def _foreign(s, d):
     return quality.fk_audit({
         "departments": v("hr_departments"), "employees": v("hr_staff"), "projects": v("hr_projects"),
         "project_assignments": v("hr_assignments"), "performance_reviews": v("hr_reviews"),
+        "salary_history": v("hr_salary_log"),
     })
 
 
 def _foreign_star(s, d):
     v = partial(view, s, d)
+    fact = v("hr_fact_reviews").withColumns({
+        "date_key": S.date_key(F.col("review_date")), "project_key": (F.col("review_id") % 300).cast("bigint"),
+    })
+    proj = v("hr_projects").filter("project_id % 5 <> 0").select(
+        (F.col("project_id") + 1).cast("bigint").alias("project_key"),
+        (F.col("department_id") + 1).cast("bigint").alias("dept_key"),
+    )
     return quality.fk_audit({
-        "fact_performance_reviews": v("hr_fact_reviews"), "dim_employee": v("hr_dim_employee_loaded"),
+        "fact_performance_reviews": fact, "dim_employee": v("hr_dim_employee_loaded"), "dim_project": proj,
         "dim_department": v("hr_dim_department").filter("location <> 'ASIA'"),
+        "dim_date": dims.dim_date_covering(v("hr_projects"), "start_date"),
     })
 
 
@@ -180,6 +197,8 @@ ORACLES = {f"validate_{e}": _validate_sql(e) for e in _ENTITIES} | {
             "monthly_income"]}),
         _audit_sql("projects", "hr_projects", "not null",
                    {c: f"{c} is null" for c in ["project_id", "project_name", "start_date"]}),
+        *[_audit_sql(table, name, "not null", {c: f"{c} is null" for c in quality.REQUIRED[table]}) for table, name in (
+            ("departments", "hr_departments"), ("project_assignments", "hr_assignments"), ("performance_reviews", "hr_reviews"))],
     ])),
     "unique_audit": with_views("\nunion all ".join([
         _unique_sql("departments", "hr_departments", ["department_id"]),
@@ -188,6 +207,8 @@ ORACLES = {f"validate_{e}": _validate_sql(e) for e in _ENTITIES} | {
         _unique_sql("employees", "hr_employees_full", ["email"]),
         _unique_sql("project_assignments", "hr_assignments", ["employee_id", "project_id"]),
         _unique_sql("dim_department", "hr_dim_department", ["department_id"]),
+        _unique_sql("projects", "hr_projects", ["project_id"]),
+        _unique_sql("performance_reviews", "hr_reviews", ["review_id"]),
     ])),
     "fk_audit": with_views("\nunion all ".join([
         _orphans_sql("employees", "hr_staff", "department_id", "departments", "hr_departments", "department_id"),
@@ -196,12 +217,21 @@ ORACLES = {f"validate_{e}": _validate_sql(e) for e in _ENTITIES} | {
         _orphans_sql("project_assignments", "hr_assignments", "project_id", "projects", "hr_projects", "project_id"),
         _orphans_sql("performance_reviews", "hr_reviews", "employee_id", "employees", "hr_staff", "employee_id"),
         _orphans_sql("performance_reviews", "hr_reviews", "reviewer_id", "employees", "hr_staff", "employee_id"),
+        _orphans_sql("salary_history", "hr_salary_log", "employee_id", "employees", "hr_staff", "employee_id"),
     ])),
     "fk_audit_star": with_views("""select 'fact_performance_reviews' as child, 'surrogate_key' as column_name,
  'dim_employee' as parent, count(*) as orphans from hr_fact_reviews
 where surrogate_key not in (select surrogate_key from hr_dim_employee_loaded)
 union all select 'fact_performance_reviews', 'dept_key', 'dim_department', count(*) from hr_fact_reviews
-where dept_key not in (select dept_key from hr_dim_department where location <> 'ASIA')"""),
+where dept_key not in (select dept_key from hr_dim_department where location <> 'ASIA')
+union all select 'dim_project', 'dept_key', 'dim_department', count(*) from p
+where dept_key not in (select dept_key from hr_dim_department where location <> 'ASIA')
+union all select 'fact_performance_reviews', 'project_key', 'dim_project', count(*) from hr_fact_reviews
+where review_id % 300 not in (select project_key from p)
+union all select 'fact_performance_reviews', 'date_key', 'dim_date', count(*) from hr_fact_reviews
+where review_year < (select min(year(start_date)) from hr_projects)
+ or review_year > (select max(year(start_date)) from hr_projects)""", {
+        "p": "select project_id + 1 as project_key, department_id + 1 as dept_key from hr_projects where project_id % 5 <> 0"}),
     "calendar_audit": with_views("""select cast(strftime(review_date, '%Y%m%d') as int) as date_key, count(*) as rows from hr_reviews
 where review_year < (select min(year(start_date)) from hr_projects)
  or review_year > (select max(year(start_date)) from hr_projects) group by review_date"""),
