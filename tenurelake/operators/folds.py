@@ -92,6 +92,42 @@ def segment_effect(e: np.ndarray) -> list[tuple[int, int, int]]:
     return [x for x in effect if x[0] <= x[1]]
 
 
+Effect = list[tuple[int, int, int]]
+
+
+def apply_effect(effect: Effect, state: int) -> int:
+    return next((result for lo, hi, result in effect if lo <= state <= hi), state)
+
+
+def compose(effects: list[Effect]) -> Effect:
+    """One effect for several applied in a row."""
+    parts: list[tuple[int, int, int | None]] = [(1, 2**62, None)]  # None: passes through unchanged
+    state = NO_VERSION
+    for effect in effects:
+        state = apply_effect(effect, state)
+        ranges = sorted(x for x in effect if x[0] != NO_VERSION)
+        split: list[tuple[int, int, int | None]] = []
+        for lo, hi, result in parts:
+            if result is not None:
+                split.append((lo, hi, apply_effect(effect, result)))
+                continue
+            for a, b, r in ranges:
+                if a <= hi and b >= lo:
+                    if a > lo:
+                        split.append((lo, a - 1, None))
+                    split.append((max(a, lo), min(b, hi), r))
+                    lo = b + 1
+            if lo <= hi:
+                split.append((lo, hi, None))
+        parts = split[:1]
+        for lo, hi, result in split[1:]:  # neighbours that lead to one version are one range
+            if result == parts[-1][2]:
+                parts[-1] = (parts[-1][0], hi, result)
+            else:
+                parts.append((lo, hi, result))
+    return [x for x in parts if x[2] is not None] + [(NO_VERSION, NO_VERSION, state)]
+
+
 def fold_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Versions opened by events that arrive sorted by employee and time; holds one batch at a time.
     Events without an employee are one sequence, as they are one group to Spark."""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tenurelake.functions import scalars as S
 from tenurelake.operators import dims, scale
-from tenurelake.operators.folds import NO_VERSION, emitted, fold_sorted, segment_effect
+from tenurelake.operators.folds import NO_VERSION, apply_effect, compose, emitted, fold_sorted, segment_effect
 from tenurelake.session import checkpointed
 
 THRESHOLD = Decimal("0.05")
@@ -183,14 +183,17 @@ def latest_salaries(emp: DataFrame, log: DataFrame) -> DataFrame:
     ).select(*emp.columns)
 
 
-def _fold_hot(part: DataFrame) -> DataFrame:
+def _fold_hot(part: DataFrame, run: int = 64) -> DataFrame:
     """The same fold for oversized employees, whose events lie in numbered segments.
 
-    1. Each segment is summed up as its effect on an unknown version. 2. The few effects of an
-    employee are applied one after the other, giving the version each segment starts with.
-    3. Each segment is folded from that version. Steps 1 and 3 run per segment.
+    1. Each segment is summed up as its effect on an unknown version, and each ``run`` of segments as
+    one effect. 2. The effects of an employee's runs are applied one after the other, then those of the
+    segments of each run, giving the version each segment starts with. 3. Each segment is folded from
+    that version. Only step 2 looks at all runs of an employee, a few numbers each.
     """
-    at = ["employee_id", "_seg"]
+    at, runs = ["employee_id", "_seg"], ["employee_id", "_run"]
+    key_type = part.schema["employee_id"].dataType.simpleString()
+    ranges = "lo bigint, hi bigint, result bigint"
 
     def effects(pdf: pd.DataFrame) -> pd.DataFrame:
         e = pdf.sort_values(["change_ts", "event_id"])["_c"].to_numpy()
@@ -200,15 +203,24 @@ def _fold_hot(part: DataFrame) -> DataFrame:
         out = pd.DataFrame(rows, columns=["lo", "hi", "result"])
         return out.assign(employee_id=pdf["employee_id"].iloc[0], _seg=pdf["_seg"].iloc[0])
 
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        state, rows = NO_VERSION, []
-        for seg, effect in pdf.groupby("_seg", sort=True):
-            rows.append((int(seg), state))
-            hit = effect[(effect["lo"] <= state) & (state <= effect["hi"])]
-            if len(hit):
-                state = int(hit["result"].iloc[0])
-        out = pd.DataFrame(rows, columns=["_seg", "_state"])
-        return out.assign(employee_id=pdf["employee_id"].iloc[0])
+    def listed(pdf: pd.DataFrame, by: str) -> list[tuple[int, list[tuple[int, int, int]]]]:
+        rows = lambda g: list(zip(g["lo"].tolist(), g["hi"].tolist(), g["result"].tolist()))
+        return [(int(n), rows(g)) for n, g in pdf.groupby(by, sort=True)]
+
+    def joined(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = pd.DataFrame(compose([e for _, e in listed(pdf, "_seg")]), columns=["lo", "hi", "result"])
+        return out.assign(employee_id=pdf["employee_id"].iloc[0], _run=pdf["_run"].iloc[0])
+
+    def chain(by: str):
+        def work(pdf: pd.DataFrame) -> pd.DataFrame:
+            state = int(pdf["_state"].iloc[0]) if "_state" in pdf else NO_VERSION
+            rows = []
+            for n, effect in listed(pdf, by):
+                rows.append((n, state))
+                state = apply_effect(effect, state)
+            return pd.DataFrame(rows, columns=[by, "_state"]).assign(employee_id=pdf["employee_id"].iloc[0])
+
+        return work
 
     def replay(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["change_ts", "event_id"])
@@ -216,12 +228,16 @@ def _fold_hot(part: DataFrame) -> DataFrame:
         return pdf.iloc[keep].drop(columns=["_state", "_seg"])
 
     slim = part.select(*at, "change_ts", "event_id", "_c")
-    key_type = slim.schema["employee_id"].dataType.simpleString()
-    summed = slim.groupBy(*at).applyInPandas(
-        effects, f"employee_id {key_type}, _seg int, lo bigint, hi bigint, result bigint"
+    summed = checkpointed(
+        slim.groupBy(*at).applyInPandas(effects, f"employee_id {key_type}, _seg int, {ranges}")
+        .withColumn("_run", F.floor(F.col("_seg") / run).cast("int"))
+    )
+    starts = (
+        summed.groupBy(*runs).applyInPandas(joined, f"employee_id {key_type}, _run int, {ranges}")
+        .groupBy("employee_id").applyInPandas(chain("_run"), f"employee_id {key_type}, _run int, _state bigint")
     )
-    states = summed.groupBy("employee_id").applyInPandas(
-        chain, f"employee_id {key_type}, _seg int, _state bigint"
+    states = scale.null_safe_join(summed, starts, runs).groupBy(*runs).applyInPandas(
+        chain("_seg"), f"employee_id {key_type}, _seg int, _state bigint"
     )
     # events without an employee are one sequence here as in the fold of ordinary employees
     return scale.null_safe_join(slim, states, at).groupBy(*at).applyInPandas(replay, slim.drop("_seg").schema)

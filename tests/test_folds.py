@@ -78,3 +78,18 @@ def test_the_modes_differ_on_small_steps(spark):
     opened = {m: sorted(r["event_id"] for r in scd2.versions_from_log(log, m).collect())
               for m in ("previous", "last_version")}
     assert opened == {"previous": [0], "last_version": [0, 2, 4]}
+
+
+def test_effects_in_a_row_are_one_effect():
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        parts = [rng.integers(900, 1200, rng.integers(1, 6)) for _ in range(rng.integers(1, 6))]
+        effects = []
+        for e in parts:
+            effects.append([*folds.segment_effect(e), (folds.NO_VERSION, folds.NO_VERSION, int(e[folds.emitted(e, folds.NO_VERSION)[-1]]))])
+        whole = folds.compose(effects)
+        for state in [folds.NO_VERSION, -5, 0, 1, 2**61, *range(850, 1300, 3)]:
+            step = state
+            for effect in effects:
+                step = folds.apply_effect(effect, step)
+            assert folds.apply_effect(whole, state) == step

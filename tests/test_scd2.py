@@ -172,3 +172,12 @@ def test_events_without_an_employee_are_one_sequence_hot_or_cold(spark, hot_rows
     assert sorted(r["event_id"] for r in got.collect()) == sorted(want)
     chained = scd2.scd2_from_change_log(log, "last_version", hot_rows).collect()
     assert sum(r["is_current"] for r in chained) == 2 and len(chained) == len(want)
+
+
+def test_runs_of_segments_do_not_change_the_fold(spark, monkeypatch):
+    events = [(i, 1 + i % 2, dt.datetime(2020, 1, 1) + dt.timedelta(hours=i), D(1000 + (i * 37) % 113)) for i in range(120)]
+    log = spark.createDataFrame(events, "event_id int, employee_id int, change_ts timestamp, new_salary decimal(10,2)")
+    want = sorted(scd2.versions_from_log(log).collect())
+    fold = scd2._fold_hot
+    monkeypatch.setattr(scd2, "_fold_hot", lambda part: fold(part, run=3))
+    assert sorted(scd2.versions_from_log(log, hot_rows=4).collect()) == want
