@@ -5,7 +5,8 @@ The radius is odd, so the halves are 1 and 2, and the larger ball has 2,081 vari
 balls of radius 1, the 64 bits are cut into 4 blocks, and one block is blanked out at a time: two
 fingerprints that differ in up to 3 bits differ in at most 2 outside some block, and there each
 reaches a common variant by flipping one bit. A fingerprint emits 4 x 49 variants. They are shuffled
-on (block, variant), and colliding fingerprints are compared.
+on the variant, and colliding fingerprints are compared; which block was blank need not be told, as
+the few that meet by chance do not survive the comparison.
 
 Fingerprints that collide with more than ``CROWD`` others on one variant are not compared pair by
 pair. All of them emit the full balls: *home* variants within one bit, and *away* variants two bits
@@ -75,34 +76,33 @@ def hex_text(fp: Column | str) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def _blocks() -> tuple[np.ndarray, np.ndarray]:
-    """For every variant of one fingerprint: the block it belongs to and its bits to keep and to flip."""
+def _blocks() -> np.ndarray:
+    """For every variant of one fingerprint the bits to keep and to flip."""
     width = 64 // BLOCKS
-    block, keep, flip = [], [], []
+    keep, flip = [], []
     for b in range(BLOCKS):
         blank = ((1 << width) - 1) << (b * width)
         for bit in [None, *(k for k in range(64) if not blank >> k & 1)]:
-            block.append(b)
             keep.append(~blank & (2**64 - 1))
             flip.append(0 if bit is None else 1 << bit)
-    return np.array(block, dtype=np.int8), np.array([keep, flip], dtype=np.uint64)
+    return np.array([keep, flip], dtype=np.uint64)
 
 
-def _emit(fps: pa.Array, kind: np.ndarray, keep: np.ndarray, flip: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _emit(fps: pa.Array, keep: np.ndarray, flip: np.ndarray, kind: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
     values = fps.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
     for at in range(0, len(values), 512):
         part = values[at : at + 512]
         variants = ((part[:, None] & keep) ^ flip).view(np.int64).ravel()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.tile(kind, len(part))), pa.array(variants), pa.array(np.repeat(part.view(np.int64), len(keep)))],
-            ["kind", "variant", "fp"],
-        )
+        columns = {"variant": variants, "fp": np.repeat(part.view(np.int64), len(keep))}
+        if kind is not None:
+            columns["kind"] = np.tile(kind, len(part))
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns))
 
 
 def _masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    block, (keep, flip) = _blocks()
+    keep, flip = _blocks()
     for b in batches:
-        yield from _emit(b.column(0), block, keep, flip)
+        yield from _emit(b.column(0), keep, flip)
 
 
 def _balls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,28 +111,24 @@ def _balls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = np.array([0] * len(one) + [1] * len(two), dtype=np.int8)
     flip = np.array(one + two, dtype=np.uint64)
     for b in batches:
-        yield from _emit(b.column(0), kind, np.full(len(flip), 2**64 - 1, dtype=np.uint64), flip)
+        yield from _emit(b.column(0), np.full(len(flip), 2**64 - 1, dtype=np.uint64), flip, kind)
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x.view(np.uint64))
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[list[np.ndarray]]:
-    """Columns of sorted batches, cut so that no run of equal keys is split. A run is bounded by the
-    fingerprints in reach of one variant."""
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Columns of batches sorted by the first one, cut so that no run of equal values is split. A run
+    is bounded by the fingerprints in reach of one variant."""
     held: list[np.ndarray] | None = None
     for b in batches:
         if not b.num_rows:
             continue
         cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(b.num_columns)]
-        at = [b.schema.get_field_index(k) for k in keys]
         if held is not None:
             cols = [np.concatenate(p) for p in zip(held, cols)]
-        last = np.ones(len(cols[0]), dtype=bool)
-        for i in at:
-            last &= cols[i] == cols[i][-1]
-        cut = int(np.argmax(last))
+        cut = int(np.searchsorted(cols[0], cols[0][-1]))
         held = [c[cut:] for c in cols]
         if cut:
             yield [c[:cut] for c in cols]
@@ -156,9 +152,9 @@ def _compare(crowd: int):
     there are fewer links than fingerprints; (u, u) marks a member of a crowd."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for kind, variant, fp in _runs(batches, ["variant", "kind"]):
+        for variant, fp in _runs(batches):
             new = np.ones(len(fp), dtype=bool)
-            new[1:] = (variant[1:] != variant[:-1]) | (kind[1:] != kind[:-1])
+            new[1:] = variant[1:] != variant[:-1]
             run = np.cumsum(new) - 1
             crowded = np.bincount(run)[run] > crowd
             crowd_fps, fp, run = fp[crowded], fp[~crowded], run[~crowded]
@@ -173,7 +169,7 @@ def _compare(crowd: int):
                 right.append(near + d)
             if left:
                 least = _least_linked(len(fp), np.concatenate(left), np.concatenate(right))
-                linked = np.flatnonzero(least != np.arange(len(fp)))
+                linked = np.flatnonzero(fp[least] != fp)  # a fingerprint can reach a variant twice
                 pairs = np.stack([fp[linked], fp[least[linked]]])
             else:
                 pairs = np.zeros((2, 0), dtype=np.int64)
@@ -185,7 +181,7 @@ def _compare(crowd: int):
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links every fingerprint on a variant to the first that is at home there, if there is one."""
-    for kind, variant, fp in _runs(batches, ["variant"]):
+    for variant, fp, kind in _runs(batches):
         new = np.ones(len(fp), dtype=bool)
         new[1:] = variant[1:] != variant[:-1]
         first = np.flatnonzero(new)[np.cumsum(new) - 1]
@@ -197,12 +193,12 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     """Links (u, v) that connect exactly the distinct fingerprints ``fp`` that chains of steps of at
     most ``RADIUS`` bits connect."""
-    emitted = "kind byte, variant long, fp long"
+    emitted = "variant long, fp long"
     spread = lambda df, order: df.repartition(parallel(df), "variant").sortWithinPartitions(*order)
     variants = fps.select("fp").mapInArrow(_masked, emitted)
-    met = checkpointed(spread(variants, ["variant", "kind"]).mapInArrow(_compare(crowd), "u long, v long").distinct())
+    met = checkpointed(spread(variants, ["variant"]).mapInArrow(_compare(crowd), "u long, v long").distinct())
     crowded = met.filter("u = v").select(F.col("u").alias("fp"))
-    balls = crowded.repartition(parallel(fps), "fp").mapInArrow(_balls, emitted)
+    balls = crowded.repartition(parallel(fps), "fp").mapInArrow(_balls, f"{emitted}, kind byte")
     through = spread(balls, ["variant", "kind", "fp"]).mapInArrow(_meet, "u long, v long")
     return met.filter("u <> v").unionByName(through)
 
