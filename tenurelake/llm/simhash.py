@@ -210,7 +210,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     firsts = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(links(firsts, crowd)).withColumnRenamed("node", "fp")
     rooted = firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # written, so that the join below has two plain sides and a root with very many members is split
+    least = checkpointed(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
     named = rooted.join(least, "root").select("fp", "component_id")
     return rows.join(named, "fp")
 
