@@ -42,6 +42,9 @@ ROWS = 256  # documents whose ids are handed on at a time
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
+# The pattern backtracks over white space, and the faster library gives up on runs of about a million.
+LONG_SPACE = re.compile(r"(?<!\s)\s{10000}")
+
 PROBE = "It's 12 words,\n\n  a\tb   caf\u00e9 \u65e5\u672c \U0001f600 x!!  \u3000end "
 
 
@@ -55,7 +58,8 @@ class Encoder:
 
     If the file numbers its tokens in the order of its merges, its vocabulary serves as ranks for a
     faster library, which is asked to agree on a probe first. Texts with the string of an added token
-    go to the tokenizer itself, as do all texts of any other file.
+    go to the tokenizer itself, as do texts with a run of white space that the library's pattern could
+    fail on, and all texts of any other file.
     """
 
     def __init__(self, path: str):
@@ -82,7 +86,7 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text``, little-endian, two bytes each where that is enough."""
-        own = self.ranked is None or self.added.search(text)
+        own = self.ranked is None or self.added.search(text) or LONG_SPACE.search(text)
         ids = self._exact(text) if own else self.ranked.encode_ordinary(text)
         return np.array(ids, dtype=self.kind).tobytes()
 

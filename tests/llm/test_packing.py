@@ -26,6 +26,14 @@ def test_ids_are_those_of_the_tokenizer(tokenizer, text):
     assert np.frombuffer(coder.encode(text), coder.kind).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("space", [" ", "\n", "\u3000 \t"])
+def test_very_long_white_space_goes_to_the_tokenizer(tokenizer, space):
+    text = "a" + space * (1_200_000 // len(space)) + "x"
+    coder = packing.encoder(packing.tokenizer_path())
+    assert coder.ranked is not None
+    assert np.frombuffer(coder.encode(text), coder.kind).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def check(pieces, docs, tokenizer, size):
     """Every id of every document lies in one piece, and the pieces fill the sequences without gaps."""
     ids = {}
