@@ -1,14 +1,17 @@
 """Packing: documents end to end, cut into sequences of a fixed number of tokens.
 
 The documents of all partitions form one long run of tokens. A first pass tokenises every document
-once and writes its ids with their place inside the partition to the shared folder; the totals of the
-partitions, added up in order, give each partition's place in the run. The second pass reads the ids
+once and writes its ids with their place inside their stretch, the rows that a task reads from one
+split of a file, to the shared folder; the totals of the stretches, added up in order, give each
+stretch's place in the run. The second pass reads the ids
 back and cuts each document wherever the run crosses a multiple of the sequence length. A piece that
 does not begin or end with its document is the record of such a boundary. Nothing is shuffled; only
-one total per partition is put in order.
+one total per stretch is put in order.
 
-Only the last sequence can be short, so there is next to no padding. Which document comes after which
-follows the partitions of the input and the order of rows inside them, fixed by the written table.
+Only the last sequence can be short, so there is next to no padding. Documents follow each other as in
+the written table: by the names of its files (shorter names first, so that numbers with more digits
+come later) and the order of rows inside them, whatever tasks the scan deals its splits to. Rows that
+are not read straight from files follow the partitions of the input.
 
 Defined results: a null or empty text is only its end token; a text of any length is cut as often as
 needed; repeated ids are packed row by row; an empty table gives no rows.
@@ -25,11 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from tenurelake.llm.common import free_name
-from tenurelake.operators.scale import prefix_sum, small
+from tenurelake.operators.scale import small
 from tenurelake.session import shared_dir
 
 SIZE = 2048
@@ -107,32 +111,49 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def _alike(files: pa.Array, splits: pa.Array) -> Iterator[tuple[int, int]]:
+    """First row and number of rows of pieces of a batch with one file and split, at most ``ROWS`` long."""
+    n = len(files)
+    other = pc.or_(pc.not_equal(files[1:], files[:-1]), pc.not_equal(splits[1:], splits[:-1])) if n > 1 else pa.array([], pa.bool_())
+    edges = [0, *(np.flatnonzero(other.to_numpy(zero_copy_only=False)) + 1).tolist(), n]
+    for low, high in zip(edges, edges[1:]):
+        for a in range(low, high, ROWS):
+            yield a, min(ROWS, high - a)
+
+
 def tokenise(docs: DataFrame, text: str, keep: list[str], path: str) -> tuple[str, str, T.StructType]:
     """Writes a table of the columns ``keep`` with each document's ids; returns its folder, the
     name of its struct of ids and its schema."""
     held = free_name(docs.select(*[f"`{c}`" for c in keep]), "_run")
     run = T.StructType([
-        T.StructField("part", T.IntegerType()), T.StructField("before", T.LongType()),
-        T.StructField("n", T.LongType()), T.StructField("ids", T.BinaryType()),
+        T.StructField("file", T.StringType()), T.StructField("split", T.LongType()),
+        T.StructField("part", T.IntegerType()), T.StructField("stretch", T.IntegerType()),
+        T.StructField("before", T.LongType()), T.StructField("n", T.LongType()), T.StructField("ids", T.BinaryType()),
     ])
-    source = docs.select(*[f"`{c}`" for c in keep], F.col(f"`{text}`").alias(held))
+    read = F.struct(F.col(f"`{text}`").alias("text"), F.input_file_name().alias("file"), F.input_file_block_start().alias("split"))
+    source = docs.select(*[f"`{c}`" for c in keep], read.alias(held))
     schema = T.StructType([*source.schema.fields[:-1], T.StructField(held, run)])
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part, before = encoder(path), TaskContext.get().partitionId(), 0
+        coder, part = encoder(path), TaskContext.get().partitionId()
         end = np.array([END_ID], dtype=coder.kind).tobytes()
+        at, stretch, before = None, -1, 0
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            for a in range(0, batch.num_rows, ROWS):  # rows of an Arrow batch can be many long texts
-                ids = [coder.encode(t or "") + end for t in texts.slice(a, ROWS).to_pylist()]
+            texts, files, splits = batch.column(batch.num_columns - 1).flatten()
+            files = pc.fill_null(files, "")
+            for a, rows in _alike(files, splits):  # rows of an Arrow batch can be many long texts
+                if at != (at := (files[a].as_py(), splits[a].as_py())):
+                    stretch, before = stretch + 1, 0
+                ids = [coder.encode(t or "") + end for t in texts.slice(a, rows).to_pylist()]
                 n = np.array([len(x) // coder.kind.itemsize for x in ids], dtype=np.int64)
                 starts = before + np.cumsum(n) - n
                 before += int(n.sum())
+                same = [pa.array(np.full(rows, x, dtype=np.int32)) for x in (part, stretch)]
                 run_array = pa.StructArray.from_arrays(
-                    [pa.array(np.full(len(n), part, dtype=np.int32)), pa.array(starts), pa.array(n), pa.array(ids, pa.binary())],
-                    ["part", "before", "n", "ids"],
+                    [files.slice(a, rows), splits.slice(a, rows), *same, pa.array(starts), pa.array(n), pa.array(ids, pa.binary())],
+                    run.names,
                 )
-                kept = [batch.column(i).slice(a, ROWS) for i in range(batch.num_columns - 1)]
+                kept = [batch.column(i).slice(a, rows) for i in range(batch.num_columns - 1)]
                 yield pa.RecordBatch.from_arrays([*kept, run_array], [*keep, held])
 
     folder = f"{shared_dir(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
@@ -154,10 +175,15 @@ def pack(
     path = path or tokenizer_path()
     folder, held, schema = tokenise(docs, text, keep, path)
     stored = docs.sparkSession.read.schema(schema).parquet(folder)
-    totals = stored.groupBy(F.col(f"{held}.part").alias("part")).agg(F.sum(f"{held}.n").alias("n"))
-    offsets = prefix_sum(totals, "part", "n", "offset", 32).select(F.col("part").alias("_part"), "offset")
-    placed = stored.join(small(offsets), F.col(f"{held}.part") == F.col("_part")).select(
-        *[f"`{c}`" for c in keep], F.col(f"{held}.ids").alias("ids"), (F.col("offset") + F.col(f"{held}.before")).alias("at")
+    of = {c: F.col(f"{held}.{c}") for c in ("part", "stretch", "file", "split", "n", "before", "ids")}
+    totals = stored.groupBy(of["part"].alias("_part"), of["stretch"].alias("_stretch")).agg(
+        F.min(of["file"]).alias("file"), F.min(of["split"]).alias("split"), F.sum(of["n"]).alias("n")
+    )
+    # one row per split of a file, as many as the driver lists to read them
+    run = W.orderBy(F.length("file"), "file", "split", "_part", "_stretch")
+    offsets = totals.select("_part", "_stretch", (F.sum("n").over(run) - F.col("n")).alias("offset"))
+    placed = stored.join(small(offsets), (of["part"] == F.col("_part")) & (of["stretch"] == F.col("_stretch"))).select(
+        *[f"`{c}`" for c in keep], of["ids"].alias("ids"), (F.col("offset") + of["before"]).alias("at")
     )
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
     result = T.StructType([

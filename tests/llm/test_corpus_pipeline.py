@@ -1,11 +1,11 @@
 import pytest
 from pyspark.sql import functions as F
 from rows import DOCUMENTS, clashing, documents
-from test_packing import check
+from test_packing import check, packed_order
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
-from tenurelake.llm import packing, quality_model, simhash, toxicity
+from tenurelake.llm import mixing, packing, quality_model, simhash, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -52,6 +52,12 @@ def test_mixing_keeps_rows_and_packing_holds_them(stages):
     check(stages[4][1].collect(), after.collect(), tokenizer, packing.SIZE)
 
 
+def test_packed_documents_follow_the_schedule(stages):
+    placed, at = mixing.place(stages[3][0])
+    want = [r.doc_id for r in placed.orderBy(f"{at}.slot", f"{at}.turn").collect()]
+    assert packed_order(stages[4][1].collect()) == want
+
+
 def test_run_is_the_stages_one_after_the_other(spark, stages):
     got = P.run(spark, SF).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
     want = stages[4][1].groupBy("doc_id").agg(F.sum("length").alias("n")).collect()

@@ -82,6 +82,39 @@ def test_query_covers_all_documents(spark, sf_dir, tokenizer):
     check(catalog.op4_packing(spark, sf_dir).collect(), docs.collect(), tokenizer, 2048)
 
 
+def packed_order(pieces):
+    return [p.doc_id for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)) if p.start == 0]
+
+
+def test_documents_follow_the_files_whatever_their_sizes(spark, tmp_path):
+    """The scan deals the largest files out first, and several small ones to a task."""
+    rows = [(i, f"word {i} " * (1 + 4000 * (i % 7 == 3)), "en", "a", 1) for i in range(120)]
+    files = spark.createDataFrame(spark.sparkContext.parallelize(rows, 40), DOCUMENTS).sortWithinPartitions("doc_id")
+    files.write.option("compression", "none").parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    assert [r.doc_id for r in docs.collect()] != list(range(120))
+    assert packed_order(packing.pack(docs, size=64).collect()) == list(range(120))
+
+
+def test_splits_of_one_file_follow_each_other(spark, tmp_path):
+    rows = [(i, f"text {i} " * 300, "en", "a", 1) for i in range(400)]
+    one = spark.createDataFrame(rows, DOCUMENTS).coalesce(1).sortWithinPartitions("doc_id")
+    one.write.option("compression", "none").option("parquet.block.size", "65536").parquet(str(tmp_path / "docs"))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+        assert docs.rdd.getNumPartitions() > 1
+        assert packed_order(packing.pack(docs, size=64).collect()) == list(range(400))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_rows_from_no_file_follow_the_partitions(spark):
+    docs = spark.range(50).selectExpr("id as doc_id", "concat('text ', id) as text").repartition(5)
+    assert packed_order(packing.pack(docs, size=64).collect()) == [r.doc_id for r in docs.collect()]
+
+
 def test_nothing_is_shuffled_but_totals(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("part", F.lit(1))
     plan = packing.pack(docs)._jdf.queryExecution().executedPlan().toString()
