@@ -1,4 +1,6 @@
 import random
+from fractions import Fraction
+from itertools import islice
 
 import pytest
 from pyspark.sql import functions as F
@@ -32,6 +34,42 @@ def test_schedule_of_a_period_repeats():
     assert all(slots[s, i % units[s]] + i // units[s] * 8 == t for t, (s, i) in enumerate(order))
 
 
+@pytest.mark.parametrize("n, slots", [(20, 20000), (200, 10000), (2000, 9000)])
+def test_shares_deviate_from_the_target_weights_by_less_than_a_block(n, slots):
+    """One source of weight 0.5, the others alike: over several periods, and with exact windows."""
+    weights = {"hot": 0.5} | {str(i): 0.5 / (n - 1) for i in range(n - 1)}
+    units, had = mixing.proportion(weights), dict.fromkeys(weights, 0)
+    exact = {s: Fraction(w) / sum(map(Fraction, weights.values())) for s, w in weights.items()}
+    assert all(Fraction(units[s], sum(units.values())) == exact[s] for s in weights)
+    for s, i, release, deadline, slot in islice(mixing.blocks(units, dict.fromkeys(weights, slots)), slots):
+        assert i == had[s] and release == i // exact[s] <= slot < deadline == -(-(i + 1) // exact[s])
+        had[s] += 1
+        assert abs(had["hot"] - (slot + 1) * exact["hot"]) < 1
+        if slot % 997 == 0:
+            assert all(abs(had[t] - (slot + 1) * exact[t]) < 1 for t in weights)
+
+
+def test_sources_without_a_weight_leave_the_others_in_proportion():
+    units = mixing.proportion({"a": 3.0, "b": 1.0, "none": 0.0}, 64)
+    assert units["a"] == 3 * units["b"] and 64 * units["none"] == sum(units.values())
+    assert mixing.parts({"hot": 0.5} | {str(i): 0.5 / 19 for i in range(19)})["hot"] == 2048
+
+
+def test_rows_get_the_target_weights_over_several_periods(spark, monkeypatch):
+    docs = spark.range(30000).selectExpr("id as doc_id", "if(id % 2 = 0, 'hot', string(id % 37)) as source")
+    weights = {"hot": 0.5} | {str(i): 0.5 / 37 for i in range(37)}
+    took = []
+    for limit in (mixing.DRIVER_BLOCKS, 0):
+        monkeypatch.setattr(mixing, "DRIVER_BLOCKS", limit)
+        placed, at = mixing.place(docs, weights, block=1)
+        took.append(sorted((r.slot, r.source) for r in placed.select("source", f"{at}.slot").collect()))
+        had = 0
+        for slot, source in took[-1][:20000]:
+            had += source == "hot"
+            assert abs(had - (slot + 1) / 2) < 1
+    assert took[0] == took[1]
+
+
 def corpus(spark, n=6000):
     rng = random.Random(1)
     rows = [(i, f"text {i}", "en", "hot" if rng.random() < 0.5 else rng.choice("abc"), i) for i in range(n)]
