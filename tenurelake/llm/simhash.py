@@ -208,7 +208,25 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     id that chains of links reach."""
     rows = checkpointed(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), *(keep or []), fingerprint(text).alias("fp")))
     firsts = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(links(firsts, crowd)).withColumnRenamed("node", "fp")
+    return _named(rows, firsts, links(firsts, crowd))
+
+
+def similar_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep: list[Column] | None = None) -> DataFrame:
+    """As ``near_duplicates``, with the links of ``similar``; ``fp`` is a key of the text's words."""
+    from tenurelake.llm import similar
+
+    whole = docs.select(
+        F.col(f"`{doc_id}`").alias("doc_id"), *(keep or []), similar.text_key(f"`{text}`").alias("fp"),
+        similar._signature(f"`{text}`").alias("signature"),
+    )
+    rows = checkpointed(whole)
+    firsts = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.first("signature").alias("signature")))
+    found = similar.links(firsts.withColumnRenamed("fp", "key"), docs, text)
+    return _named(rows.drop("signature"), firsts.drop("signature"), found)
+
+
+def _named(rows: DataFrame, firsts: DataFrame, found: DataFrame) -> DataFrame:
+    roots = components(found).withColumnRenamed("node", "fp")
     rooted = firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     # written, so that the join below has two plain sides and a root with very many members is split
     least = checkpointed(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
@@ -216,14 +234,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     return rows.join(named, "fp")
 
 
-def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similar: bool = False) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the one with the smallest id, of equal
-    ids the one with the smallest hash of all columns. Fully equal rows are reduced before the shuffle."""
+    ids the one with the smallest hash of all columns. Fully equal rows are reduced before the shuffle.
+    With ``similar`` the groups are those of ``similar_texts``."""
     whole, held, row = free_name(docs, "_whole"), free_name(docs, "_id"), free_name(docs, "_row")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     whole_hash = F.xxhash64(*[c.cast("string") for c in columns])
     key = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(0).cast("long"))
-    found = near_duplicates(docs, text, doc_id, [whole_hash.alias("whole"), key.alias("held")])
+    find = similar_texts if similar else near_duplicates
+    found = find(docs, text, doc_id, [whole_hash.alias("whole"), key.alias("held")])
     group = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fp"))]
     first = F.min(F.struct(F.col("doc_id").isNull(), "held", "whole")).alias("r")
     chosen = found.groupBy(*group).agg(first).select(F.col("r.whole").alias(whole), F.col("r.held").alias(held))

@@ -1,0 +1,60 @@
+import pytest
+from rows import DOCUMENTS, clashing, documents
+
+import corpus_pipeline as P
+from tenurelake.llm import simhash
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def least_similar(docs):
+    """Least id that steps of a Jaccard similarity of 0.8 reach, by comparing everything that meets."""
+    sets, where, shared = {d: shingles(t) for d, t in docs}, {}, {}
+    for d, s in sets.items():
+        for x in s:
+            where.setdefault(x, []).append(d)
+    for ids in where.values():
+        for i, a in enumerate(ids):
+            for b in ids[:i]:
+                shared[a, b] = shared.get((a, b), 0) + 1
+    root = {d: d for d in sets}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for (a, b), n in shared.items():
+        if 5 * n >= 4 * (len(sets[a]) + len(sets[b]) - n):
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    return {d: find(d) for d in sets}
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_groups_are_those_of_brute_force_jaccard(spark, size):
+    docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet")
+    want = least_similar([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+    assert {r.doc_id: r.component_id for r in simhash.similar_texts(docs).collect()} == want
+
+
+def test_crowds_and_chains_of_near_copies(spark):
+    words = [f"w{i}" for i in range(200)]
+    rows = [(k, " ".join(words[:k % 150] + [f"x{k}"] + words[k % 150 + 1 :]), "en", "a", 1) for k in range(150)]
+    rows += [(1000 + k, " ".join(f"c{i}" for i in range(k * 8, k * 8 + 160)), "en", "a", 1) for k in range(12)]
+    rows += [(2000 + k, " ".join(f"n{i}" for i in range(k * 40, k * 40 + 160)), "en", "a", 1) for k in range(3)]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    assert {r.doc_id: r.component_id for r in simhash.similar_texts(docs).collect()} == least_similar([r[:2] for r in rows])
+
+
+def test_stage_keeps_one_of_each_and_awkward_rows_go_through(spark):
+    docs = clashing(documents(spark))
+    kept = P.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == [
+        (False, 1), (False, 3), (False, 6), (False, 8), (False, 9), (True, 0)
+    ]
+    assert simhash.similar_texts(spark.createDataFrame([], DOCUMENTS)).count() == 0
