@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and read again as the
 next one's ``docs``. The first four return the columns of documents; the last returns pieces of
 sequences. The models of the first two stages are learned from ``labels`` on what the stage is given.
+
+Defined results of every stage: an empty table gives no rows, a null text counts as an empty one, rows
+with a null or repeated id are judged one by one (near-duplicates keep one row of each group, the
+smallest id first and null ids last), and columns beyond those of documents are handed on as they are.
 """
 
 from __future__ import annotations
@@ -31,8 +35,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group that a Jaccard similarity of 0.8 over five-word shingles connects."""
-    return simhash.one_of_each(docs, similar=True)
+    """One document of every group that steps of at most 3 differing fingerprint bits connect."""
+    return simhash.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
