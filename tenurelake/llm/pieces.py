@@ -12,20 +12,20 @@ come before the merge that used one of them up. That needs tokens whose own merg
 their scores; for others (runs of spaces share one score) the joint text is merged outright. Answers
 are remembered.
 
-The model's own normaliser prepares a text. Where no token reaches from one character into a space
-mark, texts are cut in front of space marks and repeated pieces are looked up.
+The model's own normaliser prepares a text. Texts are cut where no token of the vocabulary reaches
+across: in front of space marks, behind letters and around characters that it does not hold, as far as
+the vocabulary allows it. Parts met again are looked up.
 
 Defined results: a null or empty text has only the begin and end ids; characters that are not in the
 vocabulary become byte tokens, or the unknown id if the model has none; decoding a null gives null, and
 bytes that are no UTF-8 give replacement characters. Repeated rows are encoded row by row, empty tables
 give no rows, and columns are replaced only by name. A text of any length is encoded whole; memory is
-in proportion to its longest piece.
+in proportion to the longest text.
 """
 
 from __future__ import annotations
 
-import re
-from itertools import chain
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -35,8 +35,9 @@ from pyspark.sql import Column, functions as F, types as T
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-REMEMBERED = 1 << 17  # a worker keeps up to twice as many pieces, and eight times as many pairs
+REMEMBERED = 1 << 17  # a worker keeps up to twice as many parts, and eight times as many pairs
 LONGEST_REMEMBERED = 64
+GROUP = 1 << 22
 
 _ABSENT = float("inf")
 
@@ -64,19 +65,38 @@ class PieceCoder:
         # the lower, the earlier; characters are there from the start
         self.rank_of = {p: -sp.get_score(i) for p, i in self.id_of.items()}
         self.spines: dict[str, tuple | None] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, list[int]] = {}  # ids of pieces met lately
-        self.older: dict[str, list[int]] = {}  # and of those met before
+        self.answers = 0
+        self.factors = np.random.default_rng(1).integers(1 << 63, size=1 << 12, dtype=np.uint64) * 2 + 1
+        self.known: dict[str, bytes] = {}  # ids of pieces met lately
+        self.older: dict[str, bytes] = {}  # and of those met before
         self.automaton = ahocorasick.Automaton()
+        self.after: dict[str, dict[str, bool]] = {}  # per token whether it may follow those asked for
         for p in self.id_of:
             if len(p) == 1 or self._merged(p) == [p]:  # others never come out of merging
-                self.automaton.add_word(p, (p, len(p)))
+                self.automaton.add_word(p, (p, len(p), self.after.setdefault(p, {})))
         self.automaton.make_automaton()
-        crosses = any(SPACE in p.lstrip(SPACE) for p in self.id_of)
-        self.cut = None if crosses else re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+        self.kinds = self._kinds()
+        self.bits = {p: np.array(i, dtype="<u4").tobytes() for p, i in self.id_of.items()}
         self.surface = self._surface(size)
         self.drops_first_space = sp.decode([self.id_of[SPACE]]) == "" if SPACE in self.id_of else False
 
+    def _kinds(self) -> np.ndarray:
+        """The kind of every code point. No token of the vocabulary reaches from anything into a space
+        mark (2), from other characters (0) into a mark (1), or across a character it does not hold (3).
+        """
+        kinds = np.zeros(0x110000, dtype=np.uint8)
+        next_to = {(a, b) for p in self.id_of for a, b in zip(p, p[1:])}
+        if not any(b == SPACE != a for a, b in next_to):
+            held = {c for p in self.id_of for c in p}
+            marks = {c for c in held - {SPACE} if not c.isalpha()}
+            while out := {b for a, b in next_to if b in marks and a not in marks and a != SPACE}:
+                marks -= out
+            kinds[:] = 3
+            kinds[[ord(c) for c in held]] = 0
+            kinds[[ord(c) for c in marks]] = 1
+            kinds[ord(SPACE)] = 2
+        return kinds
+
     def _surface(self, ids) -> list[bytes]:
         sp, byte_at = self.library, {i: b for b, i in self.bytes_of.items()}
         control = lambda i: sp.is_control(i)
@@ -145,27 +165,27 @@ class PieceCoder:
                 i, until_left = i + 1, made_x
 
     def may_follow(self, left: str, right: str) -> bool:
-        key = (left, right)
-        found = self.pairs.get(key)
-        if found is None:
-            if len(self.pairs) >= 8 * REMEMBERED:
-                self.pairs.clear()
-            found = self.pairs[key] = self._pair(left, right)
-        return found
+        if self.answers >= 8 * REMEMBERED:
+            self.answers = 0
+            for known in self.after.values():
+                known.clear()
+        self.answers += 1
+        fits = self.after[right][left] = self._pair(left, right)
+        return fits
 
     def tokens(self, text: str) -> list[str]:
         """The tokens of a normalised text; a character outside the vocabulary is a token of its own."""
         last: list[str | None] = [None] * (len(text) + 1)  # the last token of the prefix of each length
-        answer = self.pairs.get
-        for at, (token, size) in self.automaton.iter(text):
-            if last[at + 1] is None:
-                start = at + 1 - size
-                if start:
+        for at, (token, size, after) in self.automaton.iter(text):
+            at += 1
+            if last[at] is None:
+                if at > size:
+                    start = at - size
                     before = last[start] or text[start - 1]  # where nothing fits the character is unknown
-                    fits = answer((before, token))
+                    fits = after.get(before)
                     if not fits and (fits is not None or not self.may_follow(before, token)):
                         continue
-                last[at + 1] = token
+                last[at] = token
         out, end = [], len(text)
         while end:
             token = last[end] or text[end - 1]
@@ -173,40 +193,85 @@ class PieceCoder:
             end -= len(token)
         return out[::-1]
 
-    def _ids(self, piece: str) -> list[int]:
-        found = self.known.get(piece)
+    def _part(self, part: str) -> bytes:
+        """The ids of a part of a piece that is not among those met lately."""
+        found = self.older.get(part)
         if found is None:
-            found = self.older.get(piece)
-            if found is None:
-                found = self._fresh_ids(piece)
-            if len(piece) <= LONGEST_REMEMBERED:
-                if len(self.known) >= REMEMBERED:
-                    self.older, self.known = self.known, {}
-                self.known[piece] = found
-        return found
-
-    def _fresh_ids(self, piece: str) -> list[int]:
-        found = []
-        for t in self.tokens(piece):
-            i = self.id_of.get(t)
-            if i is not None:
-                found.append(i)
-            elif self.bytes_of:
-                found += [self.bytes_of[b] for b in t.encode("utf-8", "replace")]
-            elif not found or found[-1] != self.unknown:
-                found.append(self.unknown)
+            found = b"".join([self.bits.get(t) or self._spelled(t) for t in self.tokens(part)])
+        if len(part) <= LONGEST_REMEMBERED:
+            if len(self.known) >= REMEMBERED:
+                self.older, self.known = self.known, {}
+            self.known[part] = found
         return found
 
-    def encode(self, text: str | None, ends: bool = True) -> np.ndarray:
-        """Ids of a whole text, as little-endian unsigned 32-bit numbers, with begin and end ids if ``ends``."""
-        plain = self.library.normalize(text) if text else ""
-        pieces = self.cut.findall(plain) if self.cut else [plain] * bool(plain)
-        ids = chain.from_iterable(map(self._ids, pieces))
-        return np.array([self.begin, *ids, self.end] if ends else [*ids], dtype="<u4")
+    def _spelled(self, unknown: str) -> bytes:
+        spelled = [self.bytes_of[b] for b in unknown.encode("utf-8", "replace")] if self.bytes_of else [self.unknown]
+        return np.array(spelled, dtype="<u4").tobytes()
+
+    def encode(self, texts: Iterable[str | None], ends: bool = True) -> Iterator[bytes]:
+        """Ids of whole texts, as little-endian unsigned 32-bit numbers, with begin and end ids if ``ends``.
+
+        Texts are taken in groups of about ``GROUP`` characters; what a group repeats is worked out once.
+        """
+        held, size = [], 0
+        for t in texts:
+            held.append(self.library.normalize(t) if t else "")
+            size += len(held[-1])
+            if size >= GROUP:
+                yield from self._encoded(held, ends)
+                held, size = [], 0
+        yield from self._encoded(held, ends)
+
+    def _parts(self, text: str, edges: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """A text, cut at ``edges`` and where no token reaches across: the different parts, which of them
+        each part is, and where each begins."""
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        kind = self.kinds[code]
+        now, before = kind[1:], kind[:-1]
+        new = np.zeros(len(code), dtype=bool)
+        new[1:] = ((now == 2) & (before != 2)) | ((now == 1) & (before == 0)) | (now == 3) | (before == 3)
+        new[edges[edges < len(code)]] = True
+        starts = np.flatnonzero(new)
+        lengths = np.diff(starts, append=len(code))
+        at = np.arange(len(code)) - np.repeat(starts, lengths)
+        hashes = np.add.reduceat((code + np.uint64(1)) * self.factors[at % len(self.factors)], starts)
+        which, _ = pd.factorize(hashes)
+        first = np.zeros(which.max() + 1, dtype=np.int64)
+        first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
+        like = first[which]
+        alike = (lengths == lengths[like]).all() and (code == code[np.repeat(starts[like], lengths) + at]).all()
+        if not alike:  # two parts of one hash
+            parts = [text[a : a + n] for a, n in zip(starts.tolist(), lengths.tolist())]
+            number = {p: k for k, p in enumerate(dict.fromkeys(parts))}
+            return list(number), np.array([number[p] for p in parts]), starts
+        return [text[a : a + n] for a, n in zip(starts[first].tolist(), lengths[first].tolist())], which, starts
+
+    def _encoded(self, plain: list[str], ends: bool) -> Iterator[bytes]:
+        begin, end = (np.array(i, dtype="<u4").tobytes() if ends else b"" for i in (self.begin, self.end))
+        edges = np.cumsum([0, *map(len, plain)])
+        ids, cuts = np.zeros(0, dtype="<u4"), edges
+        if edges[-1]:
+            parts, which, starts = self._parts("".join(plain), edges)
+            coded = [self.known.get(p) or self._part(p) for p in parts]
+            sizes = np.array([len(c) // 4 for c in coded])
+            offsets, n = np.cumsum(sizes) - sizes, sizes[which]
+            upto = np.cumsum(n)
+            ids = np.frombuffer(b"".join(coded), dtype="<u4")[np.arange(upto[-1]) + np.repeat(offsets[which] - upto + n, n)]
+            cuts = np.concatenate([[0], upto])[np.searchsorted(starts, edges)]
+        for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            own = ids[a:z].tobytes()
+            yield begin + (own if self.bytes_of else self._one_unknown(own)) + end
+
+    def _one_unknown(self, ids: bytes) -> bytes:
+        """Runs of unknown characters have one id in a model without byte tokens."""
+        read = np.frombuffer(ids, dtype="<u4")
+        again = np.zeros(len(read), dtype=bool)
+        again[1:] = (read[1:] == self.unknown) & (read[:-1] == self.unknown)
+        return read[~again].tobytes()
 
     def decode(self, ids) -> str:
         surface = self.surface
-        text = b"".join([surface[i] for i in ids])
+        text = b"".join(map(surface.__getitem__, ids))
         if self.drops_first_space and text.startswith(b" "):
             text = text[1:]
         return text.decode("utf-8", "replace")
@@ -232,7 +297,7 @@ def encode(text: str = "text", path: str | None = None, ends: bool = True) -> Co
     @F.pandas_udf(T.BinaryType())
     def ids(texts: pd.Series) -> pd.Series:
         c = coder(path)
-        return pd.Series([c.encode(t, ends).tobytes() for t in texts], dtype=object)
+        return pd.Series(list(c.encode(texts, ends)), dtype=object)
 
     return ids(F.col(f"`{text}`"))
 

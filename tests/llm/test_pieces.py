@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -24,9 +25,13 @@ def library():
     return sentencepiece.SentencePieceProcessor(model_file=pieces.model_path())
 
 
+def ids_of(coder, *texts):
+    return [i for ids in coder.encode(texts) for i in memoryview(ids).cast("I")]
+
+
 def same(coder, library, text):
     ids = library.encode(text, add_bos=True, add_eos=True)
-    assert coder.encode(text).tolist() == ids, text
+    assert ids_of(coder, text) == ids, text
     assert coder.decode(ids) == library.decode(ids), text
 
 
@@ -52,12 +57,25 @@ def test_a_pair_may_stand_where_merging_leaves_it(coder):
         assert coder._pair(a, b) == (coder._merged(a + b) == [a, b]), (a, b)
 
 
+def test_parts_of_one_hash_are_told_apart(coder, library, monkeypatch):
+    monkeypatch.setattr(coder, "factors", np.zeros(4, dtype=np.uint64))
+    for text in ("one two three two one", "a" * 9000 + " b"):
+        same(coder, library, text)
+
+
+def test_texts_of_one_group_do_not_run_into_each_other(coder, library, monkeypatch):
+    monkeypatch.setattr(pieces, "GROUP", 12)
+    texts = ["a", "", None, "b c d", "e" * 30, "", "in", "g", "   ", "the\n", "\nend", None]
+    got = [memoryview(x).cast("I").tolist() for x in coder.encode(texts)]
+    assert got == library.encode([t or "" for t in texts], add_bos=True, add_eos=True)
+
+
 def test_what_is_remembered_stays_bounded(coder, monkeypatch):
     monkeypatch.setattr(pieces, "REMEMBERED", 10)
     few = pieces.PieceCoder(pieces.model_path())
     text = " ".join(f"word{i} other" for i in range(500))
-    assert few.encode(text).tolist() == coder.encode(text).tolist()
-    assert len(few.known) <= 10 and len(few.older) <= 10 and len(few.pairs) <= 80
+    assert ids_of(few, text, text) == ids_of(coder, text) * 2
+    assert len(few.known) <= 10 and len(few.older) <= 10 and sum(map(len, few.after.values())) <= 80
 
 
 @pytest.mark.parametrize("make", [documents, lambda s: clashing(documents(s)), lambda s: s.createDataFrame([], DOCUMENTS)])
@@ -77,8 +95,6 @@ def test_decoding_a_null_gives_null(spark):
 def test_query_against_the_library(spark, library):
     import hashlib
 
-    import numpy as np
-
     got = catalog.op11_sentencepiece(spark, SF).collect()
     want = []
     for d in spark.read.parquet(f"{SF}/documents.parquet").collect():
