@@ -31,9 +31,9 @@ def read_stream(
     return reader.parquet(folder)
 
 
-def _run(df: DataFrame, out: str, load: Callable[[DataFrame, int], None]) -> None:
+def _run(df: DataFrame, out: str, load: Callable[[DataFrame, int], None], mode: str = "append") -> None:
     query = (
-        df.writeStream.foreachBatch(load).trigger(availableNow=True)
+        df.writeStream.foreachBatch(load).outputMode(mode).trigger(availableNow=True)
         .option("checkpointLocation", f"{out}/_checkpoint").start()
     )
     query.awaitTermination()
@@ -46,13 +46,56 @@ def _earlier(spark: SparkSession, folder: str, schema: str, number: int) -> Data
     return spark.read.schema(f"{schema}, batch bigint").parquet(folder).filter(F.col("batch") < number)
 
 
+def no_id(reviews: DataFrame) -> DataFrame:
+    """Reviews without an id, in quarantine row by row: nothing tells one from a copy of another."""
+    nameless = reviews.filter(F.col("review_id").isNull())
+    return nameless.withColumn("errors", F.array(F.lit("Review id is missing.")))
+
+
+def place_reviews(
+    fresh: DataFrame, nameless: DataFrame, emp: DataFrame, dept: DataFrame, dim_emp: DataFrame, dim_dept: DataFrame,
+    out: str, number: int,
+) -> DataFrame:
+    """Writes a batch's new reviews, each id once, to the fact, the quarantine or the pending rows;
+    returns the ids that reached one of the first two.
+
+    Pending are valid reviews of employees who are not known yet, or have no current version. They
+    are tried again with every batch, whose pending folder holds all that are left after it; another
+    row with the id of a pending one is a repetition.
+    """
+    spark, here = fresh.sparkSession, f"batch={number}"
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fresh.schema)
+    waiting = _earlier(spark, f"{out}/pending", types, number).filter(F.col("batch") == number - 1).drop("batch")
+    fresh = fresh.join(waiting.select("review_id"), "review_id", "left_anti").select(*fresh.columns)
+    valid, broken = quality.split_valid(fresh, quality.review_rules())
+    bound = facts.bind_employees(emp, dept, dim_emp, dim_dept).select("employee_id").distinct()
+    pool = waiting.unionByName(valid).join(bound.withColumn("_known", F.lit(True)), "employee_id", "left").persist()
+    facts.load_fact_reviews(
+        pool.filter("_known").drop("_known"), emp, dept, dim_emp, dim_dept, number=False
+    ).write.mode("overwrite").parquet(f"{out}/fact/{here}")
+    pool.filter("_known is null").select(*fresh.columns).write.mode("overwrite").parquet(f"{out}/pending/{here}")
+    broken.unionByName(no_id(nameless)).write.mode("overwrite").parquet(f"{out}/quarantine/{here}")
+    pool.unpersist()
+    spark.range(1).write.mode("overwrite").parquet(f"{out}/batches/{here}")  # the last one may have left nothing pending
+    ids = [spark.read.parquet(f"{out}/{to}/{here}").select("review_id") for to in ("fact", "quarantine")]
+    return ids[0].unionByName(ids[1]).filter(F.col("review_id").isNotNull()).distinct()
+
+
+def pending_reviews(spark: SparkSession, out: str) -> DataFrame:
+    """The reviews that wait for their employee after the last batch."""
+    last = spark.read.parquet(f"{out}/batches").agg(F.max("batch")).first()[0]
+    return spark.read.parquet(f"{out}/pending/batch={last}")
+
+
 def stream_reviews(
     reviews: DataFrame, emp: DataFrame, dept: DataFrame, dim_emp: DataFrame, dim_dept: DataFrame, out: str,
 ) -> None:
-    """Reviews → validated facts under ``out``/fact; broken rows under ``out``/quarantine.
+    """Reviews → validated facts under ``out``/fact, broken rows under ``out``/quarantine, reviews of
+    employees not known yet under ``out``/pending.
 
-    A review counts once: of equal ids in one batch the least row, and none whose id came before.
-    Ids are kept in folders by their upper bits, of which a batch reads only its own.
+    A review counts once: of equal ids in one batch the least row, and none whose id came before. All
+    others are in one of the three, rows without an id in quarantine one by one. Ids that reached fact
+    or quarantine are kept in folders by their upper bits, of which a batch reads only its own.
     """
     spark = reviews.sparkSession
     id_type = reviews.schema["review_id"].dataType.simpleString()
@@ -61,15 +104,14 @@ def stream_reviews(
     def load(batch: DataFrame, number: int) -> None:
         here = f"batch={number}"
         block = F.shiftright(F.col("review_id").cast("bigint"), ID_BLOCK_BITS)
-        firsts = scale.first_per_key(batch, ["review_id"], [c for c in batch.columns if c != "review_id"])
+        named = batch.filter(F.col("review_id").isNotNull())
+        firsts = scale.first_per_key(named, ["review_id"], [c for c in batch.columns if c != "review_id"])
         known = _earlier(spark, f"{out}/ids", schema, number).select("review_id", "block")
         fresh = firsts.withColumn("block", block).join(known, ["block", "review_id"], "left_anti").persist()
-        valid, broken = quality.split_valid(fresh.drop("block"), quality.review_rules())
-        facts.load_fact_reviews(
-            valid, emp, dept, dim_emp, dim_dept, number=False
-        ).write.mode("overwrite").parquet(f"{out}/fact/{here}")
-        broken.write.mode("overwrite").parquet(f"{out}/quarantine/{here}")
-        fresh.select("review_id", "block").write.mode("overwrite").partitionBy("block").parquet(f"{out}/ids/{here}")
+        settled = place_reviews(
+            fresh.select(*batch.columns), batch.filter(F.col("review_id").isNull()), emp, dept, dim_emp, dim_dept, out, number
+        )
+        settled.withColumn("block", block).write.mode("overwrite").partitionBy("block").parquet(f"{out}/ids/{here}")
         fresh.unpersist()
 
     _run(reviews, out, load)
@@ -108,28 +150,43 @@ def salary_versions(spark: SparkSession, out: str) -> DataFrame:
 def stream_rating_trend(
     reviews: DataFrame, emp: DataFrame, dept: DataFrame, out: str, width_days: int = 28
 ) -> None:
-    """Sums and counts of ratings per department and tumbling window, added up by ``rating_trend``."""
-    names = emp.select("employee_id", "department_id").join(
-        dept.select("department_id", "department_name"), "department_id"
-    ).drop("department_id")
+    """Sums and counts of ratings per department and tumbling window, added up by ``rating_trend``.
+
+    Reviews of employees not known yet are summed up per employee, for ``rating_trend`` to place.
+    """
+    names = department_names(emp, dept)
     day = F.unix_date("review_date")
     start = F.date_from_unix_date((F.floor(day / width_days) * width_days).cast("int"))
 
     def load(batch: DataFrame, number: int) -> None:
-        batch.select("employee_id", "performance_rating", start.alias("window_start")).join(names, "employee_id").groupBy(
-            "window_start", "department_name"
-        ).agg(
+        rows = batch.select("employee_id", "performance_rating", start.alias("window_start")).join(names, "employee_id", "left")
+        unknown = F.when(F.col("department_name").isNull(), F.col("employee_id"))
+        rows.groupBy("window_start", "department_name", unknown.alias("employee_id")).agg(
             F.sum("performance_rating").alias("s"), F.count("performance_rating").alias("n")
         ).write.mode("overwrite").parquet(f"{out}/sums/batch={number}")
 
     _run(reviews, out, load)
 
 
-def rating_trend(spark: SparkSession, out: str) -> DataFrame:
-    """Average rating per department and window, open windows included; late rows are in their window."""
-    total = spark.read.parquet(f"{out}/sums").groupBy("window_start", "department_name").agg(
-        F.sum("s").alias("s"), F.sum("n").alias("n")
-    )
+def department_names(emp: DataFrame, dept: DataFrame) -> DataFrame:
+    return emp.select("employee_id", "department_id").join(
+        dept.select("department_id", "department_name"), "department_id"
+    ).drop("department_id")
+
+
+def rating_trend(spark: SparkSession, out: str, emp: DataFrame | None = None, dept: DataFrame | None = None) -> DataFrame:
+    """Average rating per department and window, open windows included; late rows are in their window.
+
+    Reviews whose employee was unknown when they came have a NULL department, unless ``emp`` and
+    ``dept`` know the employee by now.
+    """
+    sums = spark.read.parquet(f"{out}/sums")
+    if emp is not None:
+        now = department_names(emp, dept).withColumnRenamed("department_name", "_now")
+        placed = sums.filter(F.col("employee_id").isNotNull()).join(now, "employee_id", "left")
+        placed = placed.withColumn("department_name", F.col("_now")).select(*sums.columns)
+        sums = sums.filter(F.col("employee_id").isNull()).unionByName(placed)
+    total = sums.groupBy("window_start", "department_name").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     return total.select(
         "window_start", "department_name", S.exact_avg(F.col("s"), F.col("n")).alias("avg_rating"), F.col("n").alias("reviews")
     )

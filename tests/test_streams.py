@@ -6,7 +6,7 @@ from decimal import Decimal as D
 import pytest
 
 from tenurelake.operators import facts, scd2
-from tenurelake.streaming import feeds
+from tenurelake.streaming import feeds, stateful
 
 
 def write_in_order(batches, folder, schema, spark):
@@ -98,3 +98,88 @@ def test_trend_holds_late_rows_and_open_windows(spark, tmp_path, company):
     rows = feeds.rating_trend(spark, f"{tmp_path}/out").orderBy("window_start").collect()
     assert sum(r["reviews"] for r in rows) == 6
     assert sum(r["avg_rating"] * r["reviews"] for r in rows) == pytest.approx(4 + 1 + 3 + 3 + 3 + 3, abs=0.02)
+
+
+def fates(spark, out, *kinds):
+    return {k: spark.read.parquet(f"{out}/{k}").count() for k in kinds}
+
+
+def test_every_review_is_in_fact_quarantine_or_pending(spark, tmp_path, company):
+    batches = [
+        [review(None, 0), review(None, 0), review(None, 1), review(1, 0), review(2, 1, rating=9), review(3, 2, emp=77)],
+        [review(None, 5), review(None, 6), review(4, 6, emp=77), review(3, 2, emp=77), review(5, 7)],
+    ]
+    folder = write_in_order(batches, tmp_path, REVIEW, spark)
+    emp, dept, dim, dim_dept = company
+    out, schema = f"{tmp_path}/out", spark.createDataFrame([], REVIEW).schema
+    feeds.stream_reviews(feeds.read_stream(spark, folder, schema, max_files=1), emp, dept, dim, dim_dept, out)
+    assert fates(spark, out, "fact", "quarantine") == {"fact": 2, "quarantine": 6}
+    assert sorted(r["review_id"] for r in feeds.pending_reviews(spark, out).collect()) == [3, 4]
+    # the employee is hired: the next batch takes the pending reviews along, and a copy of one is a repetition
+    hired = spark.createDataFrame([(77, 10, D("9.00"), 1, 2, 3, "No")], emp.schema)
+    known = dim.unionByName(spark.createDataFrame([(8, 77, 1)], dim.schema))
+    write_in_order([[review(4, 6, emp=77), review(6, 8)]], f"{tmp_path}/more", REVIEW, spark)
+    import os
+    import shutil
+
+    shutil.copy(f"{tmp_path}/more/in/0.parquet", f"{folder}/9.parquet")
+    os.utime(f"{folder}/9.parquet", (5000, 5000))
+    feeds.stream_reviews(feeds.read_stream(spark, folder, schema, max_files=1), emp.unionByName(hired), dept, known, dim_dept, out)
+    assert sorted(r["review_id"] for r in spark.read.parquet(f"{out}/fact").collect()) == [1, 3, 4, 5, 6]
+    assert feeds.pending_reviews(spark, out).count() == 0
+
+
+def test_trend_places_reviews_once_their_employee_is_known(spark, tmp_path, company):
+    folder = write_in_order([[review(1, 0, 4), review(2, 1, 2, emp=77)]], tmp_path, REVIEW, spark)
+    emp, dept, out = company[0], company[1], f"{tmp_path}/out"
+    feeds.stream_rating_trend(feeds.read_stream(spark, folder, spark.createDataFrame([], REVIEW).schema), emp, dept, out)
+    told = lambda *a: {r["department_name"]: r["reviews"] for r in feeds.rating_trend(spark, out, *a).collect()}
+    assert told() == {"A": 1, None: 1}
+    hired = emp.unionByName(spark.createDataFrame([(77, 10, D("9.00"), 1, 2, 3, "No")], emp.schema))
+    assert told(hired, dept) == {"A": 2}
+
+
+@pytest.mark.parametrize("files", [1, 4])
+def test_state_folds_changes_in_order_and_sets_late_ones_aside(spark, tmp_path, files):
+    events = sorted([change(i, i % 3, 1000 + (i * 37) % 97) for i in range(60)], key=lambda e: e[2])
+    size = 60 // files
+    late = [change(100, 0, 5000)[:2] + (dt.datetime(2019, 1, 1), D("5000")), change(101, 9, 70)]
+    folder = write_in_order([*[events[k * size : k * size + size] for k in range(files)], late], tmp_path, LOG, spark)
+    stream = feeds.read_stream(spark, folder, spark.createDataFrame([], LOG).schema, max_files=1)
+    stateful.stream_salary_state(stream, f"{tmp_path}/out")
+    want = scd2.versions_from_log(spark.createDataFrame([*events, late[1]], LOG)).select("employee_id", "change_ts", "event_id", "monthly_income")
+    got = stateful.salary_changes(spark, f"{tmp_path}/out", stateful.VERSION)
+    assert sorted(got.select(*want.columns).collect()) == sorted(want.collect())
+    assert [r["event_id"] for r in stateful.salary_changes(spark, f"{tmp_path}/out", stateful.LATE).collect()] == [100]
+
+
+def test_window_holds_back_late_and_repeated_reviews(spark, tmp_path, company):
+    batches = [
+        [review(1, 0), review(2, 10)], [review(3, 100), review(3, 100), review(None, 90)], [review(8, 101)],
+        [review(4, 20), review(3, 100), review(5, 95), review(1, 0)], [review(6, 99, emp=77), review(7, 99, rating=0)],
+    ]
+    folder = write_in_order(batches, tmp_path, REVIEW, spark)
+    stream = feeds.read_stream(spark, folder, spark.createDataFrame([], REVIEW).schema, max_files=1)
+    stateful.stream_reviews_window(stream, *company, f"{tmp_path}/out", delay_days=30)
+    held = spark.read.parquet(f"{tmp_path}/out/held").collect()
+    assert sorted((r["review_id"], r["reason"]) for r in held) == [(1, "late"), (3, "repeated"), (3, "repeated"), (4, "late")]
+    assert sorted(r["review_id"] for r in spark.read.parquet(f"{tmp_path}/out/fact").collect()) == [1, 2, 3, 5, 8]
+    assert feeds.pending_reviews(spark, f"{tmp_path}/out").count() == 1
+    assert fates(spark, f"{tmp_path}/out", "quarantine") == {"quarantine": 2}
+
+
+def test_window_state_is_bounded(spark, tmp_path, company):
+    """Ids whose time has passed leave the state."""
+    folder = write_in_order([[review(100 * k + i, 200 * k) for i in range(20)] for k in range(4)], tmp_path, REVIEW, spark)
+    stream = feeds.read_stream(spark, folder, spark.createDataFrame([], REVIEW).schema, max_files=1)
+    stateful.stream_reviews_window(stream, *company, f"{tmp_path}/out", delay_days=30)
+    held = spark.read.format("statestore").load(f"{tmp_path}/out/_checkpoint").count()
+    assert 0 < held <= 40
+
+
+def test_windows_stay_open_until_the_watermark_passes(spark, tmp_path, company):
+    folder = write_in_order([[review(1, 0, 4), review(2, 1, 2)], [review(3, 100, 3)], [review(6, 100, 3)], [review(4, 0, 1), review(5, 90, 1)]], tmp_path, REVIEW, spark)
+    stream = feeds.read_stream(spark, folder, spark.createDataFrame([], REVIEW).schema, max_files=1)
+    stateful.stream_trend_window(stream, company[0], company[1], f"{tmp_path}/out", delay_days=30)
+    rows = sorted((r["window_start"], r["reviews"], r["is_open"]) for r in stateful.windowed_trend(spark, f"{tmp_path}/out").collect())
+    assert [r[1:] for r in rows] == [(2, False), (3, True)]  # the review of day 0 came after its window had closed
