@@ -12,8 +12,9 @@ Memory is bounded by ``SHARD`` vectors and ``BLOCK`` queries a task. Every query
 as the whole set is asked for, in blocks; what a task returns is k rows a query.
 
 Defined results: vectors that are null, empty or hold a null or non-finite component take no part, as
-queries or candidates. Components are cut where a sum of products would leave 64 bits (beyond
-262,144 for 64 dimensions). Vectors of another length than the query's are no candidates for it. Rows
+queries or candidates. Nothing is cut: where sums of products could leave 64 bits they are worked out in
+whole numbers of any size, and only a result whose score itself leaves 64 bits fails the query, as does
+a component that leaves 62 bits. Vectors of another length than the query's are no candidates for it. Rows
 with one id are never candidates of each other, and equal rows count once; a null id takes no part.
 Ties go to the smaller id. No candidates give no rows.
 """
@@ -39,8 +40,8 @@ def whole_vector(vector: str) -> Column:
     v = F.col(f"`{vector}`")
     x = lambda e: e.cast("double")
     bad = F.exists(v, lambda e: e.isNull() | F.isnan(x(e)) | (F.abs(x(e)) == float("inf")))
-    most = F.floor(F.sqrt(F.lit(2.0**62) / F.greatest(F.size(v), F.lit(1)))).cast("double")
-    whole = F.transform(v, lambda e: F.greatest(F.least(F.floor(x(e) * SCALE).cast("double"), most), -most).cast("long"))
+    beyond = F.raise_error(F.lit("component beyond 62 bits")).cast("long")
+    whole = F.transform(v, lambda e: F.when(F.abs(x(e)) < 2.0**62 / SCALE, F.floor(x(e) * SCALE)).otherwise(beyond))
     return F.when((F.size(v) > 0) & ~F.coalesce(bad, F.lit(False)), whole)
 
 
@@ -65,7 +66,8 @@ class Tree:
         self.children.append(None)
         if b - a > leaf and (hi > lo).any():
             axis, middle = int(np.argmax(hi - lo)), (b - a) // 2
-            self.order[a:b] = self.order[a:b][np.argpartition(own[:, axis], middle)]
+            side = own[:, axis]
+            self.order[a:b] = self.order[a:b][np.argsort(side) if side.dtype == object else np.argpartition(side, middle)]
             self.children[me] = (
                 self._build(points, a, a + middle, leaf), self._build(points, a + middle, b, leaf)
             )
@@ -102,17 +104,20 @@ def search(points: np.ndarray, firsts: np.ndarray, queries: np.ndarray, k: int,
             continue
         a, b = tree.span[node]
         here = tree.order[a:b]
-        scores = queries[open_] @ points[here].T
+        exact = queries[open_] @ points[here].T
+        scores = exact.astype(float)
         merged = np.concatenate([best[open_], scores], axis=1)
         best[open_] = -np.partition(-merged, k - 1, axis=1)[:, :k]
         kth[open_] = np.maximum(kth[open_], best[open_].min(axis=1))
         q, p = np.nonzero(scores >= kth[open_][:, None])
-        out.append((open_[q], here[p], scores[q, p]))
+        out.append((open_[q], here[p], exact[q, p]))
     if not out:
         return np.zeros(0, dtype=int), np.zeros(0, dtype=int)
     q, p, s = (np.concatenate(x) for x in zip(*out))
-    good = s >= kth[q]
+    good = s.astype(float) >= kth[q]
     q, p, s = q[good], p[good], s[good]
+    if s.dtype == object:
+        s = np.unique(s, return_inverse=True)[1]  # their order is all that counts here
     order = np.lexsort((firsts[p], -s, q))  # of a merged vector at least its smallest id counts
     q, p, s = q[order], p[order], s[order]
     begins = np.flatnonzero(np.append(True, q[1:] != q[:-1])) if len(q) else np.zeros(0, dtype=int)
@@ -121,10 +126,18 @@ def search(points: np.ndarray, firsts: np.ndarray, queries: np.ndarray, k: int,
     return q[few], p[few]
 
 
-def _as_doubles(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Both as doubles, which multiply faster, if all sums of products are exact in them."""
+def _exact(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both in the fastest numbers in which all sums of products are exact: doubles, longs or Python's."""
     largest = float(np.abs(a).max(initial=1)) * float(np.abs(b).max(initial=1)) * a.shape[1]
-    return (a, b) if largest >= 2**52 else (a.astype(float), b.astype(float))
+    kind = float if largest < 2**52 else np.int64 if largest < 2**62 else object
+    return a.astype(kind), b.astype(kind)
+
+
+def _scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    scores = (a * b).sum(axis=1)
+    if scores.dtype == object and any(not -(2**63) <= s < 2**63 for s in scores):
+        raise OverflowError("score beyond 64 bits")
+    return scores.astype(np.int64)
 
 
 def _one_shard(k: int):
@@ -133,17 +146,18 @@ def _one_shard(k: int):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
         points, queries = (np.array(x["v"].tolist(), dtype=np.int64) for x in (shard, asked))
         firsts = np.fromiter((i[0] for i in shard["ids"]), dtype=np.int64, count=len(shard))
-        fast_points, fast_queries = _as_doubles(points, queries)
-        q, p = search(fast_points, firsts, fast_queries, k + 1, asked["floor"].to_numpy(dtype=float))
+        points, queries = _exact(points, queries)
+        q, p = search(points, firsts, queries, k + 1, asked["floor"].to_numpy(dtype=float))
         ids = shard["ids"].to_numpy()[p]
         sizes = np.fromiter(map(len, ids), dtype=int, count=len(ids))
         row = np.repeat(np.arange(len(q)), sizes)
+        query_id = asked["query_id"].to_numpy()[q[row]]
+        vec_id = np.concatenate(ids) if len(ids) else np.zeros(0, dtype=np.int64)
+        other = query_id != vec_id
+        row = row[other]
         found = pd.DataFrame({
-            "query_id": asked["query_id"].to_numpy()[q[row]],
-            "vec_id": np.concatenate(ids) if len(ids) else np.zeros(0, dtype=np.int64),
-            "score": np.einsum("ij,ij->i", queries[q], points[p])[row],
-        }).astype("int64")
-        found = found[found["query_id"] != found["vec_id"]].sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+            "query_id": query_id[other], "vec_id": vec_id[other], "score": _scores(queries[q[row]], points[p[row]]),
+        }).astype("int64").sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
         return found.groupby("query_id").head(k)
 
     return work

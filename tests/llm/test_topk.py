@@ -63,6 +63,24 @@ def test_large_components_are_exact(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def test_large_components_of_many_dimensions_are_not_cut(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD", 50)
+    rows = vectors(200, 64, 7)
+    for i in range(0, 200, 9):
+        rows[i][1][i % 64] = 300_000.0 * (-1) ** i
+        rows[i][1][(i + 9) % 64] = 300_000.0
+    assert max(s for *_, s in run(spark, rows)) > 2**36 and run(spark, rows) == brute(rows)
+
+
+def test_scores_are_exact_up_to_64_bits_and_fail_beyond(spark):
+    rows = [(0, [1e12, 0.0], 0), (1, [0.0, 1e12], 0), (2, [1.0, 3.0], 0), (3, [1.5, 0.0], 0), (4, [1.25, 1e12], 0), (100, [2.0**-10, 1.0], 0)]
+    assert run(spark, rows) == brute(rows)
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        run(spark, [*rows, (200, [1e12, 1.0], 0)])
+    with pytest.raises(Exception, match="beyond 62 bits"):
+        run(spark, [*rows, (201, [1e16, 1.0], 0)])
+
+
 def test_tree_boxes_are_tight_and_bound_scores():
     points = np.array([v for _, v, _ in vectors(500, 5, 5)])
     tree, queries = topk.Tree(points, leaf=16), np.array([v for _, v, _ in vectors(20, 5, 6)])
