@@ -11,10 +11,11 @@ from tenurelake import schemas
 from tenurelake.catalog.common import AS_OF, plain
 from tenurelake.catalog.fixtures import view, with_views
 from tenurelake.catalog.warehouse import ORACLES as _LOADS
-from tenurelake.operators import ingest, scd2
+from tenurelake.operators import ingest, quality, scd2
 from tenurelake.plans import pipeline
 from tenurelake.session import shared_dir
 from tenurelake.sources import tables
+from tenurelake.sources.partitions import BlockTable
 
 _SOURCES = {"departments": "hr_departments", "employees": "hr_employees_full", "projects": "hr_projects",
             "performance_reviews": "hr_reviews"}
@@ -85,7 +86,74 @@ def _backfill_stored(s, d):
     return plain(house.read("dim_employee").select(*view(s, d, "hr_dim_employee").columns))
 
 
+def _mixed_headers(s, d):
+    """A feed in two kinds of files: columns in another order, and one with a column more."""
+    folder, feed = _folder(s, "feed"), view(s, d, "hr_feed")
+    odd = F.col("EmployeeID").cast("int") % 2 == 1
+    tables.write_feed_csv(feed.filter(~odd), f"{folder}/a")
+    tables.write_feed_csv(feed.filter(odd).select(F.lit("x, y").alias("Notes"), *reversed(feed.columns)), f"{folder}/b")
+    rows, _ = tables.read_feed_csv(s, f"{folder}/*", dict.fromkeys(feed.columns))
+    return plain(ingest.conform_employee_feed(rows, view(s, d, "hr_departments")))
+
+
+BLOCK_BITS = 6  # the supplied tables are small; a block of this many keys makes several
+
+
+def _upsert_stored(s, d):
+    table = BlockTable(s, _folder(s, "assignments"), "project_id", BLOCK_BITS)
+    table.create(view(s, d, "hr_assignments_held"))
+    valid, _ = quality.split_valid(view(s, d, "hr_assignments_new"), quality.assignment_rules())
+    table.upsert(
+        valid, ["employee_id", "project_id"], ["role_in_project", "hours_allocated"],
+        ["assigned_date", "l_orderkey", "l_linenumber", "hours_allocated", "role_in_project"], insert=["assigned_date"],
+    )
+    return table.read().select(*view(s, d, "hr_assignments_held").columns)
+
+
+def _delete_stored(s, d):
+    table = BlockTable(s, _folder(s, "employees"), "employee_id", BLOCK_BITS)
+    table.create(view(s, d, "hr_employees"))
+    table.delete(view(s, d, "hr_leavers"))
+    return plain(table.read().select(*view(s, d, "hr_employees").columns))
+
+
+def _transfers_stored(s, d):
+    """Transfers on a stored dimension: current versions are written anew, closed ones added."""
+    house = tables.Warehouse(s, _folder(s, "warehouse"))
+    dim = schemas.conform(view(s, d, "hr_dim_employee"), "dim_employee")
+    house.replace(dim.filter("is_current = 1"), "dim_employee", archive=dim.filter("is_current = 0"))
+    _, current, closed, _ = scd2.apply_transfers(
+        view(s, d, "hr_employees_full"), house.read("dim_employee"), view(s, d, "hr_departments"), view(s, d, "hr_transfers"), AS_OF
+    )
+    house.replace(current, "dim_employee", archive=closed)
+    return plain(house.read("dim_employee").select(*view(s, d, "hr_dim_employee").columns))
+
+
+def _appends_compacted(s, d):
+    """Reviews that came in three loads, merged, and read for one year."""
+    house, reviews = tables.Warehouse(s, _folder(s, "warehouse")), schemas.conform(view(s, d, "hr_reviews"), "performance_reviews")
+    for k in range(3):
+        house.append(reviews.filter(F.col("review_id") % 3 == k), "performance_reviews")
+    house.compact("performance_reviews")
+    house.append(reviews.filter("review_id < 0"), "performance_reviews")
+    return house.read("performance_reviews").filter("review_year = 2000").select(*view(s, d, "hr_reviews").columns)
+
+
+def _seeded(s, d):
+    """The departments with the seed rows that they lack, numbered after them."""
+    held = view(s, d, "hr_departments")
+    last = held.agg(F.max("department_id")).first()[0]
+    seeds = tables.seed_departments(s).withColumn("department_id", F.col("department_id") + F.lit(last))
+    return held.unionByName(ingest.insert_ignore(seeds.drop("created_at"), held, ["department_name"], ["department_id"]))
+
+
 QUERIES = {
+    "feed_mixed_headers": _mixed_headers,
+    "upsert_stored": _upsert_stored,
+    "delete_stored": _delete_stored,
+    "transfers_stored": _transfers_stored,
+    "appends_compacted": _appends_compacted,
+    "seed_departments": _seeded,
     "pipeline_empty_reviews": partial(_pipeline, runs=2, reviews="false"),
     "feed_snapshot_load": _snapshot_load,
     "feed_history_load": _history_load,
@@ -107,7 +175,17 @@ union all select 'fact_performance_reviews', count(*) from hr_reviews r join hr_
  on r.employee_id = e.employee_id)""")
 
 
+_SEEDS = ", ".join(f"({k}, '{name}', '{place}')" for k, name, place in schemas.SEED_DEPARTMENTS)
+
 ORACLES = {
+    "feed_mixed_headers": _LOADS["conform_feed"],
+    "upsert_stored": _LOADS["assignments_upsert"],
+    "delete_stored": _LOADS["delete_employees"],
+    "transfers_stored": _LOADS["transfers_apply"],
+    "appends_compacted": with_views("select * from hr_reviews where review_year = 2000"),
+    "seed_departments": with_views(f"""select department_id, department_name, location from hr_departments
+union all select cast(k + (select max(department_id) from hr_departments) as int), name, place from (values {_SEEDS}) as s(k, name, place)
+where lower(name) not in (select lower(department_name) from hr_departments)"""),
     "pipeline_empty_reviews": _report_sql("0::bigint").replace("from hr_reviews r join", "from (from hr_reviews limit 0) r join"),
     "feed_snapshot_load": with_views("""select employee_id, email, hire_date, monthly_income, true as is_active, department_id
 from (select *, row_number() over (partition by lower(email) order by employee_id) as rn from c)

@@ -113,6 +113,12 @@ def _transfers(s, d, part):
     )[part]
 
 
+def _transferred(s, d):
+    """The whole dimension after the transfers: its earlier versions, those closed and the current ones."""
+    past = view(s, d, "hr_dim_employee").filter("is_current = 0")
+    return plain(past.unionByName(_transfers(s, d, 1)).unionByName(_transfers(s, d, 2)))
+
+
 def _backfill(s, d):
     return plain(scd2.backfill_nulls(view(s, d, "hr_dim_employee"), view(s, d, "hr_employees_raw")))
 
@@ -204,9 +210,9 @@ QUERIES = {
     "scd2_change_log_last_version": lambda s, d: _log(s, d, "last_version"),
     "salary_history": _history,
     "latest_salaries": _latest,
-    "transfers_apply": lambda s, d: plain(_transfers(s, d, 1)),
+    "transfers_apply": _transferred,
     "transfers_employees": lambda s, d: plain(_transfers(s, d, 0)),
-    "transfers_rejected": lambda s, d: _transfers(s, d, 2).select("event_id", "employee_id", "reason"),
+    "transfers_rejected": lambda s, d: _transfers(s, d, 3).select("event_id", "employee_id", "reason"),
     "backfill_nulls": _backfill,
     "insert_ignore_employees": lambda s, d: plain(ingest.insert_ignore(
         view(s, d, "hr_employees_full"), view(s, d, "hr_staff"), ["email"], ["employee_id"]

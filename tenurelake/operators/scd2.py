@@ -148,7 +148,7 @@ def conform_history(feed: DataFrame) -> DataFrame:
 
 
 def salary_history(
-    log: DataFrame, emp: DataFrame, hot_rows: int = scale.HOT_ROWS
+    log: DataFrame, emp: DataFrame, hot_rows: int = scale.HOT_ROWS, keep: list[str] | None = None
 ) -> DataFrame:
     """Every salary change with the salary before it, and whether it alone opens a version.
 
@@ -164,7 +164,7 @@ def salary_history(
     return told.select(
         "event_id", "employee_id", old.alias("old_salary"), "new_salary",
         F.to_date("change_ts").alias("change_date"),
-        *[c for c in ["change_reason"] if c in log.columns],
+        *[c for c in ["change_reason"] if c in log.columns], *(keep or []),
         S.changed_beyond(old, F.col("new_salary")).alias("opens_version"),
     )
 
@@ -294,7 +294,7 @@ def apply_salary_changes(
     changes of one day would leave empty versions of that day; only the last is kept.
     """
     rejected = unknown_employees(log, emp)
-    told = salary_history(log, emp, hot_rows).join(log.select("event_id", "change_ts"), "event_id")
+    told = checkpointed(salary_history(log, emp, hot_rows, ["change_ts"]))
     last = checkpointed(told.groupBy("employee_id").agg(
         F.max(F.when(F.col("opens_version"), F.struct("change_ts", "event_id", "new_salary"))).alias("_v"),
         F.max(F.struct("change_ts", "event_id", "new_salary")).alias("_last"),
@@ -337,11 +337,12 @@ def check_transfers(
 
 def apply_transfers(
     emp: DataFrame, dim: DataFrame, dept: DataFrame, transfers: DataFrame, as_of: dt.date
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Employees, dimension and rejected transfers after a batch of department changes.
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(employees, current versions, versions closed, rejected transfers) after a batch of department
+    changes.
 
     The last transfer of an employee counts. It always opens a version, also into the same
-    department; hike and ratings of that version stay NULL.
+    department; hike and ratings of that version stay NULL. Versions closed earlier are not touched.
     """
     valid, rejected = check_transfers(transfers, emp, dept)
     # written once: employees, closed and opened versions follow one decision
@@ -360,7 +361,8 @@ def apply_transfers(
         dept.select("department_id", "department_name"), "department_id"
     )
     opened = _open(named, dim, as_of, ["percent_salary_hike", *RATING_COLUMNS], [])
-    return emp_after, _close(dim, last, as_of).unionByName(opened), rejected
+    kept, ended = _split_current(dim, last, as_of)
+    return emp_after, kept.unionByName(opened), ended, rejected
 
 
 def backfill_nulls(dim: DataFrame, src: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,6 +17,7 @@ CLUSTERED = {"dim_employee": ["employee_id"], "employees": ["employee_id"],
              "fact_performance_reviews": ["employee_id"], "performance_reviews": ["employee_id"],
              "project_assignments": ["project_id"], "salary_history": ["employee_id"]}
 MAX_ROWS_PER_FILE = 5_000_000
+ADDED = "_append"  # numbers the folders of appended rows
 
 
 class Warehouse:
@@ -29,7 +32,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _numbered(self, folder: str, complete: bool) -> list[int]:
+    def _numbered(self, folder: str, complete: bool, named: str = r"v(\d+)") -> list[int]:
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(folder)
         fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
@@ -37,7 +40,7 @@ class Warehouse:
             return []
         found = []
         for status in fs.listStatus(path):
-            match = re.fullmatch(r"v(\d+)", status.getPath().getName())
+            match = re.fullmatch(named, status.getPath().getName())
             done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
             if match and (not complete or fs.exists(done)):
                 found.append(int(match.group(1)))
@@ -49,14 +52,18 @@ class Warehouse:
     def _archive(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/archive/v{version:08d}"
 
+    def _added(self, name: str, version: int) -> str:
+        return f"{self._path(name, version)}.added"
+
     def exists(self, name: str) -> bool:
         return bool(self._numbered(f"{self.root}/{name}", True))
 
-    def _load(self, name: str, *paths: str) -> DataFrame:
+    def _load(self, name: str, *paths: str, base: str | None = None) -> DataFrame:
+        reader = self.spark.read.option("basePath", base) if base else self.spark.read
         if name not in schemas.TABLES:
-            return self.spark.read.parquet(*paths)
+            return reader.parquet(*paths).drop(ADDED)
         # the declared schema: no file is opened to find it, and folders without rows are read too
-        df = self.spark.read.schema(schemas.struct_of(name)).parquet(*paths)
+        df = reader.schema(schemas.struct_of(name)).parquet(*paths)
         return schemas.conform(df, name)  # partition columns come back last
 
     def read_live(self, name: str) -> DataFrame:
@@ -64,7 +71,10 @@ class Warehouse:
         versions = self._numbered(f"{self.root}/{name}", True)
         if not versions:
             return self.spark.createDataFrame([], schemas.struct_of(name))
-        return self._load(name, self._path(name, versions[-1]))
+        live, added = self._load(name, self._path(name, versions[-1])), self._added(name, versions[-1])
+        more = [f"{added}/{ADDED}={k}" for k in self._numbered(added, True, rf"{ADDED}=(\d+)")]
+        # one scan for all that was appended
+        return live.unionByName(self._load(name, *more, base=added)) if more else live
 
     def read(self, name: str) -> DataFrame:
         """The whole table, or an empty one of its declared schema if it was never written."""
@@ -83,18 +93,42 @@ class Warehouse:
 
     def _write(self, df: DataFrame, name: str, path: str, mode: str) -> None:
         parts, order = PARTITIONS.get(name, []), CLUSTERED.get(name, [])
-        if parts or order:
-            # ordered inside tasks only: no shuffle that would gather one large partition value
-            df = df.sortWithinPartitions(*parts, *order)
-        writer = df.write.mode(mode).option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
         if parts:
-            writer = writer.partitionBy(*parts)
+            # as many tasks a partition value as its size asks for, so files do not multiply by tasks
+            df = df.hint("rebalance", *parts)
+        self._put(df, name, path, mode, [*parts, *order])
+
+    def _put(self, df: DataFrame, name: str, path: str, mode: str, order: list[str]) -> None:
+        if order:
+            df = df.sortWithinPartitions(*order)
+        writer = df.write.mode(mode).option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
+        if name in PARTITIONS:
+            writer = writer.partitionBy(*PARTITIONS[name])
         writer.parquet(path)
 
     def append(self, df: DataFrame, name: str) -> None:
-        """Adds rows to the newest version; nothing already written is read or moved."""
+        """Adds rows to the newest version, all or none: they appear with the success marker of their own
+        folder. Nothing already written is read or moved."""
         versions = self._numbered(f"{self.root}/{name}", True)
-        self._write(df, name, self._path(name, versions[-1] if versions else 1), "append")
+        if not versions:
+            return self.replace(df, name)
+        added = self._added(name, versions[-1])
+        taken = self._numbered(added, False, rf"{ADDED}=(\d+)")
+        self._write(df, name, f"{added}/{ADDED}={(taken[-1] if taken else 0) + 1}", "errorifexists")
+
+    def compact(self, name: str, files: int | None = None) -> None:
+        """Writes the newest version anew with what was appended to it, ranged over its partition values
+        and cluster columns, so that a file holds few of their values and a look-up opens few files.
+
+        Rows of one value may fill several files. Ranges are drawn from a sample of the stored rows;
+        ``files`` is how many there should be (by size, if not given).
+        """
+        df, order = self.read_live(name), [*PARTITIONS.get(name, []), *CLUSTERED.get(name, [])]
+        if order:
+            keys = [*order, F.xxhash64(*df.columns)]  # the hash splits a value that fills many files
+            df = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
+        taken = self._numbered(f"{self.root}/{name}", False)
+        self._put(df, name, self._path(name, (taken[-1] if taken else 0) + 1), "errorifexists", order)
 
     def replace_whole(self, df: DataFrame, name: str) -> None:
         """Writes ``df``, the whole table with its closed rows, as the next version; archives written
@@ -120,21 +154,39 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def _headers(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """(column names, files) for every first line that files of ``path`` have."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("n"), F.col("value"),
+    )
+    firsts = lines.filter("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("line"))
+    found = firsts.groupBy("line").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("line")
+    return [(next(csv.reader([r["line"]]), []), r["files"]) for r in found.collect()]
+
+
 def read_feed_csv(spark: SparkSession, path: str, columns: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """(the wanted columns of a feed as texts, the lines that do not fit its header).
+    """(the wanted columns of a feed as texts, the lines that do not fit their file's header).
 
-    Columns are found by the header's names, in any order and among others; one that the feed lacks
-    is NULL. Quotes inside quoted values are doubled. A malformed line is whole in ``_corrupt_record``.
+    Columns are found by the names in each file's own header, in any order and among others; one that a
+    file lacks is NULL there. Files with one header are read in one scan. Quotes inside quoted values
+    are doubled. A malformed line is whole in ``_corrupt_record``. No file gives no rows.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("mode", "PERMISSIVE")
-    names = reader.csv(path).columns
-    ddl = ", ".join(f"`{c}` string" for c in [*names, "_corrupt_record"])
-    lines = reader.schema(ddl).option("columnNameOfCorruptRecord", "_corrupt_record").csv(path)
-    wanted = [F.col(f"`{c}`") if c in names else F.lit(None).cast("string").alias(c) for c in columns]
-    fits = F.col("_corrupt_record").isNull()
-    # Spark refuses to parse a file for that column alone, so the filter names another one as well
-    broken = ~fits & (F.length(F.concat_ws("", F.col(f"`{names[0]}`"), "_corrupt_record")) >= 0)
-    return lines.filter(fits).select(*wanted), lines.filter(broken)
+    wanted, broken = [], []
+    for names, files in _headers(spark, path):
+        reader = spark.read.option("header", True).option("escape", '"').option("mode", "PERMISSIVE")
+        ddl = ", ".join("`" + c.replace("`", "``") + "` string" for c in [*names, "_corrupt_record"])
+        lines = reader.schema(ddl).option("columnNameOfCorruptRecord", "_corrupt_record").csv(files)
+        fits = F.col("_corrupt_record").isNull()
+        column = lambda c: F.col(f"`{c}`") if c in names else F.lit(None).cast("string").alias(c)  # noqa: E731, B023
+        wanted.append(lines.filter(fits).select(*map(column, columns)))
+        # Spark refuses to parse a file for that column alone, so the filter names another one as well
+        told = ~fits & (F.length(F.concat_ws("", F.col(f"`{names[0]}`"), "_corrupt_record")) >= 0)
+        broken.append(lines.filter(told).select(*map(column, columns), "_corrupt_record"))
+    if not wanted:
+        empty = ", ".join(f"`{c}` string" for c in columns)
+        return spark.createDataFrame([], empty), spark.createDataFrame([], f"{empty}, _corrupt_record string")
+    return reduce(DataFrame.unionByName, wanted), reduce(DataFrame.unionByName, broken)
 
 
 def write_feed_csv(df: DataFrame, path: str) -> None:

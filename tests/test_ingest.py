@@ -1,6 +1,7 @@
 """Writes: defaults, feeds, upserts, deletes; reading and writing tables and files."""
 
 import datetime as dt
+import os
 from decimal import Decimal as D
 
 import pytest
@@ -10,6 +11,7 @@ from tenurelake import schemas
 from tenurelake.operators import dims, facts, ingest
 from tenurelake.plans import browse
 from tenurelake.sources import tables
+from tenurelake.sources.partitions import BlockTable
 
 
 def test_defaults_fill_missing_columns_only(spark):
@@ -201,3 +203,97 @@ def test_an_empty_partitioned_table_can_be_read(spark, tmp_path):
     house = tables.Warehouse(spark, str(tmp_path))
     house.append(spark.createDataFrame([], schemas.struct_of("performance_reviews")), "performance_reviews")
     assert house.read("performance_reviews").count() == 0
+
+
+def files_of(folder):
+    import glob
+
+    return {f: os.path.getmtime(f) for f in glob.glob(f"{folder}/**/*.parquet", recursive=True)}
+
+
+def test_changes_touch_only_the_blocks_of_their_keys(spark, tmp_path):
+    table = BlockTable(spark, f"{tmp_path}/t", "id", bits=3)
+    rows = spark.range(100).selectExpr("cast(id as int) as id", "id % 7 as v").unionByName(
+        spark.createDataFrame([(None, 1)], "id int, v long"))
+    table.create(rows)
+    before = files_of(f"{tmp_path}/t")
+    new = spark.createDataFrame([(3, 50, 1), (97, 51, 1), (97, 52, 2), (200, 53, 1)], "id int, v long, o int")
+    table.upsert(new, ["id"], ["v"], ["o"])
+    after = files_of(f"{tmp_path}/t")
+    changed = {os.path.basename(os.path.dirname(f)) for f in before if f not in after}
+    assert changed == {"_block=0", "_block=12"} and all(after[f] == m for f, m in before.items() if f in after)
+    want = {i: i % 7 for i in range(100)} | {3: 50, 97: 52, 200: 53, None: 1}
+    assert {r["id"]: r["v"] for r in table.read().collect()} == want
+    # a block whose rows all go, one of which some go, and the rows without a key
+    table.delete(spark.createDataFrame([(i,) for i in [*range(8, 16), 40, 999]], "k int"), "k")
+    want = {i: v for i, v in want.items() if i is None or not (8 <= i < 16 or i == 40)}
+    assert {r["id"]: r["v"] for r in table.read().collect()} == want
+    table.change(spark.createDataFrame([(None,)], "id int"), lambda held: held.limit(0))
+    assert {r["id"] for r in table.read().collect()} == set(want) - {None}
+
+
+def test_failed_change_leaves_the_table(spark, tmp_path):
+    table = BlockTable(spark, f"{tmp_path}/t", "id", bits=3)
+    table.create(spark.range(20))
+    before = files_of(f"{tmp_path}/t")
+    with pytest.raises(Exception):
+        table.change(spark.range(3), lambda held: held.select(F.raise_error(F.lit("no")).cast("bigint").alias("id")))
+    assert files_of(f"{tmp_path}/t") == before
+
+
+def reviews_of(spark, n, shift=0):
+    rows = spark.range(n).select(
+        F.col("id").cast("int").alias("review_id"), (F.col("id") * 7919 % 1000).cast("int").alias("employee_id"),
+        F.lit(None).cast("int").alias("reviewer_id"), F.lit(None).cast("date").alias("review_date"),
+        (F.lit(2000 + shift) + F.col("id") % 3).cast("int").alias("review_year"),
+    )
+    return schemas.conform(rows, "performance_reviews")
+
+
+def test_append_is_all_or_nothing(spark, tmp_path):
+    house = tables.Warehouse(spark, str(tmp_path))
+    house.append(reviews_of(spark, 30), "performance_reviews")
+    house.append(reviews_of(spark, 20, 5), "performance_reviews")
+    failing = reviews_of(spark, 1000).withColumn("review_id", F.when(
+        F.col("review_id") < 990, F.col("review_id")).otherwise(F.raise_error(F.lit("no")).cast("int")))
+    with pytest.raises(Exception):
+        house.append(failing, "performance_reviews")
+    assert house.read("performance_reviews").count() == 50
+    house.append(reviews_of(spark, 1), "performance_reviews")
+    assert house.read("performance_reviews").count() == 51
+    house.replace(house.read("performance_reviews").limit(4), "performance_reviews")
+    assert house.read("performance_reviews").count() == 4
+
+
+def test_files_do_not_multiply_by_tasks(spark, tmp_path):
+    house = tables.Warehouse(spark, str(tmp_path))
+    house.append(reviews_of(spark, 3000).repartition(16), "performance_reviews")
+    assert len(files_of(tmp_path)) <= 6  # three years
+
+
+def test_a_look_up_in_a_compacted_table_opens_few_files(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    house = tables.Warehouse(spark, str(tmp_path))
+    for _ in range(3):
+        house.append(reviews_of(spark, 6000), "performance_reviews")
+    house.compact("performance_reviews", files=24)
+    newest = max(p for p in os.listdir(f"{tmp_path}/performance_reviews"))
+    spans = []
+    for f in files_of(f"{tmp_path}/performance_reviews/{newest}"):
+        meta = pq.ParquetFile(f).metadata
+        at = meta.schema.names.index("employee_id")
+        stats = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+        spans.append((min(x.min for x in stats), max(x.max for x in stats)))
+    assert len(spans) >= 20 and sum(lo <= 500 <= hi for lo, hi in spans) <= 6
+    assert house.read("performance_reviews").count() == 18_000
+
+
+def test_each_feed_file_is_read_by_its_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("A,B\n1,x\n2,y,z\n")
+    (tmp_path / "b.csv").write_text("B,A\nq,3\n")
+    (tmp_path / "c.csv").write_text("B\nonly\n")
+    (tmp_path / "d.csv").write_text("")
+    rows, malformed = tables.read_feed_csv(spark, str(tmp_path), {"A": "a", "B": "b"})
+    assert sorted(map(tuple, rows.collect()), key=str) == sorted([("1", "x"), ("3", "q"), (None, "only")], key=str)
+    assert [r["_corrupt_record"] for r in malformed.collect()] == ["2,y,z"]

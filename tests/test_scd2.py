@@ -88,7 +88,8 @@ def test_transfer_always_opens_a_version(spark):
     moves = spark.createDataFrame(
         [(1, D2, 1, 20), (2, D3, 1, 10), (3, D3, 9, 10), (4, D3, 1, 99)],
         "event_id int, change_ts date, employee_id int, department_id int")
-    emp_after, dim_after, rejected = scd2.apply_transfers(emp, dim, dept, moves, D3)
+    emp_after, current, closed, rejected = scd2.apply_transfers(emp, dim, dept, moves, D3)
+    dim_after = current.unionByName(closed)
     assert emp_after.first()["department_id"] == 10  # the last valid transfer leads back
     versions = {r["surrogate_key"]: r for r in dim_after.collect()}
     assert versions[1]["is_current"] == 0 and versions[2]["department_name"] == "A"
