@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from tenurelake.catalog.common import YEAR, avg2, plain
 from tenurelake.catalog.fixtures import view, with_views
-from tenurelake.plans import browse as B
+from tenurelake.plans import browse as B, search
+from tenurelake.session import shared_dir
 
 
 def _emp_dept(s, d):
@@ -15,9 +18,18 @@ def _assignments(s, d):
     return B.project_assignments(view(s, d, "hr_assignments"), *_emp_dept(s, d))
 
 
+def _indexed(s, d, keyword):
+    path = f"{shared_dir(s)}/search-{uuid.uuid4().hex}"
+    search.build_index(view(s, d, "hr_employees_full"), path)
+    return plain(search.search_indexed(*_emp_dept(s, d), keyword, path))
+
+
 ONE = 7  # the id that the look-ups of one row or one employee ask for
 
 QUERIES = {
+    "search_indexed": lambda s, d: _indexed(s, d, "Mach"),
+    "search_indexed_wildcards": lambda s, d: _indexed(s, d, "mp%3_@corp"),
+    "search_indexed_short": lambda s, d: _indexed(s, d, "p1"),
     "department_by_id": lambda s, d: B.department_by_id(view(s, d, "hr_departments"), ONE),
     "employee_by_id": lambda s, d: plain(B.employee_detail(*_emp_dept(s, d), ONE)),
     "project_by_id": lambda s, d: plain(B.project_by_id(view(s, d, "hr_projects"), ONE)),
@@ -53,7 +65,17 @@ from hr_employees_full e join hr_departments d on e.department_id = d.department
 _SCORE_SUM = ("performance_rating + job_satisfaction + environment_satisfaction + relationship_satisfaction"
               " + work_life_balance + job_involvement")
 
+def _search_sql(keyword):
+    hit = " or ".join(f"e.{c} ilike '%{keyword}%'" for c in ("first_name", "last_name", "email", "job_role"))
+    return with_views(f"""select e.employee_id, e.first_name || ' ' || e.last_name as full_name, e.email, e.job_role,
+ d.department_name, cast(e.monthly_income as double) as monthly_income, e.attrition
+from hr_employees_full e join hr_departments d on e.department_id = d.department_id where {hit}""")
+
+
 ORACLES = {
+    "search_indexed": _search_sql("Mach"),
+    "search_indexed_wildcards": _search_sql("mp%3_@corp"),
+    "search_indexed_short": _search_sql("p1"),
     "departments": with_views("select department_id, department_name, location from hr_departments"),
     "employee_directory": with_views(f"{_DIRECTORY} where e.is_active"),
     "employee_directory_all": with_views(_DIRECTORY),

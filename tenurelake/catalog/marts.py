@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import partial
 
 from tenurelake.catalog.common import AS_OF, YEAR, avg2, half_up, plain
 from tenurelake.catalog.fixtures import view, with_views
 from tenurelake.operators import scd2
-from tenurelake.plans import marts as M
+from tenurelake.plans import marts as M, rollups
+from tenurelake.session import shared_dir
+from tenurelake.sources.tables import Warehouse
 
 
 def _star(spark, sf_dir):
@@ -44,7 +47,32 @@ def _dim(spark, sf_dir):
     return view(spark, sf_dir, "hr_dim_employee")
 
 
+LOADS = ["review_date < date '1998-01-01'", "review_date between date '1998-01-01' and date '1999-12-31'", "review_date > date '1999-12-31'"]
+
+
+def _states(spark, sf_dir, state):
+    """The states of three loads of reviews, stored one after the other."""
+    house = Warehouse(spark, f"{shared_dir(spark)}/states-{uuid.uuid4().hex}")
+    for load in LOADS:
+        house.append(state(view(spark, sf_dir, "hr_fact_reviews").filter(load)), "review_state")
+    return house.read("review_state")
+
+
+def _kpis_incremental(s, d):
+    _, emp, dept = _star(s, d)
+    return plain(rollups.kpis_from_state(_states(s, d, rollups.version_state), emp, dept))
+
+
+def _sketched(s, d):
+    parts = [rollups.salary_sketch(_dim(s, d).filter(f"employee_id % 3 = {k}")) for k in range(3)]
+    return rollups.box_from_sketch(rollups.merge_sketches(parts[0].unionByName(parts[1]).unionByName(parts[2])))
+
+
 QUERIES = {
+    "yoy_incremental": lambda s, d: rollups.yoy_from_state(
+        rollups.merge_yearly(_states(s, d, rollups.yearly_state)), view(s, d, "hr_dim_department")),
+    "kpis_incremental": _kpis_incremental,
+    "salary_box_sketch": _sketched,
     "yoy_performance": _yoy,
     "yoy_performance_basic": lambda s, d: _yoy(s, d, False),
     "headcount_by_year": lambda s, d: M.headcount_by_year(_yoy(s, d)),
@@ -207,3 +235,6 @@ from hr_dim_employee where is_current = 1"""}),
     "job_level_counts": with_views("select job_level, count(*) as count from hr_dim_employee group by job_level"),
 }
 ORACLES["history_of_employee"] = f"select * from ({ORACLES['employee_history']}) where employee_id = 7"
+
+ORACLES["yoy_incremental"] = ORACLES["yoy_performance"]
+ORACLES["kpis_incremental"] = ORACLES["department_kpis"]

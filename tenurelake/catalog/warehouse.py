@@ -56,6 +56,11 @@ def _facts_asof(s, d, hot_rows=scale.HOT_ROWS):
     ))
 
 
+def _all_versions(s, d):
+    reviews = view(s, d, "hr_reviews").select("review_id", "employee_id", "review_date")
+    return scd2.asof_all_versions(reviews, view(s, d, "hr_dim_broken"), "review_date", ["surrogate_key", "start_date"])
+
+
 def _merge(s, d):
     return scd2.scd2_apply_snapshot(view(s, d, "hr_snapshot"), view(s, d, "hr_dim_employee_loaded"), AS_OF)
 
@@ -202,6 +207,7 @@ QUERIES = {
     "fact_reviews_load": _facts,
     "fact_reviews_incremental": _facts_incremental,
     "fact_reviews_asof": _facts_asof,
+    "asof_all_versions": _all_versions,
     "scd2_classify": _classify,
     "scd2_snapshot_apply": lambda s, d: plain(_merge(s, d)),
     "scd2_snapshot_rerun": lambda s, d: plain(_merge_again(s, d)),
@@ -367,6 +373,9 @@ where p.project_id not in (select project_id from held)""", {
     "fact_reviews_incremental": with_views(fact_sql(
         "where r.review_id not in (select review_id from hr_fact_loaded)",
         "(select max(review_id) + 1 from hr_fact_loaded)"), FACT_STEPS),
+    "asof_all_versions": with_views("""select r.review_id, r.employee_id, r.review_date, d.surrogate_key, d.start_date
+from hr_reviews r left join hr_dim_broken d on d.employee_id = r.employee_id and r.review_date >= d.start_date
+ and (d.end_date is null or r.review_date < d.end_date)"""),
     "fact_reviews_asof": with_views("""select r.review_id, r.employee_id, r.review_date, r.performance_rating, d.surrogate_key,
  d.department_name, cast(d.monthly_income as double) as monthly_income
 from hr_reviews r left join hr_dim_employee d on d.employee_id = r.employee_id and r.review_date >= d.start_date

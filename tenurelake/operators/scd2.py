@@ -393,7 +393,7 @@ def asof_version_join(
 
     Events and versions are merged into one time line per employee and the latest version is filled
     forward, so work grows with events plus versions, never with their product. Versions of an
-    employee must not overlap (``scd2_integrity``); empty ones are ignored.
+    employee must not overlap (``scd2_integrity``; else see ``asof_all_versions``); empty ones are ignored.
     """
     valid = dim.filter(F.col("end_date").isNull() | (F.col("start_date") < F.col("end_date")))
     version = F.struct(F.col("end_date").alias("_until"), *carry)
@@ -416,3 +416,32 @@ def asof_version_join(
     return filled.select(
         *events.columns, *[F.when(live, F.col(f"_held.{c}")).alias(c) for c in carry]
     )
+
+
+def asof_all_versions(
+    events: DataFrame, dim: DataFrame, event_date: str, carry: list[str], bin_days: int = 64
+) -> DataFrame:
+    """Each event once per version valid on its date, with that version's ``carry`` columns (one row of
+    NULLs if there is none). Versions may overlap.
+
+    Events and versions meet in bins of ``bin_days``: a version stands in every bin that it covers between
+    the first and the last event, and is compared only with the events of that bin. Bins of a hot employee
+    are keys of their own, and a bin too large for a task is split by adaptive execution on the events' side.
+    """
+    day = lambda c: F.unix_date(c)
+    bin_of = lambda d: F.floor(d / bin_days).cast("int")
+    span = events.agg(F.min(day(event_date)).alias("lo"), F.max(day(event_date)).alias("hi")).first()
+    lo, hi = (0, -1) if span["lo"] is None else (span["lo"], span["hi"])
+    # the last day of a version is the one before its end; an open one lasts as long as there are events
+    first, last = F.greatest(day("start_date"), F.lit(lo)), F.least(F.coalesce(day("end_date") - 1, F.lit(hi)), F.lit(hi))
+    covering = dim.filter(F.col("start_date").isNotNull()).withColumns({"_first": first, "_last": last}).filter("_first <= _last")
+    key = F.col("employee_id").cast(events.schema["employee_id"].dataType)
+    binned = covering.select(
+        key.alias("_e"), F.col("start_date").alias("_from"), F.col("end_date").alias("_to"),
+        *[F.col(c).alias(f"_c_{c}") for c in carry], F.explode(F.sequence(bin_of(F.col("_first")), bin_of(F.col("_last")))).alias("_b"),
+    )
+    placed = events.withColumn("_bin", bin_of(day(event_date)))
+    at = F.col(event_date)
+    valid = (at >= F.col("_from")) & (F.col("_to").isNull() | (at < F.col("_to")))
+    met = placed.join(binned, (F.col("employee_id") == F.col("_e")) & (F.col("_bin") == F.col("_b")) & valid, "left")
+    return met.select(*events.columns, *[F.col(f"_c_{c}").alias(c) for c in carry])

@@ -46,11 +46,13 @@ def employee_detail(emp: DataFrame, dept: DataFrame, employee_id: int | None = N
     )
 
 
+SEARCHED = ["first_name", "last_name", "email", "job_role"]
+
+
 def employee_search(emp: DataFrame, dept: DataFrame, keyword: str) -> DataFrame:
     """Employees whose name, e-mail or role contains ``keyword`` in any case; ``%`` and ``_`` in it
     are wildcards."""
-    columns = ["first_name", "last_name", "email", "job_role"]
-    hit = reduce(lambda a, b: a | b, [F.col(c).ilike(f"%{keyword}%") for c in columns])
+    hit = reduce(lambda a, b: a | b, [F.col(c).ilike(f"%{keyword}%") for c in SEARCHED])
     return with_department(emp.filter(hit), dept).select(
         "employee_id", S.full_name().alias("full_name"), "email", "job_role", "department_name",
         "monthly_income", "attrition",

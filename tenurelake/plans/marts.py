@@ -54,6 +54,11 @@ def yoy_performance(fact: DataFrame, dim_dept: DataFrame, full: bool = True) ->
         fact.join(names, "dept_key").groupBy("review_year", "department_name")
         .agg(*_sums(ratings), F.count_distinct("employee_id").alias("employee_count"))
     )
+    return yoy_of(yearly, full)
+
+
+def yoy_of(yearly: DataFrame, full: bool = True) -> DataFrame:
+    """``yoy_performance`` from sums, counts and heads per department and year."""
     along = W.partitionBy("department_name").orderBy("review_year")  # a row per year: small
     yearly = yearly.withColumn("_rating", _steps("performance_rating"))
     yearly = yearly.withColumn("_prev", F.lag("_rating").over(along))
@@ -207,11 +212,19 @@ def department_metrics(fact: DataFrame, dim_emp: DataFrame, dim_dept: DataFrame)
 
     Averages stay in hundredths so that the company row can average them exactly.
     """
-    income = S.cents(F.col("monthly_income"))
-    per_version = fact.groupBy("surrogate_key", "dept_key").agg(
+    return metrics_of(version_sums(fact), dim_emp, dim_dept)
+
+
+def version_sums(fact: DataFrame) -> DataFrame:
+    """What the KPIs need of the reviews of each employee version: sums that further reviews add to."""
+    return fact.groupBy("surrogate_key", "dept_key").agg(
         *_sums(["performance_rating"]),
         F.sum("attrition_flag").alias("attrition"), F.count(F.lit(1)).alias("reviews"),
     )
+
+
+def metrics_of(per_version: DataFrame, dim_emp: DataFrame, dim_dept: DataFrame) -> DataFrame:
+    income = S.cents(F.col("monthly_income"))
     per_employee = (
         per_version
         .join(current(dim_emp).select("surrogate_key", "employee_id", "monthly_income"), "surrogate_key")
@@ -248,7 +261,10 @@ def department_kpis(
 ) -> DataFrame:
     """Department KPIs, largest first. Attrition counts reviews while headcount counts people, so
     the rate can pass 100 %; that is the definition in use. ``with_total`` adds the company row."""
-    metrics = department_metrics(fact, dim_emp, dim_dept)
+    return kpis_of(department_metrics(fact, dim_emp, dim_dept), with_total)
+
+
+def kpis_of(metrics: DataFrame, with_total: bool = False) -> DataFrame:
     if with_total:
         metrics = metrics.unionByName(company_total(metrics))
     return metrics.select(

@@ -11,11 +11,14 @@ def db(sf_dir):
     return compare.database(sf_dir)
 
 
+ESTIMATES = {"salary_box_sketch"}  # see test_rollups.py
+
+
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) - ESTIMATES == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, sf_dir, db, name):
     got = compare.spark_rows(QUERIES[name](spark, sf_dir))
     assert compare.difference(got, compare.oracle_rows(db, ORACLES[name])) is None
