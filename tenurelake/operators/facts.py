@@ -40,9 +40,12 @@ def bind_employees(
 
 def load_fact_reviews(
     reviews: DataFrame, emp: DataFrame, dept: DataFrame, dim_emp: DataFrame, dim_dept: DataFrame,
-    fact: DataFrame | None = None, number: bool = True,
+    fact: DataFrame | None = None, number: bool = True, after: int | None = None,
 ) -> DataFrame:
-    """Fact rows of the reviews not loaded yet.
+    """Fact rows of the reviews not loaded yet, numbered after ``after`` (the largest number of ``fact``).
+
+    Where the ids of loaded reviews are kept in buckets (``sources.buckets.KeyBuckets``), give the new
+    reviews and no ``fact``: the history is then neither shuffled nor read.
 
     Reviews bind to the employee's current version, not to the one valid at the review date
     (see ``asof_version_join``); the project key stays NULL. The employee side is assembled first
@@ -59,5 +62,6 @@ def load_fact_reviews(
     if not number:
         return rows
     rows = checkpointed(rows)
-    after = dims.max_key(fact, "fact_id") if fact is not None and "fact_id" in fact.columns else 0
+    if after is None:
+        after = dims.max_key(fact, "fact_id") if fact is not None and "fact_id" in fact.columns else 0
     return dims.assign_surrogate(rows, "review_id", "fact_id", after, ["surrogate_key", "dept_key"])

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from bench import HEADLINE
 from tenurelake import schemas
@@ -10,6 +11,7 @@ from tenurelake.catalog import QUERIES
 from tenurelake.catalog.fixtures import view
 from tenurelake.operators import scale
 from tenurelake.plans import browse, marts
+from tenurelake.sources.buckets import KeyBuckets
 from tenurelake.sources.tables import Warehouse
 
 
@@ -82,3 +84,27 @@ def test_no_products_and_no_unhinted_broadcasts(spark, sf_dir):
     finally:
         for name in names:
             spark.conf.unset(name)
+
+
+def test_new_rows_are_found_without_shuffling_the_keys_loaded(spark, tmp_path):
+    """The batch is shuffled to the buckets, the history is not; and of the history only the row groups
+    within the batch's range of keys are read."""
+    keys = KeyBuckets(spark, f"{tmp_path}/keys", "id", buckets=16)
+    for load in range(4):
+        keys.add(spark.range(load * 50_000, load * 50_000 + 50_000))
+    batch = spark.range(190_000, 210_000).withColumn("v", F.lit("x"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = keys.new(batch)
+        plan = plan_of(new)
+        rows = {r["id"] for r in new.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows == set(range(200_000, 210_000))
+    history = plan[: plan.index("FileScan")] if plan.index("FileScan") > plan.index("Range") else plan[plan.index("Range"):]
+    assert "Exchange" not in history.split("Range")[-1] and "SelectedBucketsCount: 16 out of 16" in plan
+    assert "GreaterThanOrEqual(id,190000)" in plan
+    # the same keys in a table that another session would register
+    again = KeyBuckets(spark, f"{tmp_path}/keys", "id", buckets=16)
+    assert again.read().count() == 200_000 and again.new(spark.createDataFrame([(None,), (5,), (-1,)], "id int")).count() == 2
+    assert again.new(batch.limit(0)).count() == 0
