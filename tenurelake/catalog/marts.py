@@ -97,47 +97,49 @@ QUERIES = {
 }
 
 _YEARLY = {
-    "g": """select f.review_year, d.department_name,
- sum(f.performance_rating) as s1, sum(f.job_satisfaction) as s2, sum(f.work_life_balance) as s3,
- count(*) as n, count(distinct f.employee_id) as employee_count
-from hr_fact_reviews f join hr_dim_department d on f.dept_key = d.dept_key
-group by f.review_year, d.department_name""",
+    "tally": """select dept_key, review_year, count(*) as n, list(distinct employee_id) as people,
+ sum(performance_rating) as s1, sum(job_satisfaction) as s2, sum(work_life_balance) as s3
+from hr_fact_reviews group by dept_key, review_year""",
+    "g": """select department_name, review_year, sum(n) as n, sum(s1) as s1, sum(s2) as s2, sum(s3) as s3,
+ len(list_distinct(flatten(list(people)))) as employee_count
+from tally natural join hr_dim_department group by department_name, review_year""",
     "y": f"""select *, {half_up('s1', 'n', 2)} as r, lag({half_up('s1', 'n', 2)}) over
  (partition by department_name order by review_year) as p from g""",
 }
 
 
-def _top_sql(where: str, order: str, limit: int, columns: str = "*") -> str:
+# The staff with their current versions, and what each version's reviews add up to.
+_STAFF = "select *, first_name || ' ' || last_name as full_name from hr_dim_employee where is_current = 1"
+
+
+def _tally(columns: str, only: str = "true") -> str:
+    sums = ", ".join(f"sum({c}) as {c}" for c in columns.split())
+    return f"select surrogate_key, count(*) as held, {sums} from hr_fact_reviews where {only} group by surrogate_key"
+
+
+def _top_sql(only: str, tie: str, limit: int, columns: str = "*") -> str:
     steps = {
-        "g": f"""select de.employee_id, de.first_name || ' ' || de.last_name as full_name, de.department_name,
- de.job_role, de.job_level, cast(de.monthly_income as double) as monthly_income,
- {avg2('sum(f.performance_rating)', 'count(*)')} as avg_rating, count(*) as total_reviews,
- dense_rank() over (partition by de.department_name order by {order}) as dept_rank
-from hr_fact_reviews f join hr_dim_employee de on f.surrogate_key = de.surrogate_key and de.is_current = 1
-{where}
-group by de.employee_id, de.first_name, de.last_name, de.department_name, de.job_role, de.job_level,
- de.monthly_income""",
+        "staff": _STAFF,
+        "tally": _tally("performance_rating", only),
+        "board": f"""select employee_id, full_name, department_name, job_role, job_level,
+ cast(monthly_income as double) as monthly_income, {avg2('performance_rating', 'held')} as avg_rating, held as total_reviews,
+ dense_rank() over (partition by department_name order by performance_rating / held desc{tie}) as dept_rank
+from tally join staff using (surrogate_key)""",
     }
-    return with_views(f"select {columns} from g where dept_rank <= {limit}", steps)
+    return with_views(f"select {columns} from board where dept_rank <= {limit}", steps)
 
 
-_AVG_RATING = "sum(f.performance_rating) / count(*)"
-_TOP_ALL = partial(_top_sql, "", f"{_AVG_RATING} desc", 5)
+_TOP_ALL = partial(_top_sql, "true", "", 5)
 
+_SCORES = {"job_satisfaction": "avg_job_satisfaction", "work_life_balance": "avg_wlb", "environment_satisfaction": "avg_env_satisfaction"}
 _RISK = {
-    "g": f"""select de.employee_id, de.first_name || ' ' || de.last_name as full_name, de.department_name,
- de.job_role, cast(de.monthly_income as double) as monthly_income, de.over_time, de.years_at_company,
- {avg2('sum(f.job_satisfaction)', 'count(*)')} as avg_job_satisfaction,
- {avg2('sum(f.work_life_balance)', 'count(*)')} as avg_wlb,
- {avg2('sum(f.environment_satisfaction)', 'count(*)')} as avg_env_satisfaction,
- cast(15 - {half_up('sum(f.job_satisfaction)', 'count(*)')} - {half_up('sum(f.work_life_balance)', 'count(*)')}
-  - {half_up('sum(f.environment_satisfaction)', 'count(*)')}
-  + case when de.over_time = 'Yes' then 3 else 0 end
-  + case when de.years_at_company < 2 then 2 else 0 end as bigint) as risk_score
-from hr_fact_reviews f join hr_dim_employee de on f.surrogate_key = de.surrogate_key and de.is_current = 1
-where de.attrition = 'No'
-group by de.employee_id, de.first_name, de.last_name, de.department_name, de.job_role, de.monthly_income,
- de.over_time, de.years_at_company""",
+    "staff": f"{_STAFF} and attrition = 'No'",
+    "tally": _tally(" ".join(_SCORES)),
+    "g": f"""select employee_id, full_name, department_name, job_role, cast(monthly_income as double) as monthly_income,
+ over_time, years_at_company, {', '.join(f"{avg2(c, 'held')} as {name}" for c, name in _SCORES.items())},
+ cast((over_time = 'Yes')::int * 3 + coalesce(years_at_company < 2, false)::int * 2
+  + {' + '.join(f"(5 - {half_up(c, 'held')})" for c in _SCORES)} as bigint) as risk_score
+from staff join tally using (surrogate_key)""",
     "q": """select *, cast(ntile(4) over (order by risk_score desc, employee_id) as int) as risk_quartile from g""",
     "risk": """select * exclude (risk_quartile), case risk_quartile when 1 then 'High Risk' when 2 then 'Medium Risk'
  when 3 then 'Low Risk' when 4 then 'Very Low Risk' end as risk_category from q""",
@@ -146,12 +148,12 @@ group by de.employee_id, de.first_name, de.last_name, de.department_name, de.job
 
 def kpi_steps(dim: str) -> dict[str, str]:
     return {
-        "m": f"""select d.department_name, count(distinct de.employee_id) as headcount,
- {half_up('sum(cast(de.monthly_income * 100 as bigint))', 'count(*)')} as sal,
- {half_up('sum(f.performance_rating)', 'count(*)', 2)} as perf,
- cast(sum(f.attrition_flag) as bigint) as attrition_count, count(*) as total_reviews
-from hr_fact_reviews f join {dim} de on f.surrogate_key = de.surrogate_key and de.is_current = 1
-join hr_dim_department d on f.dept_key = d.dept_key group by d.department_name""",
+        "tally": """select surrogate_key, dept_key, count(*) as n, sum(performance_rating) as points, sum(attrition_flag) as gone
+from hr_fact_reviews group by surrogate_key, dept_key""",
+        "paid": f"select surrogate_key, employee_id, cast(monthly_income * 100 as bigint) as cents from {dim} where is_current = 1",
+        "m": f"""select department_name, count(distinct employee_id) as headcount, {half_up('sum(cents * n)', 'sum(n)')} as sal,
+ {half_up('sum(points)', 'sum(n)', 2)} as perf, cast(sum(gone) as bigint) as attrition_count, cast(sum(n) as bigint) as total_reviews
+from tally natural join paid join hr_dim_department using (dept_key) group by department_name""",
         "t": f"""select * from m union all select 'Company Total', cast(sum(headcount) as bigint),
  {half_up('sum(sal)', 'count(*)')}, {half_up('sum(perf)', 'count(*)')},
  cast(sum(attrition_count) as bigint), cast(sum(total_reviews) as bigint) from m""",
@@ -195,8 +197,7 @@ ORACLES = {
     "headcount_by_year": with_views("select department_name, review_year, employee_count from y", _YEARLY),
     "satisfaction_by_year": with_views(
         f"select review_year, department_name, {avg2('s2', 'n')} as avg_satisfaction from y", _YEARLY),
-    "top_performers_year": _top_sql(
-        f"where f.review_year = {YEAR}", f"{_AVG_RATING} desc, de.monthly_income desc", 10),
+    "top_performers_year": _top_sql(f"review_year = {YEAR}", ", monthly_income desc", 10),
     "top_performers_all": _TOP_ALL(),
     "top_performers_report": _TOP_ALL(
         'dept_rank as "Rank", full_name as "Name", department_name as "Dept", job_role as "Role",'

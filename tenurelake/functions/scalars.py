@@ -11,6 +11,7 @@ from pyspark.sql import Column, functions as F
 RATING_LABELS = {1: "Poor", 2: "Below Average", 3: "Good", 4: "Outstanding"}
 RISK_LABELS = {1: "High Risk", 2: "Medium Risk", 3: "Low Risk", 4: "Very Low Risk"}
 
+# The six ratings of a review.
 SCORE_COLUMNS = [
     "performance_rating",
     "job_satisfaction",

@@ -188,6 +188,8 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str], last: bool =
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> tuple[DataFrame, int]:
     """Keys with more than ``hot_rows`` rows, and how many rows they have together."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    if counted.limit(1).count() == 0:  # as nearly always: nothing to write, nothing to join
+        return counted.select(*keys), 0
     # columns of its own, as it is joined back to the rows it comes from
     found = checkpointed(counted.select(*[F.col(c).alias(c) for c in keys], "_n"))
     return found.select(*keys), found.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
