@@ -8,12 +8,13 @@ covariance of the closest half. A document whose Mahalanobis distance exceeds th
 is rejected. ``FLOOR`` is added to the deviation of each statistic, because most documents have no
 symbols and no repeats at all and their covariance would be singular.
 
-A step is one aggregate of exact integer sums per (group, distance bin), so neither the size of a
-group nor the order of tasks matters and nothing but a few numbers per group is gathered. The half is
-cut at the edge of a bin; bins are narrow steps of the logarithm of the distance.
+Steps end when no group's estimate changes any more, or after ``STEPS`` of them. A step is one aggregate
+of exact integer sums per (group, distance bin), so neither the size of a group nor the order of tasks
+matters and nothing but a few numbers per group is gathered. The half is cut at the edge of a bin; bins
+are narrow steps of the logarithm of the distance.
 
 Defined results: a null or empty text has no words and fails the base rules; null languages and
-sources are groups like any other; groups of under ``MIN_GROUP`` documents are pooled by language,
+sources are groups like any other; groups of under ``min_group`` documents are pooled by language,
 then all together, and a pool still smaller is judged by the base rules only. Repeated rows count as
 often as they occur. Empty tables give no rows.
 """
@@ -33,9 +34,9 @@ from tenurelake.session import checkpointed
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-MIN_GROUP = 100
+MIN_GROUP = 100  # documents that a group's own estimate is made from, at least
 SUPPORT = 0.5  # share of a group that the estimate is made from
-STEPS = 6
+STEPS = 40
 FLOOR = [0.06, 0.06, 0.08, 0.08]
 UNIT = 4096  # statistics are whole numbers of this fraction
 BINS = 32  # distance bins per factor of e
@@ -78,17 +79,17 @@ def chi_square(degrees: int, z: float = NORMAL_QUANTILE) -> float:
     return degrees * (1 - a + z * a**0.5) ** 3
 
 
-def _pooled(rows: DataFrame) -> DataFrame:
+def _pooled(rows: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """Adds the group (g1, g2) a row is judged in: its own, its language's small groups, or the rest."""
     keyed = rows.withColumns({
         "k1": F.coalesce(F.col("lang").cast("string"), F.lit("\0")), "k2": F.coalesce(F.col("source").cast("string"), F.lit("\0"))
     })
     counts = keyed.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"))
-    tiny = F.col("n") < MIN_GROUP
+    tiny = F.col("n") < min_group
     lang = counts.filter(tiny).groupBy("k1").agg(F.sum("n").alias("m"))
     named = counts.join(lang, "k1", "left").select(
         "k1", "k2",
-        F.when(tiny & (F.col("m") < MIN_GROUP), "\1").otherwise(F.col("k1")).alias("g1"),
+        F.when(tiny & (F.col("m") < min_group), "\1").otherwise(F.col("k1")).alias("g1"),
         F.when(tiny, "\1").otherwise(F.col("k2")).alias("g2"),
     )
     return keyed.join(small(named), ["k1", "k2"])
@@ -162,7 +163,11 @@ def fit(rows: DataFrame) -> DataFrame:
             F.sum("m").alias("m"), F.array(*[F.sum(f"s{i}").cast("double") for i in range(_D)]).alias("s"),
             F.array(*[F.sum(f"q{i}{j}").cast("double") for i, j in _PAIRS]).alias("q"),
         )
-        state = checkpointed(total.select(*group, "n", _estimate("m", "s", "q").alias("e")).select(*group, "n", "e.*"))
+        before_step, state = state, checkpointed(
+            total.select(*group, "n", _estimate("m", "s", "q").alias("e")).select(*group, "n", "e.*")
+        )
+        if not state.join(before_step, [*group, "c", "p"], "left_anti").limit(1).count():
+            break
     return state
 
 
@@ -170,7 +175,10 @@ def _along(group: list[str]):
     return W.partitionBy(*group).orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
 
 
-def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", keep: list[str] | None = None) -> DataFrame:
+def judge(
+    docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", keep: list[str] | None = None,
+    min_group: int = MIN_GROUP,
+) -> DataFrame:
     """The columns ``keep`` of ``docs`` with the counts, ``base_failed``, the squared ``distance``
     (null where only the base rules judge) and ``kept``. The counts are written once."""
     keep = ["doc_id"] if keep is None else keep
@@ -180,10 +188,10 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
         F.col(f"`{source}`").alias("source"), text_counts(F.col(f"`{text}`")).alias("counts"),
     ).select(held, "lang", "source", "counts.*")
     rows = checkpointed(slim.withColumn("base_failed", base_failed()))
-    passed = _pooled(rows.filter(~F.col("base_failed")).select("*", *_statistics()))
+    passed = _pooled(rows.filter(~F.col("base_failed")).select("*", *_statistics()), min_group)
     state = fit(passed)
     judged = passed.join(small(state), ["g1", "g2"]).withColumn(
-        "distance", F.when(F.col("n") >= MIN_GROUP, _distance([F.col(f"x{i}") for i in range(_D)]))
+        "distance", F.when(F.col("n") >= min_group, _distance([F.col(f"x{i}") for i in range(_D)]))
     ).withColumn("kept", F.coalesce(F.col("distance") <= chi_square(_D), F.lit(True)))
     failed = rows.filter("base_failed").withColumns({"distance": F.lit(None).cast("double"), "kept": F.lit(False)})
     columns = [f"{held}.*", *COUNTS, "base_failed", "distance", "kept"]
