@@ -8,7 +8,8 @@ covariance of the closest half. A document whose Mahalanobis distance exceeds th
 is rejected. ``FLOOR`` is added to the deviation of each statistic, because most documents have no
 symbols and no repeats at all and their covariance would be singular.
 
-Steps end when no group's estimate changes any more, or after ``STEPS`` of them. A step is one aggregate
+There are ``STEPS`` steps from one start. Halves cut at edges of bins need not settle: on 256,410
+documents some group's still moved after 40 steps, by bins at its edge. A step is one aggregate
 of exact integer sums per (group, distance bin), so neither the size of a group nor the order of tasks
 matters and nothing but a few numbers per group is gathered. The half is cut at the edge of a bin; bins
 are narrow steps of the logarithm of the distance.
@@ -36,7 +37,7 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 MIN_GROUP = 100  # documents that a group's own estimate is made from, at least
 SUPPORT = 0.5  # share of a group that the estimate is made from
-STEPS = 40
+STEPS = 6
 FLOOR = [0.06, 0.06, 0.08, 0.08]
 UNIT = 4096  # statistics are whole numbers of this fraction
 BINS = 32  # distance bins per factor of e
@@ -163,11 +164,7 @@ def fit(rows: DataFrame) -> DataFrame:
             F.sum("m").alias("m"), F.array(*[F.sum(f"s{i}").cast("double") for i in range(_D)]).alias("s"),
             F.array(*[F.sum(f"q{i}{j}").cast("double") for i, j in _PAIRS]).alias("q"),
         )
-        before_step, state = state, checkpointed(
-            total.select(*group, "n", _estimate("m", "s", "q").alias("e")).select(*group, "n", "e.*")
-        )
-        if not state.join(before_step, [*group, "c", "p"], "left_anti").limit(1).count():
-            break
+        state = checkpointed(total.select(*group, "n", _estimate("m", "s", "q").alias("e")).select(*group, "n", "e.*"))
     return state
 
 

@@ -42,15 +42,11 @@ def naive_kept(rows):
     middle = np.median(x, axis=0)
     spread = np.median(np.abs(x - middle), axis=0)
     centre, prec = middle, inverse(np.diag((1.4826 * spread) ** 2))
-    before = None
     for _ in range(Q.STEPS):
         bins = np.floor(np.log(np.einsum("ij,jk,ik->i", x - centre, prec, x - centre) + 1e-6) * Q.BINS)
         edges, n = np.unique(bins, return_counts=True)
         chosen = edges[np.cumsum(n) - n < Q.SUPPORT * len(x)]
         half = x[np.isin(bins, chosen)]
-        if before is not None and np.array_equal(half, before):
-            break
-        before = half
         centre = half.mean(0)
         prec = inverse(Q._consistency() * np.cov(half.T, bias=True))
     return np.einsum("ij,jk,ik->i", x - centre, prec, x - centre) <= Q.chi_square(4)
