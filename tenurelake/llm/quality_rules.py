@@ -9,7 +9,7 @@ is rejected. ``FLOOR`` is added to the deviation of each statistic, because most
 symbols and no repeats at all and their covariance would be singular.
 
 There are ``STEPS`` steps from one start. Halves cut at edges of bins need not settle: on 256,410
-documents some group's still moved after 40 steps, by bins at its edge. A step is one aggregate
+documents some estimate still moved after 40 steps. A step is one aggregate
 of exact integer sums per (group, distance bin), so neither the size of a group nor the order of tasks
 matters and nothing but a few numbers per group is gathered. The half is cut at the edge of a bin; bins
 are narrow steps of the logarithm of the distance.
