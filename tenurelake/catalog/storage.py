@@ -129,6 +129,19 @@ def _transfers_stored(s, d):
     return plain(house.read("dim_employee").select(*view(s, d, "hr_dim_employee").columns))
 
 
+def _vacuumed(s, d):
+    """A dimension that was replaced whole, then three times with closed versions archived, stripped of
+    its old versions after every step."""
+    house, dim = tables.Warehouse(s, _folder(s, "warehouse")), schemas.conform(view(s, d, "hr_dim_employee"), "dim_employee")
+    live, ended = dim.filter("is_current = 1"), dim.filter("is_current = 0")
+    house.replace(live, "dim_employee", archive=ended)
+    house.replace_whole(house.read("dim_employee").filter("is_current = 1"), "dim_employee")  # retires the archive
+    for k in range(3):
+        house.replace(live, "dim_employee", archive=ended.filter(F.col("employee_id") % 3 == k))
+        house.vacuum("dim_employee", keep=1)
+    return plain(house.read("dim_employee").select(*view(s, d, "hr_dim_employee").columns))
+
+
 def _appends_compacted(s, d):
     """Reviews that came in three loads, merged, and read for one year."""
     house, reviews = tables.Warehouse(s, _folder(s, "warehouse")), schemas.conform(view(s, d, "hr_reviews"), "performance_reviews")
@@ -153,6 +166,7 @@ QUERIES = {
     "delete_stored": _delete_stored,
     "transfers_stored": _transfers_stored,
     "appends_compacted": _appends_compacted,
+    "dimension_vacuumed": _vacuumed,
     "seed_departments": _seeded,
     "pipeline_empty_reviews": partial(_pipeline, runs=2, reviews="false"),
     "feed_snapshot_load": _snapshot_load,
@@ -182,6 +196,8 @@ ORACLES = {
     "upsert_stored": _LOADS["assignments_upsert"],
     "delete_stored": _LOADS["delete_employees"],
     "transfers_stored": _LOADS["transfers_apply"],
+    "dimension_vacuumed": with_views(
+        "select * replace (cast(monthly_income as double) as monthly_income) from hr_dim_employee"),
     "appends_compacted": with_views("select * from hr_reviews where review_year = 2000"),
     "seed_departments": with_views(f"""select department_id, department_name, location from hr_departments
 union all select cast(k + (select max(department_id) from hr_departments) as int), name, place from (values {_SEEDS}) as s(k, name, place)

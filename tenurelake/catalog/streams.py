@@ -149,7 +149,51 @@ def _trend_window(s, d):
     return stateful.windowed_trend(s, out, WAIT)
 
 
+def _reviews_merged(s, d):
+    """Three deliveries, each with the reviews of the ones before once more; ids are merged after each."""
+    out, v = _out(s, "reviews-merged"), partial(view, s, d)
+
+    def load(stream, number):
+        feeds.stream_reviews(
+            stream, v("hr_employees_raw"), v("hr_departments"), v("hr_dim_employee"), v("hr_dim_department"), out
+        )
+        feeds.merge_reviews(s, out)
+
+    deliveries(s, d, "hr_reviews", [f"review_id % 3 <= {k}" for k in range(3)], load)
+    return plain(s.read.parquet(f"{out}/fact").drop("batch", "project_key"))
+
+
+def _salaries_merged(s, d):
+    """The weeks of the log in another order, log and versions merged after each."""
+    out = _out(s, "salaries-merged")
+
+    def load(log, number):
+        feeds.stream_salary_versions(log, out)
+        feeds.merge_salaries(s, out)
+
+    deliveries(s, d, "hr_salary_drift", [WEEKS[k] for k in [0, 2, 1, 3]], load)
+    opened = feeds.salary_versions(s, out).withColumn("start_date", F.to_date("change_ts"))
+    chained = scd2.scd2_from_versions(opened, "employee_id", ["change_ts", "event_id"], "start_date")
+    return plain(chained.drop("change_ts"))
+
+
+def _trend_merged(s, d):
+    """Sums merged after two of three deliveries."""
+    out, emp, dept = _out(s, "trend-merged"), view(s, d, "hr_employees_raw"), view(s, d, "hr_departments")
+
+    def load(stream, number):
+        feeds.stream_rating_trend(stream, emp, dept, out)
+        if number < 2:
+            feeds.merge_trend(s, out)
+
+    deliveries(s, d, "hr_reviews", [f"review_id % 3 = {k}" for k in range(3)], load)
+    return feeds.rating_trend(s, out)
+
+
 QUERIES = {
+    "stream_reviews_merged": _reviews_merged,
+    "stream_salary_merged": _salaries_merged,
+    "stream_trend_merged": _trend_merged,
     "stream_salary_state": _salary_state,
     "stream_salary_late": _salary_late,
     "stream_reviews_pending": _pending,
@@ -174,7 +218,7 @@ def _oracles():
     trend = {"t": """select date '1970-01-01' + cast(((r.review_date - date '1970-01-01') // 28) * 28 as int) as window_start,
  d.department_name, r.performance_rating from hr_reviews r join hr_employees_raw e on r.employee_id = e.employee_id
 join hr_departments d on e.department_id = d.department_id"""}
-    return {
+    oracles = {
         "stream_salary_state": batch["scd2_change_log_last_version"],
         # the third delivery holds only later changes than the second, so any of them makes those late
         "stream_salary_late": with_views("""select event_id, employee_id from w
@@ -199,6 +243,9 @@ union all select 'repeated', review_id, employee_id from hr_reviews where review
  d.department_name, r.performance_rating from hr_reviews r join hr_employees_raw e on r.employee_id = e.employee_id
 join hr_departments d on e.department_id = d.department_id"""}),
     }
+    # merging what batches left changes no result
+    again = {"reviews": "reviews", "salary": "salary_scd2", "trend": "rating_trend"}
+    return oracles | {f"stream_{k}_merged": oracles[f"stream_{same}"] for k, same in again.items()}
 
 
 ORACLES = _oracles()

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import csv
-import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tenurelake import schemas
+from tenurelake.sources import folders
 
 # Columns a table is laid out by: directories for the values most queries filter on.
 PARTITIONS = {"fact_performance_reviews": ["review_year"], "performance_reviews": ["review_year"]}
@@ -33,18 +33,7 @@ class Warehouse:
         self.spark, self.root = spark, root.rstrip("/")
 
     def _numbered(self, folder: str, complete: bool, named: str = r"v(\d+)") -> list[int]:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return []
-        found = []
-        for status in fs.listStatus(path):
-            match = re.fullmatch(named, status.getPath().getName())
-            done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if match and (not complete or fs.exists(done)):
-                found.append(int(match.group(1)))
-        return sorted(found)
+        return folders.numbered(self.spark, folder, named, complete)
 
     def _path(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/v{version:08d}"
@@ -81,7 +70,8 @@ class Warehouse:
         versions = self._numbered(f"{self.root}/{name}", True)
         live = self.read_live(name)
         since = self._retired(name)
-        held = [v for v in self._numbered(f"{self.root}/{name}/archive", True) if versions and since <= v <= versions[-1]]
+        # an archive without its version is what a failed replacement left
+        held = [v for v in self._numbered(f"{self.root}/{name}/archive", True) if v >= since and v in versions]
         # one scan for all archive folders, however many nights there were
         return live.unionByName(self._load(name, *[self._archive(name, v) for v in held])) if held else live
 
@@ -150,6 +140,39 @@ class Warehouse:
         self._write(df, name, self._path(name, version), "errorifexists")
 
 
+    def vacuum(self, name: str, keep: int = 2) -> list[str]:
+        """Removes what no reader needs that began with one of the ``keep`` newest versions: older versions
+        with what was appended to them, what failed writes left, and archives that a later version replaced.
+        Returns the folders removed.
+
+        The table reads the same before and after. Do not run it beside a writer of the same table: a
+        version that is still being written looks like one that failed. A removal that breaks off can be repeated.
+        """
+        if keep < 1:
+            raise ValueError("the newest version is the table: keep at least 1")
+        home = f"{self.root}/{name}"
+        versions = self._numbered(home, True)
+        if not versions:
+            return []
+        oldest = versions[-keep:][0]
+        whole = [v for v in self._numbered(f"{home}/whole", True) if v in versions and v <= oldest]
+        since = whole[-1] if whole else 0
+        archives = self._numbered(f"{home}/archive", False)
+        lost = [v for v in archives if v < since or (v < versions[-1] and v not in versions)]
+        gone = [self._archive(name, v) for v in lost]  # first, as older marks hide them
+        # the marker of a version stays where it says that an archive counts
+        marked = [v for v in archives if v not in lost and v < oldest]
+        failed = [v for v in self._numbered(home, False) if v < versions[-1] and v not in versions]
+        old = [v for v in versions if v < oldest]
+        gone += [self._path(name, v) for v in [*failed, *old] if v not in marked]
+        gone += [f"{home}/whole/v{v:08d}" for v in self._numbered(f"{home}/whole", False) if v < since]
+        gone += [self._added(name, v) for v in self._numbered(home, False, r"v(\d+)\.added") if v < oldest]
+        removed = [folder for folder in gone if folders.remove(self.spark, folder)]
+        for v in marked:
+            folders.empty(self.spark, self._path(name, v))
+        return removed
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tenurelake.functions import scalars as S
 from tenurelake.operators import facts, quality, scale, scd2
+from tenurelake.streaming import merged
+from tenurelake.streaming import merged
 
 ID_BLOCK_BITS = 20  # ids seen are laid out in folders of 2^20 ids, so a batch reads those it needs
 LOG_BUCKETS = 64  # and the salary log in this many folders of employees
@@ -43,7 +45,7 @@ def _earlier(spark: SparkSession, folder: str, schema: str, number: int) -> Data
     """Rows that batches before ``number`` left under ``folder``; a repeated batch does not see its own."""
     if not number:
         return spark.createDataFrame([], f"{schema}, batch bigint")
-    return spark.read.schema(f"{schema}, batch bigint").parquet(folder).filter(F.col("batch") < number)
+    return merged.read(spark, folder, f"{schema}, batch bigint").filter(F.col("batch") < number)
 
 
 def no_id(reviews: DataFrame) -> DataFrame:
@@ -131,7 +133,7 @@ def stream_salary_versions(log: DataFrame, out: str, hot_rows: int = scale.HOT_R
         here = f"batch={number}"
         bucket = F.pmod(F.hash("employee_id"), F.lit(LOG_BUCKETS))
         batch.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/log/{here}")
-        held = spark.read.schema(f"{schema}, bucket int, batch bigint").parquet(f"{out}/log").filter(F.col("batch") <= number)
+        held = merged.read(spark, f"{out}/log", f"{schema}, bucket int, batch bigint").filter(F.col("batch") <= number)
         touched = batch.select("employee_id").distinct().withColumn("bucket", bucket)
         again = held.join(touched, ["bucket", "employee_id"], "left_semi").select(*log.columns)
         opened = scd2.versions_from_log(again, "last_version", hot_rows)
@@ -142,9 +144,12 @@ def stream_salary_versions(log: DataFrame, out: str, hot_rows: int = scale.HOT_R
 
 def salary_versions(spark: SparkSession, out: str) -> DataFrame:
     """The versions of every employee as the last batch that touched the employee left them."""
-    held = spark.read.parquet(f"{out}/versions")
+    return _last_versions(merged.read(spark, f"{out}/versions")).drop("batch")
+
+
+def _last_versions(held: DataFrame) -> DataFrame:
     last = held.groupBy("employee_id").agg(F.max("batch").alias("batch"))
-    return held.join(last, ["employee_id", "batch"], "left_semi").drop("batch")
+    return held.join(last, ["employee_id", "batch"], "left_semi")
 
 
 def stream_rating_trend(
@@ -180,7 +185,7 @@ def rating_trend(spark: SparkSession, out: str, emp: DataFrame | None = None, de
     Reviews whose employee was unknown when they came have a NULL department, unless ``emp`` and
     ``dept`` know the employee by now.
     """
-    sums = spark.read.parquet(f"{out}/sums")
+    sums = merged.read(spark, f"{out}/sums")
     if emp is not None:
         now = department_names(emp, dept).withColumnRenamed("department_name", "_now")
         placed = sums.filter(F.col("employee_id").isNotNull()).join(now, "employee_id", "left")
@@ -190,3 +195,26 @@ def rating_trend(spark: SparkSession, out: str, emp: DataFrame | None = None, de
     return total.select(
         "window_start", "department_name", S.exact_avg(F.col("s"), F.col("n")).alias("avg_rating"), F.col("n").alias("reviews")
     )
+
+
+# -- merging what many batches left -----------------------------------------------------------
+# Between runs of the stream; results stay the same, folders and files become few again.
+
+
+def merge_reviews(spark: SparkSession, out: str) -> None:
+    """Merges the ids that ``stream_reviews`` has seen; facts and quarantine are results and stay."""
+    merged.merge(spark, out, "ids", lambda ids: ids, by="block", order=["review_id"])
+    merged.forget(spark, out, ["pending", "batches"])  # each holds all that the ones before held
+
+
+def merge_salaries(spark: SparkSession, out: str) -> None:
+    """Merges the salary log, and drops the versions that a later batch worked out anew."""
+    merged.merge(spark, out, "log", lambda log: log, by="bucket", order=["employee_id", "change_ts"])
+    merged.merge(spark, out, "versions", _last_versions, order=["employee_id"])
+
+
+def merge_trend(spark: SparkSession, out: str) -> None:
+    """Adds up the partial sums of ``stream_rating_trend``."""
+    keys = ["window_start", "department_name", "employee_id"]
+    merged.merge(spark, out, "sums", lambda sums: sums.groupBy(*keys).agg(
+        F.sum("s").alias("s"), F.sum("n").alias("n"), F.max("batch").alias("batch")), order=keys)

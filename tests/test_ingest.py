@@ -297,3 +297,50 @@ def test_each_feed_file_is_read_by_its_own_header(spark, tmp_path):
     rows, malformed = tables.read_feed_csv(spark, str(tmp_path), {"A": "a", "B": "b"})
     assert sorted(map(tuple, rows.collect()), key=str) == sorted([("1", "x"), ("3", "q"), (None, "only")], key=str)
     assert [r["_corrupt_record"] for r in malformed.collect()] == ["2,y,z"]
+
+
+def named(spark, *ids):
+    return schemas.conform(spark.createDataFrame([(i,) for i in ids], "employee_id int"), "dim_employee")
+
+
+def test_vacuum_keeps_the_table_and_its_archives(spark, tmp_path):
+    house, home = tables.Warehouse(spark, str(tmp_path)), f"{tmp_path}/dim_employee"
+    ids = lambda: sorted(r["employee_id"] for r in house.read("dim_employee").collect())
+    assert house.vacuum("dim_employee") == []  # never written
+    house.replace(named(spark, 1, 2), "dim_employee", archive=named(spark, 100))
+    house.replace(named(spark, 1, 3), "dim_employee", archive=named(spark, 101))
+    house.append(named(spark, 4), "dim_employee")
+    house.replace(named(spark, 1, 4), "dim_employee")
+    running = house.read("dim_employee")  # began before the vacuum
+    house.replace(named(spark, 5), "dim_employee", archive=named(spark, 102))
+    assert ids() == [5, 100, 101, 102]
+    removed = house.vacuum("dim_employee", keep=2)
+    assert ids() == [5, 100, 101, 102] and sorted(r["employee_id"] for r in running.collect()) == [1, 4, 100, 101]
+    assert [os.path.basename(f) for f in removed] == ["v00000002.added"]
+    assert not [f for v in (1, 2) for f in os.listdir(f"{home}/v{v:08d}") if f.endswith(".parquet")]
+    house.replace_whole(named(spark, 6, 7), "dim_employee")
+    house.vacuum("dim_employee", keep=2)  # a reader of the version before may still need the archives
+    assert ids() == [6, 7] and len(os.listdir(f"{home}/archive")) == 3
+    house.vacuum("dim_employee", keep=1)
+    assert ids() == [6, 7] and os.listdir(f"{home}/archive") == []
+    house.replace(named(spark, 8), "dim_employee", archive=named(spark, 103))
+    for _ in range(2):
+        house.vacuum("dim_employee", keep=1)
+        assert ids() == [8, 103]
+    assert sorted(f for f in os.listdir(home) if f.startswith("v")) == ["v00000006"]
+    with pytest.raises(ValueError):
+        house.vacuum("dim_employee", keep=0)
+
+
+def test_an_archive_whose_version_failed_is_not_read(spark, tmp_path):
+    house, home = tables.Warehouse(spark, str(tmp_path)), f"{tmp_path}/dim_employee"
+    house.replace(named(spark, 1, 2), "dim_employee")
+    # archived, then ended while the version was being written
+    house._write(named(spark, 2), "dim_employee", f"{home}/archive/v00000002", "errorifexists")
+    os.makedirs(f"{home}/v00000002/_temporary")
+    assert house.read("dim_employee").count() == 2
+    house.replace(named(spark, 1), "dim_employee", archive=named(spark, 2))
+    ids = lambda: sorted(r["employee_id"] for r in house.read("dim_employee").collect())
+    assert ids() == [1, 2]
+    assert {os.path.relpath(f, home) for f in house.vacuum("dim_employee", keep=1)} == {"archive/v00000002", "v00000002", "v00000001"}
+    assert ids() == [1, 2] and os.path.exists(f"{home}/v00000003")

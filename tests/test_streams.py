@@ -1,12 +1,14 @@
 """Streams over several micro-batches."""
 
 import datetime as dt
+import os
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from tenurelake.operators import facts, scd2
-from tenurelake.streaming import feeds, stateful
+from tenurelake.streaming import feeds, merged, stateful
 
 
 def write_in_order(batches, folder, schema, spark):
@@ -183,3 +185,73 @@ def test_windows_stay_open_until_the_watermark_passes(spark, tmp_path, company):
     stateful.stream_trend_window(stream, company[0], company[1], f"{tmp_path}/out", delay_days=30)
     rows = sorted((r["window_start"], r["reviews"], r["is_open"]) for r in stateful.windowed_trend(spark, f"{tmp_path}/out").collect())
     assert [r[1:] for r in rows] == [(2, False), (3, True)]  # the review of day 0 came after its window had closed
+
+
+def batches_of(folder):
+    return sorted(int(f.split("=")[1]) for f in os.listdir(folder) if "=" in f)
+
+
+def test_merged_sums_and_versions_read_the_same(spark, tmp_path, company):
+    emp, dept = company[:2]
+    folder = write_in_order([[review(k, k, 1 + k % 4, emp=1 + k % 3)] for k in range(6)], tmp_path, REVIEW, spark)
+    out, schema = f"{tmp_path}/out", spark.createDataFrame([], REVIEW).schema
+    feeds.stream_rating_trend(feeds.read_stream(spark, folder, schema, max_files=1), emp, dept, out)
+    before = sorted(feeds.rating_trend(spark, out).collect(), key=str)
+    feeds.merge_trend(spark, out)
+    assert batches_of(f"{out}/sums") == [] and batches_of(f"{out}/sums.merged") == [5]
+    assert sorted(feeds.rating_trend(spark, out).collect(), key=str) == before
+    feeds.merge_trend(spark, out)  # nothing new
+    # later batches count beside the merge, and go into the next one
+    write_in_order([[review(9, 1, 4)]], tmp_path / "more", REVIEW, spark)
+    os.rename(tmp_path / "more/in/0.parquet", f"{folder}/9.parquet")
+    feeds.stream_rating_trend(feeds.read_stream(spark, folder, schema, max_files=1), emp, dept, out)
+    total = lambda: sum(r["reviews"] for r in feeds.rating_trend(spark, out).collect())
+    assert batches_of(f"{out}/sums") == [6] and total() == 7
+    feeds.merge_trend(spark, out)
+    assert batches_of(f"{out}/sums.merged") == [6] and total() == 7
+
+
+def test_a_merge_that_breaks_off_changes_nothing(spark, tmp_path, company, monkeypatch):
+    emp, dept = company[:2]
+    folder = write_in_order([[review(k, k)] for k in range(3)], tmp_path, REVIEW, spark)
+    out, schema = f"{tmp_path}/out", spark.createDataFrame([], REVIEW).schema
+    feeds.stream_rating_trend(feeds.read_stream(spark, folder, schema, max_files=1), emp, dept, out)
+    total = lambda: sum(r["reviews"] for r in feeds.rating_trend(spark, out).collect())
+    fail = lambda sums: sums.withColumn("n", F.raise_error(F.lit("no")).cast("bigint"))
+    with pytest.raises(Exception):
+        merged.merge(spark, out, "sums", fail)
+    assert total() == 3 and batches_of(f"{out}/sums") == [0, 1, 2]
+    # merged, but no batch removed yet
+    with monkeypatch.context() as patch:
+        patch.setattr(merged, "_clear", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            feeds.merge_trend(spark, out)
+    assert total() == 3 and batches_of(f"{out}/sums") == [0, 1, 2]
+    feeds.merge_trend(spark, out)
+    assert total() == 3 and batches_of(f"{out}/sums") == []
+
+
+def test_a_batch_that_was_not_committed_is_not_merged(spark, tmp_path, company):
+    folder = write_in_order([[review(k, k, emp=77 if k == 1 else 1)] for k in range(3)], tmp_path, REVIEW, spark)
+    out, schema = f"{tmp_path}/out", spark.createDataFrame([], REVIEW).schema
+    run = lambda: feeds.stream_reviews(feeds.read_stream(spark, folder, schema, max_files=1), *company, out)
+    run()
+    for name in ("2", ".2.crc"):  # as if the job had ended before it noted the last batch
+        os.remove(f"{out}/_checkpoint/commits/{name}")
+    feeds.merge_reviews(spark, out)
+    assert batches_of(f"{out}/ids") == [2] and batches_of(f"{out}/ids.merged") == [1]
+    assert batches_of(f"{out}/pending") == [1, 2]
+    run()  # repeats batch 2
+    assert fates(spark, out, "fact", "quarantine") == {"fact": 2, "quarantine": 0}
+    assert [r["review_id"] for r in feeds.pending_reviews(spark, out).collect()] == [1]
+    feeds.merge_reviews(spark, out)
+    # ids seen are known from the merge
+    write_in_order([[review(0, 0), review(8, 0)]], tmp_path / "more", REVIEW, spark)
+    os.rename(tmp_path / "more/in/0.parquet", f"{folder}/9.parquet")
+    run()
+    assert sorted(r["review_id"] for r in spark.read.parquet(f"{out}/fact").collect()) == [0, 2, 8]
+
+
+def test_merging_before_the_first_batch(spark, tmp_path):
+    for merge in (feeds.merge_reviews, feeds.merge_salaries, feeds.merge_trend):
+        merge(spark, f"{tmp_path}/none")
