@@ -67,17 +67,34 @@ def format_chats(
         ))),
         F.array(piece(F.lit(len(END)), F.lit(False))),
     )))
-    span = lambda a, p: F.struct((a.at).alias("start"), (a.at + p.n).alias("end"))
-    empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    spans = F.aggregate(
-        pieces, F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans")),
+    return written.withColumn("pieces", pieces).select(
+        "conv_id", "formatted", _spans(F.col("pieces"), F.size("pieces")).alias("loss_spans")
+    )
+
+
+def _spans(pieces: Column, n: Column) -> Column:
+    """The ranges of the pieces that carry loss, pieces lying end to end.
+
+    Arrays are added to by copying, so positions are summed up in runs of about the square root of
+    ``n`` pieces, and the runs then moved to where they start.
+    """
+    width = F.ceil(F.sqrt(n)).cast("int")
+    runs = F.transform(F.sequence(F.lit(0), n - 1, width), lambda at: F.slice(pieces, at + 1, width))
+    none = lambda kind: F.array().cast(f"array<{kind}>")
+    zero = F.lit(0).cast("long")
+    span = lambda a, p: F.struct(a.at.alias("start"), (a.at + p.n).alias("end"))
+    of_run = lambda run: F.aggregate(
+        run, F.struct(zero.alias("at"), none("struct<start:bigint,end:bigint>").alias("spans")),
         lambda a, p: F.struct(
-            (a.at + p.n).alias("at"),
-            F.when(p.loss, F.concat(a.spans, F.array(span(a, p)))).otherwise(a.spans).alias("spans"),
+            (a.at + p.n).alias("at"), F.when(p.loss, F.concat(a.spans, F.array(span(a, p)))).otherwise(a.spans).alias("spans"),
         ),
-        lambda a: a.spans,
     )
-    return written.withColumn("loss_spans", spans).select("conv_id", "formatted", "loss_spans")
+    placed = F.aggregate(
+        F.transform(runs, of_run), F.struct(zero.alias("at"), none("array<struct<start:bigint,end:bigint>>").alias("spans")),
+        lambda a, r: F.struct((a.at + r.at).alias("at"), F.concat(a.spans, F.array(F.transform(
+            r.spans, lambda s: F.struct((s.start + a.at).alias("start"), (s.end + a.at).alias("end"))))).alias("spans")),
+    )
+    return F.flatten(placed.spans)
 
 
 def read_turns(formatted: Column) -> Column:

@@ -54,6 +54,17 @@ def test_long_texts_and_extra_columns(spark):
     assert r.loss == long
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 7, 30, 20_000])
+def test_spans_of_conversations_of_any_length(spark, n):
+    rows = spark.range(n).selectExpr(
+        "1L as conv_id", "id as turn", "if(id % 3 = 1, 'assistant', 'user') as role", "repeat('<|', cast(id % 4 as int)) || id as text")
+    r = chat.format_chats(rows).first()
+    turns = [t for t in range(n) if t % 3 == 1]
+    assert len(r.loss_spans) == len(turns)
+    for t, s in zip(turns, r.loss_spans):
+        assert r.formatted[s.start : s.end] == "&lt;|" * (t % 4) + str(t)
+
+
 @pytest.mark.parametrize("text", NASTY)
 def test_escape_is_reversible(spark, text):
     assert spark.range(1).select(chat.unescape(chat.escape(F.lit(text)))).first()[0] == text
