@@ -20,10 +20,11 @@ def observed(df: DataFrame, name: str, **counts) -> tuple[DataFrame, Observation
 
 
 def _append(olap: Warehouse, rows: DataFrame, name: str) -> tuple[int, int, int]:
-    before = olap.read(name).count()
+    before = olap.rows(name)  # noted by the last run, so no file of the table is opened for it
     rows, seen = observed(rows, name, inserted=F.count(F.lit(1)))
     olap.append(rows, name)
     inserted = seen.get["inserted"]
+    olap.note_rows(name, before + inserted)
     return inserted, 0, before + inserted
 
 

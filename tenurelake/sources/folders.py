@@ -27,6 +27,11 @@ def numbered(spark: SparkSession, folder: str, named: str, complete: bool = Fals
     return sorted(found)
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    path, fs = _path(spark, folder)
+    return fs.exists(path)
+
+
 def remove(spark: SparkSession, folder: str) -> bool:
     """Removes a folder with all it holds; false if there is none."""
     path, fs = _path(spark, folder)

@@ -67,14 +67,35 @@ class Warehouse:
 
     def read(self, name: str) -> DataFrame:
         """The whole table, or an empty one of its declared schema if it was never written."""
-        versions = self._numbered(f"{self.root}/{name}", True)
-        live = self.read_live(name)
-        since = self._retired(name)
-        # an archive without its version is what a failed replacement left
-        held = [v for v in self._numbered(f"{self.root}/{name}/archive", True) if v >= since and v in versions]
+        live, held = self.read_live(name), self._archives(name)
         # one scan for all archive folders, however many nights there were
         return live.unionByName(self._load(name, *[self._archive(name, v) for v in held])) if held else live
 
+    def _archives(self, name: str) -> list[int]:
+        """Archives that belong to the table; one without its version is what a failed replacement left."""
+        since, versions = self._retired(name), set(self._numbered(f"{self.root}/{name}", True))
+        return [v for v in self._numbered(f"{self.root}/{name}/archive", True) if v >= since and v in versions]
+
+    def _state(self, name: str) -> str:
+        """The folders that the table consists of; any write changes them."""
+        newest = self._numbered(f"{self.root}/{name}", True)[-1:]
+        added = [k for v in newest for k in self._numbered(self._added(name, v), True, rf"{ADDED}=(\d+)")]
+        return f"{newest} {added} {self._archives(name)}"
+
+    def rows(self, name: str) -> int:
+        """How many rows the table has: as noted, or counted if it was written to since."""
+        state, kept = self._state(name), f"{self.root}/{name}/rows"
+        if folders.exists(self.spark, f"{kept}/_SUCCESS"):
+            noted = self.spark.read.schema("state string, n bigint").parquet(kept).first()
+            if noted and noted["state"] == state:
+                return noted["n"]
+        return self.read(name).count()
+
+    def note_rows(self, name: str, n: int) -> None:
+        """Notes how many rows the table has as it is now, for ``rows``."""
+        self.spark.createDataFrame([(self._state(name), n)], "state string, n bigint").coalesce(1).write.mode(
+            "overwrite").parquet(f"{self.root}/{name}/rows")
+
     def _retired(self, name: str) -> int:
         """The newest complete version that replaced the whole table, archive included."""
         versions = self._numbered(f"{self.root}/{name}", True)

@@ -344,3 +344,24 @@ def test_an_archive_whose_version_failed_is_not_read(spark, tmp_path):
     assert ids() == [1, 2]
     assert {os.path.relpath(f, home) for f in house.vacuum("dim_employee", keep=1)} == {"archive/v00000002", "v00000002", "v00000001"}
     assert ids() == [1, 2] and os.path.exists(f"{home}/v00000003")
+
+
+def test_rows_are_noted_until_the_table_changes(spark, tmp_path, monkeypatch):
+    house = tables.Warehouse(spark, str(tmp_path))
+    assert house.rows("dim_employee") == 0
+    house.append(named(spark, 1, 2), "dim_employee")
+    assert house.rows("dim_employee") == 2
+    house.note_rows("dim_employee", 2)
+    with monkeypatch.context() as patch:
+        patch.setattr(tables.Warehouse, "read", lambda *a: 1 / 0)
+        assert house.rows("dim_employee") == 2
+    house.append(named(spark, 3), "dim_employee")
+    assert house.rows("dim_employee") == 3
+    house.note_rows("dim_employee", 3)
+    house.replace(named(spark, 1), "dim_employee", archive=named(spark, 7, 8, 9))
+    assert house.rows("dim_employee") == 4
+    house.note_rows("dim_employee", 4)
+    house.vacuum("dim_employee", keep=1)
+    with monkeypatch.context() as patch:
+        patch.setattr(tables.Warehouse, "read", lambda *a: 1 / 0)
+        assert house.rows("dim_employee") == 4
