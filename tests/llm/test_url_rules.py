@@ -57,3 +57,15 @@ def test_a_rule_without_a_token_is_refused(spark):
     pages = spark.createDataFrame([(1, "http://a.com/x")], "page_id long, url string")
     with pytest.raises(PySparkException):
         U.judge_urls(pages, U.rule_table(spark, [("any", ".*", [], "block", 1)])).collect()
+
+
+def test_of_thousands_of_rules_only_candidates_run(spark):
+    """A pattern that cannot be compiled fails the query if it is run: those filed under a token that no URL
+    holds never are, though they share their other tokens with every URL."""
+    broken = [(f"broken:{k}", "(", ["com", f"site{k}"], "block", 5000 + k) for k in range(3000)]
+    real = [U.path_rule(f"s{k}.com", "/a/", "block") for k in range(0, 3000, 3)]
+    pages = spark.range(600).selectExpr("id as page_id", "concat('http://www.s', id, '.com/a/', id % 7) as url")
+    got = {r.page_id: (r.rule, r.verdict) for r in U.judge_urls(pages, U.rule_table(spark, broken + real)).collect()}
+    assert got == {i: (f"s{i}.com/a/", "block") if i % 3 == 0 else (None, "allow") for i in range(600)}
+    with pytest.raises(Exception, match="Unclosed group"):
+        U.judge_urls(pages, U.rule_table(spark, [("broken", "(", ["com"], "block", 1)])).collect()
