@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 
 # Tasks get these functions with the job, so executors need no copy of the package.
@@ -148,3 +150,125 @@ def fold_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 state = int(e[picked[-1]])
                 keep += picked
         yield batch.iloc[keep]
+
+
+# -- segments of oversized employees, in Arrow batches of a sorted partition ----------------------
+
+BATCH = 2_000  # groups that one batch of results tells of
+
+
+def _starts(batch: pa.RecordBatch, by: list[str]) -> list[int]:
+    """Where the rows of ``batch`` change one of the columns ``by``; NULL equals NULL."""
+    new = np.zeros(batch.num_rows, dtype=bool)
+    new[:1] = True
+    for name in by:
+        codes = batch.column(name).dictionary_encode(null_encoding="encode").indices.to_numpy()
+        new[1:] |= codes[1:] != codes[:-1]
+    return np.flatnonzero(new).tolist()
+
+
+def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """(key, rows) of every group, from rows that arrive sorted by the columns ``by``; holds one group
+    and one batch at a time."""
+    key, held = None, []
+    for batch in batches:
+        starts = _starts(batch, by)
+        for a, b in zip(starts, [*starts[1:], batch.num_rows]):
+            own = tuple(batch.column(name)[a].as_py() for name in by)
+            if held and own != key:
+                yield key, pa.Table.from_batches(held)
+                held = []
+            key = own
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield key, pa.Table.from_batches(held)
+
+
+def _told(rows: Iterator[tuple], names: list[str], types: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names=names)
+
+    held: list[tuple] = []
+    for row in rows:
+        held.append(row)
+        if len(held) == BATCH:
+            yield batch()
+            held = []
+    if held:
+        yield batch()
+
+
+_LISTS = [pa.list_(pa.int64())] * 3
+
+
+def _effects(table: pa.Table) -> list[Effect]:
+    """The effects of a group, one a row."""
+    lo, hi, result = (table.column(c).to_pylist() for c in ("lo", "hi", "result"))
+    return [list(zip(*ranges)) for ranges in zip(lo, hi, result)]
+
+
+def effects_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What each segment does to an unknown starting version and to none."""
+    kind: list[pa.DataType] = []
+
+    def rows() -> Iterator[tuple]:
+        for (employee, seg), table in _groups(batches, ["employee_id", "_seg"]):
+            kind[:] = [table.schema.field("employee_id").type]
+            e = table.column("_c").to_numpy()
+            effect = [*segment_effect(e), (NO_VERSION, NO_VERSION, int(e[emitted(e, NO_VERSION)[-1]]))]
+            yield employee, seg, *map(list, zip(*effect))
+
+    return _typed(rows(), ["employee_id", "_seg", "lo", "hi", "result"], kind, [pa.int64(), *_LISTS])
+
+
+def _typed(
+    rows: Iterator[tuple], names: list[str], kind: list[pa.DataType], rest: list[pa.DataType]
+) -> Iterator[pa.RecordBatch]:
+    """``_told`` where the type of the first column is known with the first row."""
+    first = next(rows, None)
+    if first is not None:
+        yield from _told(chain([first], rows), names, [*kind, *rest])
+
+
+def compose_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One effect for the segments of each run."""
+    kind: list[pa.DataType] = []
+
+    def rows() -> Iterator[tuple]:
+        for (employee, run), table in _groups(batches, ["employee_id", "_run"]):
+            kind[:] = [table.schema.field("employee_id").type]
+            yield employee, run, *map(list, zip(*compose(_effects(table))))
+
+    return _typed(rows(), ["employee_id", "_run", "lo", "hi", "result"], kind, [pa.int64(), *_LISTS])
+
+
+def states_sorted(batches: Iterator[pa.RecordBatch], by: list[str], number: str) -> Iterator[pa.RecordBatch]:
+    """The version that each row of a group starts with, given the group's own (none, if not given)."""
+    kind: list[pa.DataType] = []
+
+    def rows() -> Iterator[tuple]:
+        for (employee, *_), table in _groups(batches, by):
+            kind[:] = [table.schema.field("employee_id").type]
+            state = table.column("_state")[0].as_py() if "_state" in table.column_names else NO_VERSION
+            for n, effect in zip(table.column(number).to_pylist(), _effects(table)):
+                yield employee, n, state
+                state = apply_effect(effect, state)
+
+    return _typed(rows(), ["employee_id", number, "_state"], kind, [pa.int64(), pa.int64()])
+
+
+def replay_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The events of each segment that open a version, starting from the segment's own; holds one batch."""
+    by, key, state = ["employee_id", "_seg"], None, NO_VERSION
+    for batch in batches:
+        starts, e, given = _starts(batch, by), batch.column("_c").to_numpy(), batch.column("_state")
+        keep: list[int] = []
+        for a, b in zip(starts, [*starts[1:], batch.num_rows]):
+            own = tuple(batch.column(name)[a].as_py() for name in by)
+            if own != key:
+                key, state = own, given[a].as_py()
+            picked = [a + i for i in emitted(e[a:b], state)]
+            if picked:
+                state = int(e[picked[-1]])
+                keep += picked
+        yield batch.take(pa.array(keep, pa.int64())).drop_columns(["_seg", "_state"])

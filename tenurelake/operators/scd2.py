@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal
+from functools import partial
 
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tenurelake.functions import scalars as S
 from tenurelake.operators import dims, scale
-from tenurelake.operators.folds import NO_VERSION, apply_effect, compose, emitted, fold_sorted, segment_effect
+from tenurelake.operators.folds import compose_sorted, effects_sorted, fold_sorted, replay_sorted, states_sorted
 from tenurelake.session import checkpointed
 
 THRESHOLD = Decimal("0.05")
@@ -189,58 +189,32 @@ def _fold_hot(part: DataFrame, run: int = 64) -> DataFrame:
     1. Each segment is summed up as its effect on an unknown version, and each ``run`` of segments as
     one effect. 2. The effects of an employee's runs are applied one after the other, then those of the
     segments of each run, giving the version each segment starts with. 3. Each segment is folded from
-    that version. Only step 2 looks at all runs of an employee, a few numbers each.
+    that version. Only step 2 looks at all runs of an employee, a few numbers each. Tasks go through
+    sorted rows, so a short segment costs its rows and no call of its own between Spark and Python.
     """
-    at, runs = ["employee_id", "_seg"], ["employee_id", "_run"]
-    key_type = part.schema["employee_id"].dataType.simpleString()
-    ranges = "lo bigint, hi bigint, result bigint"
-
-    def effects(pdf: pd.DataFrame) -> pd.DataFrame:
-        e = pdf.sort_values(["change_ts", "event_id"])["_c"].to_numpy()
-        rows = segment_effect(e)
-        picked = emitted(e, NO_VERSION)
-        rows.append((NO_VERSION, NO_VERSION, int(e[picked[-1]])))
-        out = pd.DataFrame(rows, columns=["lo", "hi", "result"])
-        return out.assign(employee_id=pdf["employee_id"].iloc[0], _seg=pdf["_seg"].iloc[0])
-
-    def listed(pdf: pd.DataFrame, by: str) -> list[tuple[int, list[tuple[int, int, int]]]]:
-        rows = lambda g: list(zip(g["lo"].tolist(), g["hi"].tolist(), g["result"].tolist()))
-        return [(int(n), rows(g)) for n, g in pdf.groupby(by, sort=True)]
-
-    def joined(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame(compose([e for _, e in listed(pdf, "_seg")]), columns=["lo", "hi", "result"])
-        return out.assign(employee_id=pdf["employee_id"].iloc[0], _run=pdf["_run"].iloc[0])
-
-    def chain(by: str):
-        def work(pdf: pd.DataFrame) -> pd.DataFrame:
-            state = int(pdf["_state"].iloc[0]) if "_state" in pdf else NO_VERSION
-            rows = []
-            for n, effect in listed(pdf, by):
-                rows.append((n, state))
-                state = apply_effect(effect, state)
-            return pd.DataFrame(rows, columns=[by, "_state"]).assign(employee_id=pdf["employee_id"].iloc[0])
-
-        return work
-
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["change_ts", "event_id"])
-        keep = emitted(pdf["_c"].to_numpy(), int(pdf["_state"].iloc[0]))
-        return pdf.iloc[keep].drop(columns=["_state", "_seg"])
-
-    slim = part.select(*at, "change_ts", "event_id", "_c")
+    at, runs, order = ["employee_id", "_seg"], ["employee_id", "_run"], ["change_ts", "event_id"]
+    key = f"employee_id {part.schema['employee_id'].dataType.simpleString()}"
+    effect = "lo array<bigint>, hi array<bigint>, result array<bigint>"
+
+    def dealt(df: DataFrame, by: list[str], *then: str) -> DataFrame:
+        return df.repartition(*by).sortWithinPartitions(*by, *then)
+
+    slim = part.select(*at, *order, "_c")
+    # no shuffle: the partitions of ``ordered_segments`` are sorted and hold whole segments
     summed = checkpointed(
-        slim.groupBy(*at).applyInPandas(effects, f"employee_id {key_type}, _seg int, {ranges}")
-        .withColumn("_run", F.floor(F.col("_seg") / run).cast("int"))
+        slim.mapInArrow(effects_sorted, f"{key}, _seg bigint, {effect}")
+        .withColumn("_run", F.call_function("div", F.col("_seg"), F.lit(run)))
     )
-    starts = (
-        summed.groupBy(*runs).applyInPandas(joined, f"employee_id {key_type}, _run int, {ranges}")
-        .groupBy("employee_id").applyInPandas(chain("_run"), f"employee_id {key_type}, _run int, _state bigint")
+    joined = dealt(summed, runs, "_seg").mapInArrow(compose_sorted, f"{key}, _run bigint, {effect}")
+    starts = dealt(joined, ["employee_id"], "_run").mapInArrow(
+        partial(states_sorted, by=["employee_id"], number="_run"), f"{key}, _run bigint, _state bigint"
     )
-    states = scale.null_safe_join(summed, starts, runs).groupBy(*runs).applyInPandas(
-        chain("_seg"), f"employee_id {key_type}, _seg int, _state bigint"
+    states = dealt(scale.null_safe_join(summed, starts, runs), runs, "_seg").mapInArrow(
+        partial(states_sorted, by=runs, number="_seg"), f"{key}, _seg bigint, _state bigint"
     )
     # events without an employee are one sequence here as in the fold of ordinary employees
-    return scale.null_safe_join(slim, states, at).groupBy(*at).applyInPandas(replay, slim.drop("_seg").schema)
+    known = scale.null_safe_join(slim, states, at)
+    return dealt(known, at, *order).mapInArrow(replay_sorted, known.drop("_state", "_seg").schema)
 
 
 def versions_from_log(

@@ -70,6 +70,17 @@ def test_hot_employees_give_the_same_versions(spark):
             assert got == wanted
 
 
+def test_short_segments_fold_without_a_call_each(spark):
+    """Employees of many segments and none; the plan passes batches, not groups, to Python."""
+    log = spark.range(3000).select(
+        F.col("id").alias("event_id"), F.when(F.col("id") % 7 != 3, (F.col("id") % 9)).cast("int").alias("employee_id"),
+        F.timestamp_seconds(F.col("id") * 7919 % 3001).alias("change_ts"),
+        (F.lit(500) + F.col("id") * 104729 % 97).cast("decimal(10,2)").alias("new_salary"))
+    opened = scd2.versions_from_log(log, "last_version", 5)
+    assert "FlatMapGroupsInPandas" not in opened._jdf.queryExecution().toString()
+    assert sorted(map(repr, opened.collect())) == sorted(map(repr, scd2.versions_from_log(log).collect()))
+
+
 def test_the_modes_differ_on_small_steps(spark):
     data = [(k, 1, k, 100.0 * 1.04**k) for k in range(5)]
     log = spark.createDataFrame(data, "event_id bigint, employee_id int, t bigint, s double").select(
