@@ -16,6 +16,8 @@ from tenurelake.session import checkpointed
 # Keys with more rows than this are cut into segments; smaller ones fit one sorted task.
 HOT_ROWS = 2_000_000
 
+TASK_ROWS = 100_000  # short segments share a task until it holds about this many rows
+
 BLOCK_BITS = 16  # a block holds at most 65,536 different keys
 TOP_BITS = 20  # and at most 2^20 blocks are put in order by one task
 
@@ -196,14 +198,18 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> tuple[DataFrame,
 
 
 def ordered_segments(df: DataFrame, keys: list[str], order: list[str], rows: int, held: int) -> DataFrame:
-    """The ``held`` rows of ``df`` cut into runs of about ``rows`` in (keys, order) order, numbered ``_seg``.
+    """The ``held`` rows of ``df`` cut into runs of ``rows`` at most, numbered ``_seg`` in (keys, order) order.
 
-    Range bounds come from a sample and could differ if a lost task were run again, so the numbered
-    rows are checkpointed before anything depends on them.
+    A task sorts about ``TASK_ROWS`` rows (``rows``, if more) and cuts them, so tasks grow in number with
+    the rows and not with the segments, however short these are. Partitions stay sorted and hold whole
+    segments; between two partitions numbers are left out. Range bounds come from a sample and could differ
+    if a lost task were run again, so the numbered rows are checkpointed before anything depends on them.
     """
-    pieces = max(2, math.ceil(held / max(rows, 1)))
-    cut = df.repartitionByRange(pieces, *keys, *order)
-    return checkpointed(cut.withColumn("_seg", F.spark_partition_id()))
+    rows = max(rows, 1)
+    pieces = max(2, math.ceil(held / max(rows, TASK_ROWS)))
+    cut = df.repartitionByRange(pieces, *keys, *order).sortWithinPartitions(*keys, *order)
+    # the id has the partition in its upper bits and the row within it in its lower 33
+    return checkpointed(cut.withColumn("_seg", F.call_function("div", F.monotonically_increasing_id(), F.lit(rows))))
 
 
 def split_by_heat(

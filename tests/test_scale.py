@@ -110,6 +110,16 @@ def test_same_timestamps_are_cut_too(spark):
     assert len(sizes) >= 8 and max(sizes) < 400
 
 
+def test_short_segments_share_a_task(spark):
+    """Tasks follow the rows: 1000 segments need no 1000 partitions."""
+    df = spark.range(10000).select((F.col("id") % 20).cast("int").alias("k"), F.col("id"))
+    cut = scale.ordered_segments(df, ["k"], ["id"], 10, 10000)
+    assert cut.rdd.getNumPartitions() <= 4
+    assert cut.groupBy("_seg").count().agg(F.max("count")).first()[0] <= 10
+    first = cut.groupBy("k", "_seg").agg(F.min("id").alias("id")).orderBy("k", "_seg").collect()
+    assert [(r["k"], r["id"]) for r in first] == sorted((r["k"], r["id"]) for r in first)
+
+
 def test_first_and_last_per_key(sample):
     keyed = sample.withColumn("k", F.coalesce("dept", F.lit("none")))
     for last in (False, True):
