@@ -232,6 +232,24 @@ def test_changes_touch_only_the_blocks_of_their_keys(spark, tmp_path):
     assert {r["id"] for r in table.read().collect()} == set(want) - {None}
 
 
+def test_large_tables_get_wider_blocks(spark, tmp_path):
+    """However many blocks the keys would fill, the table has few folders, and changes keep to them."""
+    table = BlockTable(spark, f"{tmp_path}/t", "id", bits=2)
+    table.create(spark.range(-4000, 16000).withColumn("v", F.lit(0)).unionByName(
+        spark.createDataFrame([(None, 0), (2**60, 0)], "id long, v int")))
+    folders = {os.path.dirname(f) for f in files_of(f"{tmp_path}/t")}
+    assert 100 < len(folders) < 700
+    before = files_of(f"{tmp_path}/t")
+    BlockTable(spark, f"{tmp_path}/t", "id", bits=2).upsert(
+        spark.createDataFrame([(5, 1, 1), (-4000, 2, 1), (16050, 3, 1)], "id long, v int, o int"), ["id"], ["v"], ["o"])
+    after = files_of(f"{tmp_path}/t")
+    assert 0 < len({f for f in before if f not in after}) <= 3
+    table.delete(spark.createDataFrame([(2**60,), (7,)], "id long"))
+    want = {i: 0 for i in range(-4000, 16000)} | {5: 1, -4000: 2, 16050: 3, None: 0}
+    del want[7]
+    assert {r["id"]: r["v"] for r in table.read().collect()} == want
+
+
 def test_failed_change_leaves_the_table(spark, tmp_path):
     table = BlockTable(spark, f"{tmp_path}/t", "id", bits=3)
     table.create(spark.range(20))
