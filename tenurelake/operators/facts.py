@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tenurelake.functions import scalars as S
-from tenurelake.operators import dims
+from tenurelake.operators import dims, scale
 from tenurelake.session import checkpointed
 
 MEASURES = [
@@ -32,8 +32,8 @@ def bind_employees(
             "percent_salary_hike", "years_at_company", "training_times_last_year",
             F.when(F.col("attrition") == "Yes", 1).otherwise(0).alias("attrition_flag"),
         )
-        .join(depts, "department_id")
-        .join(live, "employee_id")
+        .join(scale.small(depts), "department_id")
+        .join(scale.shuffled(live), "employee_id")
         .drop("department_id")
     )
 
@@ -53,7 +53,8 @@ def load_fact_reviews(
     written once before they are numbered, so the joins are not repeated.
     """
     fresh = reviews if fact is None else dims.new_rows(reviews, fact, "review_id")
-    rows = fresh.join(bind_employees(emp, dept, dim_emp, dim_dept), "employee_id").select(
+    bound = scale.shuffled(bind_employees(emp, dept, dim_emp, dim_dept))
+    rows = fresh.join(bound, "employee_id").select(
         "surrogate_key", "dept_key", F.lit(None).cast("bigint").alias("project_key"),
         S.date_key(F.col("review_date")).alias("date_key"), "employee_id", "review_id", *MEASURES,
         "monthly_income_at_review", "percent_salary_hike", "years_at_company",

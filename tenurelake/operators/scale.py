@@ -38,6 +38,15 @@ def small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df``, a side as large as a table of employees or reviews, marked for a sort-merge join.
+
+    Spark takes a side's size from its compressed files and the share of its columns, and would send many
+    times its broadcast limit through the driver.
+    """
+    return df.hint("merge")
+
+
 def prefix_sum(counts: DataFrame, key: str, n: str, out: str = "before", bits: int = 64) -> DataFrame:
     """Adds ``out``: the sum of ``n`` over all smaller values of the unique whole-number column ``key``.
 

@@ -68,10 +68,11 @@ def place_reviews(
     spark, here = fresh.sparkSession, f"batch={number}"
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fresh.schema)
     waiting = _earlier(spark, f"{out}/pending", types, number).filter(F.col("batch") == number - 1).drop("batch")
-    fresh = fresh.join(waiting.select("review_id"), "review_id", "left_anti").select(*fresh.columns)
+    fresh = fresh.join(scale.shuffled(waiting.select("review_id")), "review_id", "left_anti").select(*fresh.columns)
     valid, broken = quality.split_valid(fresh, quality.review_rules())
     bound = facts.bind_employees(emp, dept, dim_emp, dim_dept).select("employee_id").distinct()
-    pool = waiting.unionByName(valid).join(bound.withColumn("_known", F.lit(True)), "employee_id", "left").persist()
+    known = scale.shuffled(bound.withColumn("_known", F.lit(True)))
+    pool = waiting.unionByName(valid).join(known, "employee_id", "left").persist()
     facts.load_fact_reviews(
         pool.filter("_known").drop("_known"), emp, dept, dim_emp, dim_dept, number=False
     ).write.mode("overwrite").parquet(f"{out}/fact/{here}")

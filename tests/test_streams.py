@@ -255,3 +255,19 @@ def test_a_batch_that_was_not_committed_is_not_merged(spark, tmp_path, company):
 def test_merging_before_the_first_batch(spark, tmp_path):
     for merge in (feeds.merge_reviews, feeds.merge_salaries, feeds.merge_trend):
         merge(spark, f"{tmp_path}/none")
+
+
+def test_no_join_sends_the_employees_through_the_driver(spark, sf_dir):
+    """Only departments are broadcast, however small Spark takes the employees' files to be."""
+    from tenurelake.catalog.fixtures import view
+    from tenurelake.operators import facts
+
+    v = [view(spark, sf_dir, f"hr_{n}") for n in ("reviews", "employees_raw", "departments", "dim_employee", "dim_department")]
+    lines = facts.load_fact_reviews(*v, number=False)._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    sent = []
+    for n, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            inside = next((k for k, x in enumerate(lines[n + 1:], n + 1) if depth(x) <= depth(line)), len(lines))
+            sent += lines[n:inside]
+    assert sent and not any("custkey" in line for line in sent)
